@@ -41,7 +41,7 @@ SELECT r.event_id,
        CASE WHEN r.event_type = 'error' THEN NULL
             ELSE CAST(r.event_id % 360 AS DOUBLE) END AS bearing,
        r.ts,
-       epoch_ms(r.ts) // 1000 AS "timestamp",
+       epoch_us(r.ts) // 1000000 AS "timestamp",
        r.user_id,
        r.event_type
 FROM (SELECT e.*,

@@ -504,3 +504,116 @@ def outages_board_count(spark: SparkSession, d: str) -> DataFrame:
 SELECT * FROM ({_BOARD_SQL}) b ORDER BY outage_start DESC NULLS LAST, outage_id LIMIT 10 OFFSET 20""", "outages"))
 def outages_page(spark: SparkSession, d: str) -> DataFrame:
     return api.board_page(_board(spark, d), page_no=2, order_by="outage_start", ascending=False)
+
+
+# ---------------------------------------------------------------------------
+# parse: records -> JSON envelopes -> parser -> records (the oracle reads the records)
+# ---------------------------------------------------------------------------
+
+from metroflow.functions.time import epoch_seconds, normalize_time  # noqa: E402
+from metroflow.operators import parse as PA  # noqa: E402
+from metroflow.sources import feeds as FD  # noqa: E402
+
+_VEH_OUT = ["id", "line_id", "trip_id", "route_id", "start_time", "start_date", "vehicle_id", "current_status",
+            "current_stop_sequence", "stop_id", "latitude", "longitude", "bearing", "timestamp"]
+_VEH_OUT_SQL = ", ".join(f'"{c}"' if c == "timestamp" else c for c in _VEH_OUT)
+
+
+@register("feed_roundtrip", W(f"SELECT {_VEH_OUT_SQL}, date_trunc('second', ts) AS event_time FROM vehicles",
+                              "vehicles"))
+def feed_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    msgs = FD.vehicle_messages(R.vehicles(spark, d))
+    return PA.vehicles(msgs).select(*_VEH_OUT, "event_time")
+
+
+def _vehicle_messages_with_breaks(spark, d) -> DataFrame:
+    v = R.vehicles(spark, d)
+    elem = F.struct(*[F.col(c) for c in FD._VEHICLE_FIELDS])
+    env = F.to_json(F.struct(F.col("line_id"), F.col("timestamp"), F.array(elem).alias("data")))
+    value = F.when(F.col("event_id") % 97 == 0, F.substring(env, 1, 20)).otherwise(env)
+    return v.select(F.lit("vehicles").alias("feed"), F.col("line_id").alias("key"), value.alias("value"))
+
+
+@register("vehicles_clean", W(f"SELECT {_VEH_OUT_SQL} FROM vehicles WHERE event_id % 97 <> 0", "vehicles"))
+def vehicles_clean(spark: SparkSession, d: str) -> DataFrame:
+    return PA.vehicles(_vehicle_messages_with_breaks(spark, d)).select(*_VEH_OUT)
+
+
+@register("feed_rejects", W("SELECT 'vehicles' AS feed, 'malformed' AS reason, count(*) AS n_rejected "
+                            "FROM vehicles WHERE event_id % 97 = 0", "vehicles"))
+def feed_rejects(spark: SparkSession, d: str) -> DataFrame:
+    rej = PA.rejected(PA.decode(_vehicle_messages_with_breaks(spark, d), FD.SC.VEHICLE_ENVELOPE))
+    return rej.groupBy("feed", "reason").agg(F.count(F.lit(1)).alias("n_rejected"))
+
+
+@register("trip_stop_times", W("""
+, k AS (SELECT unnest([0, 1, 2]) AS k)
+SELECT v.id, v.trip_id, CAST(k.k AS INT) AS stop_index, 'R' || CAST((v.event_id + k.k) % 60 AS VARCHAR) AS stop_id,
+       CASE WHEN k.k = 0 THEN NULL ELSE v."timestamp" + 120 * k.k END AS arrival,
+       CASE WHEN k.k = 2 THEN NULL ELSE v."timestamp" + 120 * k.k + 30 END AS departure,
+       CASE WHEN k.k = 0 THEN NULL ELSE date_trunc('second', v.ts) + to_seconds(120 * k.k) END AS arrival_time
+FROM vehicles v, k WHERE v.event_id % 20 <> 0
+UNION ALL
+SELECT id, trip_id, NULL, NULL, NULL, NULL, NULL FROM vehicles WHERE event_id % 20 = 0""",
+                               "vehicles").replace("\n, k AS", ", k AS", 1))
+def trip_stop_times(spark: SparkSession, d: str) -> DataFrame:
+    trips = PA.trip_updates(FD.trip_update_messages(R.vehicles(spark, d)))
+    return PA.stop_times(trips).select("id", "trip_id", "stop_index", "stop_id", "arrival", "departure",
+                                       "arrival_time")
+
+
+@register("alerts_flatten", W("""
+SELECT id, coalesce(alert_type, '') AS alert_type, effect, header, description, "start", "end", updated, severity,
+       routes_str
+FROM alerts""", "alerts"))
+def alerts_flatten(spark: SparkSession, d: str) -> DataFrame:
+    parsed = PA.alerts(FD.alert_messages(R.alerts(spark, d)))
+    return parsed.select("id", "alert_type", "effect", "header", "description", "start", "end", "updated",
+                         "severity", _routes_str())
+
+
+_OUT_COLS = ["outage_id", "equipment_id", "station", "borough", "equipment_type", "serving", "outage_start",
+             "outage_end", "reason", "latest_status", "is_current"]
+
+
+@register("outages_flatten", W(f"SELECT {', '.join(_OUT_COLS)} FROM outages", "outages"))
+def outages_flatten(spark: SparkSession, d: str) -> DataFrame:
+    msgs = FD.outage_messages(R.outages(spark, d))
+    return PA.outages(msgs, kind=F.col("feed")).select(*_OUT_COLS)
+
+
+_EQ_COLS = ["equipment_id", "station", "borough", "equipment_type", "serving", "ada"]
+
+
+@register("equipment_flatten", W(f"SELECT {', '.join(_EQ_COLS)} FROM equipment", "equipment"))
+def equipment_flatten(spark: SparkSession, d: str) -> DataFrame:
+    return PA.equipment(FD.equipment_messages(R.equipment(spark, d))).select(*_EQ_COLS)
+
+
+@register("normalize_time", W("""
+SELECT event_id,
+       CASE event_id % 4 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('millisecond', ts)
+                         WHEN 2 THEN ts ELSE NULL END AS event_time
+FROM vehicles""", "vehicles"))
+def normalize_time_q(spark: SparkSession, d: str) -> DataFrame:
+    v = R.vehicles(spark, d)
+    eid = F.col("event_id")
+    raw = (F.when(eid % 4 == 0, epoch_seconds("ts").cast("string"))
+           .when(eid % 4 == 1, F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"),
+                                                F.col("ts")).cast("string"))
+           .when(eid % 4 == 2, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+           .when(eid % 8 == 3, F.lit("not a time")))
+    return v.select("event_id", normalize_time(raw).alias("event_time"))
+
+
+@register("feed_union", W("""
+SELECT id, 'vehicles' AS source, vehicle_id, route_id, line_id FROM vehicles
+UNION ALL
+SELECT id, 'trip_updates', vehicle_id, route_id, line_id FROM vehicles""", "vehicles"))
+def feed_union(spark: SparkSession, d: str) -> DataFrame:
+    v = R.vehicles(spark, d)
+    pos = PA.vehicles(FD.vehicle_messages(v)).select("id", F.lit("vehicles").alias("source"), "vehicle_id",
+                                                     "route_id", "line_id")
+    trips = PA.trip_updates(FD.trip_update_messages(v)).select("id", F.lit("trip_updates").alias("source"),
+                                                               "vehicle_id", "route_id", "line_id")
+    return pos.unionByName(trips)
