@@ -41,7 +41,12 @@ def from_epoch_millis(x: Column | str) -> Column:
 
 def to_event_time(ts: Column | str) -> Column:
     """NTZ -> TIMESTAMP for watermarks, read as UTC whatever the session zone."""
-    return F.timestamp_seconds(F.lit(0)) + (_c(ts) - epoch0())
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch0(), _c(ts)))
+
+
+def to_wall_time(ts: Column | str) -> Column:
+    """TIMESTAMP -> NTZ (UTC wall clock), whatever the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(ts)), epoch0())
 
 
 def normalize_time(x: Column | str) -> Column:

@@ -617,3 +617,61 @@ def feed_union(spark: SparkSession, d: str) -> DataFrame:
     trips = PA.trip_updates(FD.trip_update_messages(v)).select("id", F.lit("trip_updates").alias("source"),
                                                                "vehicle_id", "route_id", "line_id")
     return pos.unionByName(trips)
+
+
+# ---------------------------------------------------------------------------
+# streams: the vehicle feed lands as files, a stream drains it with availableNow
+# ---------------------------------------------------------------------------
+
+from metroflow.session import fresh_dir  # noqa: E402
+from metroflow.streaming import jobs as J  # noqa: E402
+from metroflow.streaming import sinks as K  # noqa: E402
+
+STREAM_WATERMARK = "400 days"  # longer than the disorder of the landed files, so no row is late
+
+
+def land_vehicle_feed(spark: SparkSession, d: str, files: int | None = None) -> tuple[str, int]:
+    """Write the vehicle feed as JSON-lines files, hash-split by report id (event time jumps between files)."""
+    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = fresh_dir(spark, "landing-vehicles")
+    FD.publish(FD.vehicle_messages(R.vehicles(spark, d).repartition(n, "id")), path=path)
+    return path, n
+
+
+def drain_vehicle_feed(spark: SparkSession, d: str, job) -> str:
+    """Land the feed, drain it in several micro-batches with ``job(messages, out, checkpoint)``."""
+    path, n = land_vehicle_feed(spark, d)
+    out, ck = fresh_dir(spark, "tables"), fresh_dir(spark, "checkpoints")
+    msgs = FD.landing_stream(spark, path, "vehicles", max_files=max(1, n // 4))
+    q = job(msgs, out, ck)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return out
+
+
+_SVL_COLS = ["id", "vehicle_id", "route_id", "line_id", "latitude", "longitude", "event_time"]
+
+
+@register("stream_vehicles_latest", W("""
+SELECT id, vehicle_id, route_id, line_id, latitude, longitude, date_trunc('second', ts) AS event_time FROM (
+  SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY date_trunc('second', ts) DESC, id DESC) AS rn
+  FROM vehicles WHERE vehicle_id IS NOT NULL) t WHERE rn = 1
+UNION ALL
+SELECT id, vehicle_id, route_id, line_id, latitude, longitude, date_trunc('second', ts) FROM vehicles
+WHERE vehicle_id IS NULL""", "vehicles"))
+def stream_vehicles_latest(spark: SparkSession, d: str) -> DataFrame:
+    out = drain_vehicle_feed(spark, d, lambda m, o, c: J.vehicle_job(m, o, c, available_now=True))
+    schema = PA.vehicles(spark.createDataFrame([], FD.SC.MESSAGE)).schema
+    return K.read_latest(spark, f"{out}/vehicle_latest", schema).select(*_SVL_COLS)
+
+
+@register("stream_route_stats", W("""
+SELECT time_bucket(INTERVAL 1 hour, date_trunc('second', ts)) AS window_start,
+       time_bucket(INTERVAL 1 hour, date_trunc('second', ts)) + INTERVAL 1 hour AS window_end,
+       line_id, route_id, count(*) AS count
+FROM vehicles GROUP BY ALL""", "vehicles"))
+def stream_route_stats(spark: SparkSession, d: str) -> DataFrame:
+    out = drain_vehicle_feed(spark, d, lambda m, o, c: J.route_stats_job(m, o, c, STREAM_WATERMARK,
+                                                                         available_now=True))
+    return J.read_route_stats(spark, out)
