@@ -18,24 +18,24 @@ def _as_list(x: str | list[str]) -> list[str]:
 def latest_by_key(df: DataFrame, key: str | list[str], order: str | list[str], keep_keyless: bool = True) -> DataFrame:
     """Newest row per key, newest meaning the greatest ``order`` tuple.
 
-    Rows whose key is null are never merged: they are appended as they are
-    (``keep_keyless``) or dropped. Ties on the whole ``order`` tuple keep one
-    of the tied rows, so make the last order column unique.
+    Rows whose key is null are never merged: they are kept as they are
+    (``keep_keyless``) or dropped. One scan and one aggregate serve both: a
+    keyless row is grouped by its own ``order`` tuple, so ``order`` must be
+    unique per row (end it with a row id). Ties on ``order`` between keyed
+    rows keep one of them.
     """
     keys, order_cols = _as_list(key), _as_list(order)
     cols = df.columns
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
-    latest = (
-        df.filter(has_key)
-        .groupBy(*keys)
+    src = df if keep_keyless else df.filter(has_key)
+    row_key = F.when(~has_key, F.struct(*order_cols)).alias("_row")
+    return (
+        src.groupBy(*keys, row_key)
         .agg(F.max_by(F.struct(*cols), F.struct(*order_cols)).alias("_latest"))
         .select("_latest.*")
     )
-    if keep_keyless:
-        latest = latest.unionByName(df.filter(~has_key))
-    return latest
 
 
 def dedup(df: DataFrame, key: str | list[str]) -> DataFrame:

@@ -32,16 +32,35 @@ HEALTH_LIMITS = {"vehicles_tracking": 90, "service_alerts": 180, "elevator_monit
 
 # --- state -----------------------------------------------------------------
 
-def latest_vehicles(history: DataFrame) -> DataFrame:
-    """A11 + K3: newest report per vehicle_id by (ts, event_id); reports without a vehicle id kept."""
+def latest_vehicles(history: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """A11 + K3: newest report per vehicle_id by (ts, event_id); reports without a vehicle id kept.
+
+    ``columns`` narrows the rows before the shuffle (the aggregate carries whole rows).
+    """
+    if columns:
+        keep = list(dict.fromkeys(["vehicle_id", "ts", "event_id"] + list(columns)))
+        history = history.select(*keep)
     return latest_by_key(history, "vehicle_id", ["ts", "event_id"])
 
 
-def latest_alerts(polls: DataFrame) -> DataFrame:
-    """Newest version per alert id by poll time."""
+def latest_alerts(polls: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Newest version per alert id by poll time (``columns`` narrows the shuffled rows)."""
+    if columns:
+        polls = polls.select(*list(dict.fromkeys(["id", "updated"] + list(columns))))
     return latest_by_key(polls, "id", ["updated"], keep_keyless=False)
 
 
+def prepare_alerts(polls: DataFrame, search: str | None = None, keep_description: bool = False) -> DataFrame:
+    """Row-local work done before any shuffle: classes (C1-C3), route colours (J1), the
+    card text (P22) and the search match (F11). The full description is then
+    dropped, so a latest-state exchange moves a few small columns per alert
+    instead of whole texts."""
+    a = classify_alerts(polls).withColumn("card_text", C.cut_description("description"))
+    if search:
+        a = a.withColumn("search_hit", P.text_contains(search, "header", "description"))
+    return a if keep_description else a.drop("description")
+
+
 def active_at(alerts: DataFrame, as_of) -> DataFrame:
     """A5: alerts whose (first) active period covers ``as_of``; no period means always active."""
     t = F.lit(as_of).cast("timestamp_ntz")
@@ -114,10 +133,15 @@ def vehicles_listing(latest: DataFrame, route_id: str | None = None, route_type:
 
 def alerts_listing(alerts: DataFrame, route_id: str | None = None, severity: str | None = None,
                    search: str | None = None, limit: int | None = None) -> DataFrame:
-    """Classified alerts filtered by route, severity (after classification) and text."""
-    a = classify_alerts(alerts)
-    out = P.where_all(a, P.route_in_array(route_id), P.equals_ignore_case(severity, "severity_class"),
-                      P.text_contains(search, "header", "description"))
+    """Classified alerts filtered by route, severity (after classification) and text.
+
+    Takes raw alerts or ones from ``prepare_alerts`` (then the search must match its ``search``).
+    """
+    a = alerts if "severity_class" in alerts.columns else classify_alerts(alerts)
+    hit = None
+    if search:
+        hit = F.col("search_hit") if "search_hit" in a.columns else P.text_contains(search, "header", "description")
+    out = P.where_all(a, P.route_in_array(route_id), P.equals_ignore_case(severity, "severity_class"), hit)
     return _limited(out, ["id"], limit)
 
 
@@ -160,14 +184,16 @@ def route_alert_status(spark: SparkSession, alerts: DataFrame, routes: list[str]
     is fixed by the route list.
     """
     routes = routes or (RD.SUBWAY_CODES + ["SIR"])
-    per = (classify_alerts(alerts)
+    classified = alerts if "severity_class" in alerts.columns else classify_alerts(alerts)
+    per = (classified
            .select("id", "severity_class", F.explode(F.array_distinct("routes")).alias("route_id"))
            .filter(F.col("route_id").isin(*routes))
            .groupBy("route_id")
            .agg(F.count(F.lit(1)).alias("alerts_count"),
                 F.count_if(F.col("severity_class") == "SEVERE").alias("severe_count")))
-    dim = F.broadcast(spark.createDataFrame([(r,) for r in routes], "route_id string"))
-    return (dim.join(per, "route_id", "left")
+    # ``per`` has at most one row per listed route, so broadcasting it is bounded by the list.
+    dim = spark.createDataFrame([(r,) for r in routes], "route_id string")
+    return (dim.join(F.broadcast(per), "route_id", "left")
             .select("route_id",
                     F.coalesce("alerts_count", F.lit(0)).alias("alerts_count"),
                     F.coalesce("severe_count", F.lit(0)).alias("severe_count"))
@@ -273,7 +299,7 @@ def recent_alerts_card(alerts: DataFrame, n: int = RECENT_ALERTS_N) -> DataFrame
         "id", "updated",
         F.coalesce(F.when(F.col("header") != "", F.col("header")), F.lit(C.DEFAULT_HEADER)).alias("title"),
         F.coalesce(F.when(F.col("severity") != "", F.col("severity")), F.lit(C.DEFAULT_SEVERITY_CHIP)).alias("chip"),
-        C.cut_description("description").alias("text"),
+        (F.col("card_text") if "card_text" in alerts.columns else C.cut_description("description")).alias("text"),
     )
 
 

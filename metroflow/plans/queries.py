@@ -27,12 +27,17 @@ HEALTH_VEHICLES_AS_OF = "2024-01-31 00:00:00"
 BOX = (40.70, 40.80, -74.00, -73.90)
 
 
-def _latest(spark, d) -> DataFrame:
-    return api.latest_vehicles(R.vehicles(spark, d))
+def _latest(spark, d, *columns: str) -> DataFrame:
+    """Latest report per vehicle, carrying only ``columns`` (plus key and order) through the shuffle."""
+    return api.latest_vehicles(R.vehicles(spark, d), list(columns) or None)
 
 
-def _alerts_latest(spark, d) -> DataFrame:
-    return api.latest_alerts(R.alert_polls(spark, d))
+def _alerts_latest(spark, d, *columns: str, search: str | None = None) -> DataFrame:
+    """Latest alert versions; with ``columns``, prepared (classified, text dropped) before the shuffle."""
+    polls = R.alert_polls(spark, d)
+    if not columns:
+        return api.latest_alerts(polls)
+    return api.latest_alerts(api.prepare_alerts(polls, search=search), list(columns))
 
 
 def _routes_str(col: str = "routes"):
@@ -49,7 +54,8 @@ W = S.with_records
 @register("vehicles_latest", W("SELECT id, vehicle_id, route_id, line_id, latitude, longitude, ts "
                                "FROM vehicles_latest", "vehicles_latest"))
 def vehicles_latest(spark: SparkSession, d: str) -> DataFrame:
-    return _latest(spark, d).select("id", "vehicle_id", "route_id", "line_id", "latitude", "longitude", "ts")
+    return _latest(spark, d, "id", "route_id", "line_id", "latitude", "longitude").select(
+        "id", "vehicle_id", "route_id", "line_id", "latitude", "longitude", "ts")
 
 
 @register("vehicles_dedup", W("SELECT id, vehicle_id, route_id, ts FROM vehicles", "vehicles"))
@@ -61,7 +67,8 @@ def vehicles_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 @register("alerts_latest", W("SELECT id, severity, updated, header, routes_str FROM alerts_latest", "alerts_latest"))
 def alerts_latest(spark: SparkSession, d: str) -> DataFrame:
-    return _alerts_latest(spark, d).select("id", "severity", "updated", "header", _routes_str())
+    return _alerts_latest(spark, d, "severity", "header", "routes").select(
+        "id", "severity", "updated", "header", _routes_str())
 
 
 # ---------------------------------------------------------------------------
@@ -185,7 +192,7 @@ _VL_COLS = ["id", "vehicle_id", "route_id", "line_id"]
 SELECT id, vehicle_id, route_id, line_id, latitude, longitude, bearing, ts AS event_time
 FROM vehicles_latest WHERE route_id = 'A'""", "vehicles_latest"))
 def vehicles_list(spark: SparkSession, d: str) -> DataFrame:
-    listed = api.vehicles_listing(api.nest_position(_latest(spark, d)), route_id="A")
+    listed = api.vehicles_listing(api.nest_position(_latest(spark, d, "id", "route_id", "line_id", "latitude", "longitude", "bearing")), route_id="A")
     return api.unnest_position(listed).select(*_VL_COLS, "latitude", "longitude", "bearing",
                                               F.col("ts").alias("event_time"))
 
@@ -193,25 +200,25 @@ def vehicles_list(spark: SparkSession, d: str) -> DataFrame:
 @register("vehicles_subway", W(f"SELECT id, vehicle_id, route_id, line_id FROM vehicles_latest "
                                f"WHERE {S.sql_route_kind('route_id')} = 'subway'", "vehicles_latest"))
 def vehicles_subway(spark: SparkSession, d: str) -> DataFrame:
-    return api.vehicles_listing(_latest(spark, d), route_type="subway").select(*_VL_COLS)
+    return api.vehicles_listing(_latest(spark, d, *_VL_COLS), route_type="subway").select(*_VL_COLS)
 
 
 @register("vehicles_subway_ref", W(f"SELECT id, vehicle_id, route_id, line_id FROM vehicles_latest "
                                    f"WHERE route_id IN ({S.in_list(RD.REFERENCE_SUBWAY_LIST)})", "vehicles_latest"))
 def vehicles_subway_ref(spark: SparkSession, d: str) -> DataFrame:
-    return api.vehicles_listing(_latest(spark, d), route_type="subway", mode="reference").select(*_VL_COLS)
+    return api.vehicles_listing(_latest(spark, d, *_VL_COLS), route_type="subway", mode="reference").select(*_VL_COLS)
 
 
 @register("vehicles_bus", W(f"SELECT id, vehicle_id, route_id, line_id FROM vehicles_latest "
                             f"WHERE {S.sql_route_kind('route_id')} = 'bus'", "vehicles_latest"))
 def vehicles_bus(spark: SparkSession, d: str) -> DataFrame:
-    return api.vehicles_listing(_latest(spark, d), route_type="bus").select(*_VL_COLS)
+    return api.vehicles_listing(_latest(spark, d, *_VL_COLS), route_type="bus").select(*_VL_COLS)
 
 
 @register("vehicles_bus_ref", W("SELECT id, vehicle_id, route_id, line_id FROM vehicles_latest "
                                 "WHERE regexp_matches(route_id, '^[BMQSBx]')", "vehicles_latest"))
 def vehicles_bus_ref(spark: SparkSession, d: str) -> DataFrame:
-    return api.vehicles_listing(_latest(spark, d), route_type="bus", mode="reference").select(*_VL_COLS)
+    return api.vehicles_listing(_latest(spark, d, *_VL_COLS), route_type="bus", mode="reference").select(*_VL_COLS)
 
 
 @register("vehicles_bus_page", W("SELECT id, vehicle_id, route_id, line_id FROM vehicles_latest "
@@ -219,14 +226,14 @@ def vehicles_bus_ref(spark: SparkSession, d: str) -> DataFrame:
                                  "OR (route_id LIKE 'B%' AND length(route_id) > 1) OR route_id LIKE 'Bx%' "
                                  "OR (route_id LIKE 'Q%' AND length(route_id) > 1)", "vehicles_latest"))
 def vehicles_bus_page(spark: SparkSession, d: str) -> DataFrame:
-    return _latest(spark, d).filter(P.page_bus_filter("BUS")).select(*_VL_COLS)
+    return _latest(spark, d, *_VL_COLS).filter(P.page_bus_filter("BUS")).select(*_VL_COLS)
 
 
 @register("vehicles_family", W(f"SELECT id, vehicle_id, route_id, line_id, {S.sql_route_family('route_id')} AS family "
                                f"FROM vehicles_latest WHERE {S.sql_route_family('route_id')} = 'IND'",
                                "vehicles_latest"))
 def vehicles_family(spark: SparkSession, d: str) -> DataFrame:
-    out = api.vehicles_listing(_latest(spark, d), family="IND")
+    out = api.vehicles_listing(_latest(spark, d, *_VL_COLS), family="IND")
     return out.select(*_VL_COLS, RD.route_family("route_id").alias("family"))
 
 
@@ -235,13 +242,13 @@ SELECT id, latitude, longitude FROM vehicles_latest
 WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND latitude <> 0 AND longitude <> 0
   AND latitude BETWEEN {BOX[0]} AND {BOX[1]} AND longitude BETWEEN {BOX[2]} AND {BOX[3]}""", "vehicles_latest"))
 def vehicles_in_box(spark: SparkSession, d: str) -> DataFrame:
-    return api.vehicles_listing(_latest(spark, d), box=BOX).select("id", "latitude", "longitude")
+    return api.vehicles_listing(_latest(spark, d, "id", "latitude", "longitude"), box=BOX).select("id", "latitude", "longitude")
 
 
 @register("alerts_by_route", W("SELECT id, routes_str FROM alerts_latest WHERE route_1 = 'A' OR route_2 = 'A'",
                                "alerts_latest"))
 def alerts_by_route(spark: SparkSession, d: str) -> DataFrame:
-    return api.alerts_listing(_alerts_latest(spark, d), route_id="A").select("id", _routes_str())
+    return api.alerts_listing(_alerts_latest(spark, d, "routes", "severity_class"), route_id="A").select("id", _routes_str())
 
 
 @register("alerts_severe", W(f"""
@@ -249,14 +256,15 @@ SELECT id, severity_class FROM (
   SELECT id, {S.sql_severity('severity', 'header', 'description')} AS severity_class FROM alerts_latest) t
 WHERE upper(severity_class) = 'SEVERE'""", "alerts_latest"))
 def alerts_severe(spark: SparkSession, d: str) -> DataFrame:
-    return api.alerts_listing(_alerts_latest(spark, d), severity="severe").select("id", "severity_class")
+    return api.alerts_listing(_alerts_latest(spark, d, "severity_class"), severity="severe").select("id", "severity_class")
 
 
 @register("alerts_search", W("""
 SELECT id, header FROM alerts_latest
 WHERE contains(lower(header), 'delay') OR contains(lower(description), 'delay')""", "alerts_latest"))
 def alerts_search(spark: SparkSession, d: str) -> DataFrame:
-    return api.alerts_listing(_alerts_latest(spark, d), search="Delay").select("id", "header")
+    return api.alerts_listing(_alerts_latest(spark, d, "header", "severity_class", "search_hit", search="Delay"),
+                              search="Delay").select("id", "header")
 
 
 @register("outages_search", W("""
@@ -295,19 +303,19 @@ def current_outages(spark: SparkSession, d: str) -> DataFrame:
 @register("vehicles_by_line", W("SELECT line_id, count(*) AS count FROM vehicles_latest GROUP BY line_id",
                                 "vehicles_latest"))
 def vehicles_by_line(spark: SparkSession, d: str) -> DataFrame:
-    return A.count_by(_latest(spark, d), "line_id")
+    return A.count_by(_latest(spark, d, "line_id"), "line_id")
 
 
 @register("vehicles_by_route", W("SELECT route_id, count(*) AS count FROM vehicles_latest GROUP BY route_id",
                                  "vehicles_latest"))
 def vehicles_by_route(spark: SparkSession, d: str) -> DataFrame:
-    return A.count_by(_latest(spark, d), "route_id")
+    return A.count_by(_latest(spark, d, "route_id"), "route_id")
 
 
 @register("route_counts", W("SELECT line_id, route_id, count(*) AS count FROM vehicles_latest GROUP BY ALL",
                             "vehicles_latest"))
 def route_counts(spark: SparkSession, d: str) -> DataFrame:
-    return A.count_by(_latest(spark, d), "line_id", "route_id")
+    return A.count_by(_latest(spark, d, "line_id", "route_id"), "line_id", "route_id")
 
 
 _ACTIVE_SQL = (f"(SELECT * FROM alerts_latest WHERE (\"start\" IS NULL OR \"start\" <= TIMESTAMP '{ALERTS_AS_OF}') "
@@ -316,7 +324,7 @@ _ACTIVE_SQL = (f"(SELECT * FROM alerts_latest WHERE (\"start\" IS NULL OR \"star
 
 @register("active_alerts", W(f"SELECT count(*) AS active_alerts FROM {_ACTIVE_SQL} a", "alerts_latest"))
 def active_alerts(spark: SparkSession, d: str) -> DataFrame:
-    return api.active_at(_alerts_latest(spark, d), ALERTS_AS_OF).agg(F.count(F.lit(1)).alias("active_alerts"))
+    return api.active_at(_alerts_latest(spark, d, "start", "end"), ALERTS_AS_OF).agg(F.count(F.lit(1)).alias("active_alerts"))
 
 
 _STATUS_ROUTES = RD.SUBWAY_CODES + ["SIR"]
@@ -334,7 +342,7 @@ SELECT route_id, alerts_count, severe_count,
        {S.sql_api_color('route_id')} AS color
 FROM c""", "alerts_latest").replace("\n, act AS", ", act AS", 1))
 def system_status(spark: SparkSession, d: str) -> DataFrame:
-    act = api.active_at(_alerts_latest(spark, d), ALERTS_AS_OF)
+    act = api.active_at(_alerts_latest(spark, d, "start", "end", "routes", "severity_class"), ALERTS_AS_OF)
     return api.route_alert_status(spark, act, _STATUS_ROUTES)
 
 
@@ -367,7 +375,7 @@ SELECT min(latitude) AS min_lat, max(latitude) AS max_lat, min(longitude) AS min
 FROM vehicles_latest WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND latitude <> 0 AND longitude <> 0""",
                               "vehicles_latest"))
 def vehicle_bounds(spark: SparkSession, d: str) -> DataFrame:
-    return A.bounds(_latest(spark, d).filter(P.usable_position()))
+    return A.bounds(_latest(spark, d, "latitude", "longitude").filter(P.usable_position()))
 
 
 _AVAIL_SQL = """
@@ -401,8 +409,8 @@ SELECT (SELECT count(*) FROM vehicles_latest) AS total_vehicles,
        (SELECT in_service_percentage FROM av) AS in_service_percentage""",
                              "vehicles_latest", "alerts_latest", "equipment", "outages").replace("\n, vl AS", ", vl AS", 1))
 def summary_stats(spark: SparkSession, d: str) -> DataFrame:
-    act = api.active_at(_alerts_latest(spark, d), ALERTS_AS_OF)
-    return api.summary(_latest(spark, d), R.outages(spark, d), act, R.equipment(spark, d))
+    act = api.active_at(_alerts_latest(spark, d, "start", "end"), ALERTS_AS_OF)
+    return api.summary(_latest(spark, d, "line_id", "route_id"), R.outages(spark, d), act, R.equipment(spark, d))
 
 
 def _outages_as_of_sql() -> str:
@@ -460,7 +468,7 @@ SELECT route_id, line_id, count, label, {S.sql_ui_color('label', 'chart')} AS co
     SELECT route_id, line_id, count(*) AS count FROM vehicles_latest GROUP BY ALL
     ORDER BY count DESC, route_id, line_id LIMIT 10) t) u""", "vehicles_latest"))
 def top_routes(spark: SparkSession, d: str) -> DataFrame:
-    return api.top_routes_chart(_latest(spark, d))
+    return api.top_routes_chart(_latest(spark, d, "route_id", "line_id"))
 
 
 @register("recent_alerts", W("""
@@ -472,7 +480,7 @@ SELECT id, updated,
             ELSE description END AS text
 FROM alerts_latest ORDER BY updated DESC, id LIMIT 5""", "alerts_latest"))
 def recent_alerts(spark: SparkSession, d: str) -> DataFrame:
-    return api.recent_alerts_card(_alerts_latest(spark, d))
+    return api.recent_alerts_card(_alerts_latest(spark, d, "header", "severity", "card_text"))
 
 
 _BOARD_SQL = """
