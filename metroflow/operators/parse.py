@@ -22,16 +22,20 @@ def decode(messages: DataFrame, envelope: T.StructType, required: list[str] | No
     Malformed JSON is caught by the corrupt-record column; an envelope that
     parses but lacks a required field (``data`` by default) is rejected too,
     since a shape mismatch decodes to nulls without an error.
+
+    The parsed struct comes out of a one-element ``explode``: filters on it
+    cannot be pushed below the Generate, so Catalyst cannot inline
+    ``from_json`` into each predicate and every message is parsed once.
     """
     schema = T.StructType(envelope.fields + [T.StructField(SC.CORRUPT, T.StringType(), True)])
-    msg = F.from_json(F.col("value").cast("string"), schema,
-                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": SC.CORRUPT})
+    parsed = F.from_json(F.col("value").cast("string"), schema,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": SC.CORRUPT})
     req = required or ["data"]
     ok = F.lit(True)
     for r in req:
         ok = ok & F.col(f"msg.{r}").isNotNull()
     broken = F.col("value").isNull() | F.col(f"msg.{SC.CORRUPT}").isNotNull() | F.col("msg").isNull()
-    return (messages.withColumn("msg", msg)
+    return (messages.select("*", F.explode(F.array(parsed)).alias("msg"))
             .withColumn("_reason", F.when(broken, F.lit("malformed")).when(~ok, F.lit("missing_fields")))
             .withColumn("_valid", F.col("_reason").isNull()))
 
