@@ -8,7 +8,7 @@ streaming jobs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metroflow.functions import classify as C
@@ -213,49 +213,86 @@ def recent_route_stats(stats: DataFrame, as_of, line_id: str | None = None,
     return O.top(out, O.check_limit(limit), [F.col("window_start").desc()], ["line_id", "route_id"])
 
 
+def equipment_status(equipment: DataFrame, outages: DataFrame) -> DataFrame:
+    """J4 + A4 in one pass (one row): equipment total, equipment with a current
+    outage, current and upcoming outage counts.
+
+    Outages reduce to one row per equipment before a full outer join with the
+    equipment table, so each table is scanned once and the join moves at
+    most one row per equipment from each side.
+    """
+    cur = P.is_current()
+    per = outages.groupBy("equipment_id").agg(F.count_if(cur).alias("_cur"), F.count_if(~cur).alias("_upc"))
+    eq = equipment.select("equipment_id", F.lit(True).alias("_eq"))
+    j = eq.join(per, "equipment_id", "full")
+    known = F.coalesce(F.col("_eq"), F.lit(False))
+    return j.agg(
+        F.count_if(known).alias("total_equipment"),
+        F.count_if(known & (F.coalesce(F.col("_cur"), F.lit(0)) > 0)).alias("out_of_service"),
+        F.coalesce(F.sum("_cur"), F.lit(0)).cast("bigint").alias("current_outages"),
+        F.coalesce(F.sum("_upc"), F.lit(0)).cast("bigint").alias("upcoming_outages"),
+    )
+
+
 def equipment_availability(equipment: DataFrame, outages: DataFrame) -> DataFrame:
     """Equipment total, equipment with a current outage, in-service share (one row)."""
-    out_ids = outages.filter(P.is_current()).select("equipment_id")
-    down = equipment.join(out_ids, "equipment_id", "left_semi")
-    total = equipment.select(F.count(F.lit(1))).scalar()
-    n_down = down.select(F.count(F.lit(1))).scalar()
-    spark = equipment.sparkSession
-    return spark.range(1).select(
-        total.alias("total_equipment"),
-        n_down.alias("out_of_service"),
-        A.share(total - n_down, total).alias("in_service_percentage"),
+    st = equipment_status(equipment, outages)
+    return st.select("total_equipment", "out_of_service",
+                     A.share(F.col("total_equipment") - F.col("out_of_service"), F.col("total_equipment"))
+                     .alias("in_service_percentage"))
+
+
+def vehicle_figures(latest: DataFrame) -> DataFrame:
+    """A1-A3, A7 in one aggregation (one row): totals, distinct lines, per-line and
+    per-route count maps. ``cube(line, route)`` yields per-line, per-route and
+    total groups from one exchange; the one-row fold then runs over those few
+    groups only."""
+    c = latest.cube("line_id", "route_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("vehicle_id").alias("nv"), F.grouping_id().alias("g"))
+    g, n = F.col("g"), F.col("n").cast("string")
+
+    def kv(col: str) -> Column:
+        return F.concat(F.coalesce(F.col(col), F.lit("null")), F.lit(":"), n)
+
+    return c.agg(
+        F.coalesce(F.sum(F.when(g == 3, F.col("n"))), F.lit(0)).alias("total_vehicles"),
+        F.coalesce(F.sum(F.when(g == 3, F.col("nv"))), F.lit(0)).alias("active_vehicles"),
+        F.count_if((g == 1) & F.col("line_id").isNotNull()).alias("active_lines"),
+        F.array_join(F.array_sort(F.collect_list(F.when(g == 1, kv("line_id")))), ",").alias("vehicles_by_line"),
+        F.array_join(F.array_sort(F.collect_list(F.when(g == 2, kv("route_id")))), ",").alias("vehicles_by_route"),
     )
 
 
 def summary(latest: DataFrame, outages: DataFrame, active_alerts: DataFrame, equipment: DataFrame) -> DataFrame:
     """One row of system figures; maps are sorted ``key:count`` strings.
 
-    Each figure is a scalar subquery (one partial+final aggregate each), so
-    the row is assembled without a join.
+    Three independent pipelines (vehicles, alerts, equipment with outages),
+    each one scalar subquery returning a struct, so every source is read
+    once and the row is assembled without a join.
     """
     spark = latest.sparkSession
-    by_line = A.map_string(latest.groupBy("line_id").count(), "line_id", "count", "m")
-    by_route = A.map_string(latest.groupBy("route_id").count(), "route_id", "count", "m")
-    avail = equipment_availability(equipment, outages)
-    cnt = F.count(F.lit(1))
-    return spark.range(1).select(
-        latest.select(cnt).scalar().alias("total_vehicles"),
-        latest.select(F.count_distinct("vehicle_id")).scalar().alias("active_vehicles"),
-        latest.select(F.count_distinct("line_id")).scalar().alias("active_lines"),
-        by_line.scalar().alias("vehicles_by_line"),
-        by_route.scalar().alias("vehicles_by_route"),
-        outages.select(F.count_if(P.is_current())).scalar().alias("current_elevator_outages"),
-        outages.select(F.count_if(~P.is_current())).scalar().alias("upcoming_elevator_outages"),
-        active_alerts.select(cnt).scalar().alias("active_alerts"),
-        avail.select("total_equipment").scalar().alias("total_equipment"),
-        avail.select("in_service_percentage").scalar().alias("in_service_percentage"),
+    veh = vehicle_figures(latest).select(F.struct("*")).scalar()
+    eqs = equipment_status(equipment, outages).select(F.struct("*")).scalar()
+    n_alerts = active_alerts.select(F.count(F.lit(1))).scalar()
+    row = spark.range(1).select(veh.alias("v"), eqs.alias("e"), n_alerts.alias("active_alerts"))
+    return row.select(
+        "v.total_vehicles", "v.active_vehicles", "v.active_lines", "v.vehicles_by_line", "v.vehicles_by_route",
+        F.col("e.current_outages").alias("current_elevator_outages"),
+        F.col("e.upcoming_outages").alias("upcoming_elevator_outages"),
+        "active_alerts", "e.total_equipment",
+        A.share(F.col("e.total_equipment") - F.col("e.out_of_service"), F.col("e.total_equipment"))
+        .alias("in_service_percentage"),
     )
 
 
 def component_health(name: str, table: DataFrame, processed_at: str, as_of, limit_s: int) -> DataFrame:
-    """A15 for one table: rows, newest processing time, age and status."""
-    t = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
+    """A15 for one table: rows, newest processing time, age and status.
+
+    ``as_of=None`` judges the table at its own newest processing time (age 0).
+    """
     agg = table.agg(F.count(F.lit(1)).alias("n_rows"), F.max(processed_at).alias("last_processed_at"))
+    t = F.col("last_processed_at") if as_of is None else (
+        as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz"))
     age = F.timestamp_diff("SECOND", F.col("last_processed_at"), t)
     return agg.select(
         F.lit(name).alias("component"), "n_rows", "last_processed_at", age.alias("age_seconds"),
@@ -266,19 +303,32 @@ def component_health(name: str, table: DataFrame, processed_at: str, as_of, limi
 
 
 def feed_health(components: list[DataFrame]) -> DataFrame:
-    """Component rows plus an overall row (OPERATIONAL only if all are)."""
+    """Component rows plus an overall row (OPERATIONAL only if all are).
+
+    The overall figures come from a window over the component rows (one row
+    per component, a fixed handful), and are emitted once by an explode, so
+    each source table is read once.
+    """
     rows = components[0]
     for c in components[1:]:
         rows = rows.unionByName(c)
-    overall = rows.agg(
-        F.lit("overall").alias("component"),
-        F.sum("n_rows").alias("n_rows"),
-        F.max("last_processed_at").alias("last_processed_at"),
-        F.max("age_seconds").alias("age_seconds"),
-        F.when(F.bool_and(F.col("status") == "OPERATIONAL"), F.lit("OPERATIONAL"))
-         .otherwise(F.lit("DEGRADED")).alias("status"),
+    w = Window.partitionBy(F.lit(0))
+    cols = ["component", "n_rows", "last_processed_at", "age_seconds", "status"]
+    r = rows.select(
+        *cols,
+        F.sum("n_rows").over(w).alias("_n"),
+        F.max("last_processed_at").over(w).alias("_last"),
+        F.max("age_seconds").over(w).alias("_age"),
+        F.min((F.col("status") == "OPERATIONAL").cast("int")).over(w).alias("_ok"),
+        F.row_number().over(w.orderBy("component")).alias("_rn"),
     )
-    return rows.unionByName(overall)
+    own = F.struct(*[F.col(c) for c in cols])
+    overall = F.struct(
+        F.lit("overall").alias("component"), F.col("_n").alias("n_rows"), F.col("_last").alias("last_processed_at"),
+        F.col("_age").alias("age_seconds"),
+        F.when(F.col("_ok") == 1, F.lit("OPERATIONAL")).otherwise(F.lit("DEGRADED")).alias("status"))
+    out = r.select(F.explode(F.when(F.col("_rn") == 1, F.array(own, overall)).otherwise(F.array(own))).alias("x"))
+    return out.select("x.*")
 
 
 # --- boards (E8-E10) -------------------------------------------------------

@@ -111,17 +111,26 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def alerts_second_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Second poll: the even documents again, 60 s later, now SEVERE."""
-    a = alerts(spark, sf_dir)
-    return (a.filter(F.col("doc_id") % 2 == 0)
-            .withColumn("updated", from_epoch_seconds(F.lit(ALERT_POLL_2).cast("bigint")))
-            .withColumn("severity", F.lit("SEVERE")))
-
-
 def alert_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both polls, as the alert table holds them before latest-state reduction."""
-    return alerts(spark, sf_dir).unionByName(alerts_second_poll(spark, sf_dir))
+    """Both polls, as the alert table holds them before latest-state reduction.
+
+    The second poll repeats the even documents 60 s later as SEVERE. Both
+    versions come from one scan: each record explodes into its poll versions.
+    """
+    a = alerts(spark, sf_dir)
+    poll2 = from_epoch_seconds(F.lit(ALERT_POLL_2).cast("bigint"))
+    versions = F.when(F.col("doc_id") % 2 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    v = a.withColumn("_poll", F.explode(versions))
+    second = F.col("_poll") == 2
+    return (v.withColumn("updated", F.when(second, poll2).otherwise(F.col("updated")))
+            .withColumn("severity", F.when(second, F.lit("SEVERE")).otherwise(F.col("severity")))
+            .drop("_poll"))
+
+
+def replay_duplicates(vehicles: DataFrame) -> DataFrame:
+    """Repeated input: reports with event_id % 10 = 3 arrive twice (one scan, explode)."""
+    copies = F.when(F.col("event_id") % 10 == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return vehicles.withColumn("_copy", F.explode(copies)).drop("_copy")
 
 
 def _equipment_cols(p_partkey: Column, p_name: Column, p_size: Column, p_type: Column) -> list[Column]:

@@ -41,3 +41,15 @@ def test_topk_and_single_exchange(spark):
     assert "partial_max_by" in p
     p = plan(QUERIES["system_status"](spark, SF_SMALL)).split("\n\n")[0]
     assert "BroadcastHashJoin LeftOuter BuildRight" in p and "SortMergeJoin" not in p
+
+
+# Queries whose sources are each read exactly once (a table may appear twice only
+# when two record tables derive from it, e.g. part for equipment and outages).
+SCAN_ONCE = {"summary_stats": 5, "feed_health": 4, "system_status": 1, "vehicles_dedup": 1,
+             "equipment_availability": 3, "alerts_latest": 1, "vehicles_latest": 1, "top_routes": 1}
+
+
+@pytest.mark.parametrize("name", sorted(SCAN_ONCE))
+def test_each_source_read_once(spark, name):
+    tree = plan(QUERIES[name](spark, SF_SMALL)).split("\n\n")[0]
+    assert tree.count("Scan parquet") == SCAN_ONCE[name]

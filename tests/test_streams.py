@@ -46,7 +46,7 @@ def test_route_stats_stream_equals_batch_and_short_watermark_drops(spark):
 
 def test_stream_dedup_within_watermark(spark):
     v = R.vehicles(spark, SF_SMALL)
-    replay = v.unionByName(v.filter(F.col("event_id") % 10 == 3))
+    replay = R.replay_duplicates(v)
     path = fresh_dir(spark, "landing-dup")
     FD.publish(FD.vehicle_messages(replay.repartition(4, "id")), path=path)
     out, ck = fresh_dir(spark, "t-dup"), fresh_dir(spark, "ck-dup")
