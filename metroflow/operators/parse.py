@@ -150,7 +150,8 @@ def outages(messages: DataFrame, kind: str | Column = "current") -> DataFrame:
         cur = F.lit(kind == "current")
     else:
         cur = kind == F.lit("outages_current")
-    o = dec.select(cur.alias("is_current"), F.explode("msg.data.nyct_ene.outages").alias("o"))
+    o = dec.select(cur.alias("is_current"), F.col("msg.timestamp").alias("poll_time"),
+                   F.explode("msg.data.nyct_ene.outages").alias("o"))
     x = F.col("o")
     return o.select(
         x.getField("outage_id").alias("outage_id"),
@@ -160,15 +161,18 @@ def outages(messages: DataFrame, kind: str | Column = "current") -> DataFrame:
         _d(x.getField("reason").getField("reason_name"), "").alias("reason"),
         _d(x.getField("latest_status").getField("status_name"), "").alias("latest_status"),
         "is_current",
+        from_epoch_seconds(F.col("poll_time")).alias("fetch_time"),
     )
 
 
 def equipment(messages: DataFrame) -> DataFrame:
     """One row per equipment."""
     dec = valid(decode(messages, SC.EQUIPMENT_ENVELOPE))
-    q = dec.select(F.explode("msg.data.nyct_ene_equipments.equipments").alias("q"))
+    q = dec.select(F.col("msg.timestamp").alias("poll_time"),
+                   F.explode("msg.data.nyct_ene_equipments.equipments").alias("q"))
     x = F.col("q")
-    return q.select(*_station_cols(x), _d(x.getField("ada"), False).alias("ada"))
+    return q.select(*_station_cols(x), _d(x.getField("ada"), False).alias("ada"),
+                    from_epoch_seconds(F.col("poll_time")).alias("fetch_time"))
 
 
 def conform(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:

@@ -176,21 +176,29 @@ def _limited(df: DataFrame, key: list[str], limit: int | None) -> DataFrame:
 
 # --- aggregates (E1, E6, E7, J4) --------------------------------------------
 
-def route_alert_status(spark: SparkSession, alerts: DataFrame, routes: list[str] | None = None) -> DataFrame:
+def route_alert_status(spark: SparkSession, alerts: DataFrame, routes: list[str] | None = None,
+                       mode: str = "dim") -> DataFrame:
     """Per route, alert count, severe count, status and colour.
 
     One explode + groupBy replaces a pair of counts per route; the reduced
     counts (at most one row per route) join the route dimension, whose size
-    is fixed by the route list.
+    is fixed by the route list. ``mode='reference'`` keeps the API's route list
+    and its exact comparison of the stored severity with 'severe'.
     """
-    routes = routes or (RD.SUBWAY_CODES + ["SIR"])
-    classified = alerts if "severity_class" in alerts.columns else classify_alerts(alerts)
-    per = (classified
-           .select("id", "severity_class", F.explode(F.array_distinct("routes")).alias("route_id"))
+    if mode == "reference":
+        routes = routes or RD.REFERENCE_SUBWAY_LIST
+        severe = F.col("severity") == F.lit("severe")
+        base = alerts
+    else:
+        routes = routes or (RD.SUBWAY_CODES + ["SIR"])
+        base = alerts if "severity_class" in alerts.columns else classify_alerts(alerts)
+        severe = F.col("severity_class") == "SEVERE"
+    per = (base
+           .select("id", severe.alias("_severe"), F.explode(F.array_distinct("routes")).alias("route_id"))
            .filter(F.col("route_id").isin(*routes))
            .groupBy("route_id")
            .agg(F.count(F.lit(1)).alias("alerts_count"),
-                F.count_if(F.col("severity_class") == "SEVERE").alias("severe_count")))
+                F.count_if(F.col("_severe")).alias("severe_count")))
     # ``per`` has at most one row per listed route, so broadcasting it is bounded by the list.
     dim = spark.createDataFrame([(r,) for r in routes], "route_id string")
     return (dim.join(F.broadcast(per), "route_id", "left")

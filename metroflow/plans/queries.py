@@ -345,6 +345,24 @@ def system_status(spark: SparkSession, d: str) -> DataFrame:
     return api.route_alert_status(spark, act, _STATUS_ROUTES)
 
 
+@register("system_status_ref", W(f"""
+, x AS (SELECT id, route_1 AS route_id, severity FROM alert_polls
+        UNION ALL SELECT id, route_2, severity FROM alert_polls WHERE route_2 <> route_1),
+r AS (SELECT unnest([{S.in_list(RD.REFERENCE_SUBWAY_LIST)}]) AS route_id),
+c AS (SELECT r.route_id, count(x.id) AS alerts_count,
+             count(x.id) FILTER (WHERE x.severity = 'severe') AS severe_count
+      FROM r LEFT JOIN x ON x.route_id = r.route_id GROUP BY r.route_id)
+SELECT route_id, alerts_count, severe_count,
+       CASE WHEN severe_count > 0 THEN 'delay' WHEN alerts_count > 0 THEN 'caution' ELSE 'good' END AS status,
+       {S.sql_api_color('route_id')} AS color
+FROM c""", "alert_polls").replace("\n, x AS", ", x AS", 1))
+def system_status_ref(spark: SparkSession, d: str) -> DataFrame:
+    """E6 as the API computes it: every stored alert document (both polls), its 22-code
+    route list, and the exact 'severe' comparison (so 'delay' never shows)."""
+    polls = R.alert_polls(spark, d).select("id", "severity", "routes")
+    return api.route_alert_status(spark, polls, mode="reference")
+
+
 @register("route_stats_hourly", W("""
 SELECT time_bucket(INTERVAL 1 hour, ts) AS window_start, time_bucket(INTERVAL 1 hour, ts) + INTERVAL 1 hour AS window_end,
        line_id, route_id, count(*) AS count

@@ -99,17 +99,31 @@ PARSERS = {
     "outages_upcoming": lambda m: PA.outages(m, "upcoming"),
 }
 
+# Newest version per key, by poll time (feeds re-send every record on each poll).
+LATEST_ORDER_BY_FEED = {"alerts": ["updated"], "equipment": ["fetch_time"],
+                        "outages_current": ["fetch_time"], "outages_upcoming": ["fetch_time"]}
+
 
 def feed_job(messages: DataFrame, kind: str, out_root: str, checkpoint: str, available_now: bool = False,
              rejects: bool = True) -> StreamingQuery:
-    """Store one non-vehicle feed (append), with rejected messages kept aside."""
-    table = SC.feed(kind).tables[0]
-    env = SC.feed(kind).envelope
+    """Store one non-vehicle feed: append every version (K1), fold the newest
+    version per key into ``<table>_latest`` (A14/K2), keep rejected messages (P4)."""
+    f = SC.feed(kind)
+    table = f.tables[0]
 
     def store(batch, bid, qid):
-        K.append_batch(K.stamp(PARSERS[kind](batch)), bid, f"{out_root}/{table}", qid=qid)
+        rows = PARSERS[kind](batch)
+        if kind in LATEST_ORDER_BY_FEED:
+            rows = rows.persist()
+        try:
+            K.append_batch(K.stamp(rows), bid, f"{out_root}/{table}", qid=qid)
+            if kind in LATEST_ORDER_BY_FEED:
+                K.upsert_latest(rows, bid, f"{out_root}/{table}_latest/{kind}", list(f.key),
+                                LATEST_ORDER_BY_FEED[kind], qid=qid)
+        finally:
+            rows.unpersist()
         if rejects:
-            rej = PA.rejected(PA.decode(batch, env))
+            rej = PA.rejected(PA.decode(batch, f.envelope))
             K.append_batch(rej, bid, f"{out_root}/rejects/{kind}", qid=qid)
 
     return _start(messages, K.fan_out([store]), kind, f"{checkpoint}/{kind}", trigger_options(kind, available_now))

@@ -27,6 +27,11 @@ def test_stream_latest_equals_batch(spark):
     hist = K.read_appended(spark, f"{out}/vehicle_history")
     assert hist.count() == R.vehicles(spark, SF_SMALL).count()
     assert "event_date" in hist.columns
+    # history is partitioned by event date under each batch folder: a date filter prunes files
+    day = hist.filter(F.col("event_date") == "2024-01-29")
+    p = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in p and "event_date" in p
+    assert day.count() == R.vehicles(spark, SF_SMALL).filter(F.to_date("ts") == "2024-01-29").count()
 
 
 def test_route_stats_stream_equals_batch_and_short_watermark_drops(spark):
@@ -78,6 +83,17 @@ def test_other_feeds_and_supervision(spark):
     J.await_all(spark, [q])
     assert K.read_appended(spark, f"{out}/alerts").count() == R.alerts(spark, SF_SMALL).count()
     assert K.read_appended(spark, f"{out}/rejects/alerts").count() == 1
+    schema = PA.alerts(spark.createDataFrame([], FD.SC.MESSAGE)).schema
+    latest = K.read_latest(spark, f"{out}/alerts_latest/alerts", schema)
+    assert latest.count() == R.alerts(spark, SF_SMALL).count()
+
+    # the second poll re-sends the even alerts as SEVERE: latest state keeps one version each
+    FD.publish(FD.alert_messages(R.alert_polls(spark, SF_SMALL).filter(F.col("doc_id") % 2 == 0)), path=path)
+    J.await_all(spark, [J.feed_job(FD.landing_stream(spark, path, "alerts"), "alerts", out, ck, available_now=True)])
+    latest = K.read_latest(spark, f"{out}/alerts_latest/alerts", schema)
+    assert latest.count() == R.alerts(spark, SF_SMALL).count()
+    assert latest.filter(F.col("severity") == "SEVERE").count() == \
+        R.alerts(spark, SF_SMALL).filter((F.col("doc_id") % 2 == 0) | (F.col("severity") == "SEVERE")).count()
 
     bad = fresh_dir(spark, "landing-bad")
     FD.publish(FD.vehicle_messages(R.vehicles(spark, SF_SMALL).limit(5)), path=bad)
