@@ -232,6 +232,11 @@ def sql_page_route_label(r: str) -> str:
             f"ELSE 'Line ' || coalesce({r}, '') END)")
 
 
+def sql_is_bus(r: str) -> str:
+    return (f"coalesce(({r} LIKE 'M%' AND length({r}) > 1) OR ({r} LIKE 'B%' AND length({r}) > 1) "
+            f"OR {r} LIKE 'Bx%' OR ({r} LIKE 'Q%' AND length({r}) > 1) OR {r} LIKE 'X%' OR {r} LIKE 'SIM%', false)")
+
+
 def _low(x: str) -> str:
     return f"lower(coalesce({x}, ''))"
 

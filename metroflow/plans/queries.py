@@ -148,13 +148,15 @@ def _seen_routes(spark, d) -> DataFrame:
 @register("route_type", W(f"""
 SELECT route_id, {S.sql_page_route_type('route_id')} AS route_type,
        {S.sql_page_route_label('route_id')} AS route_label,
-       {S.sql_route_kind('route_id')} AS kind, {S.sql_route_family('route_id')} AS family
+       {S.sql_route_kind('route_id')} AS kind, {S.sql_route_family('route_id')} AS family,
+       {S.sql_is_bus('route_id')} AS is_bus
 FROM {_SEEN_ROUTES_SQL} r""", "vehicles", "alerts"))
 def route_type(spark: SparkSession, d: str) -> DataFrame:
     r = _seen_routes(spark, d)
     return r.select("route_id", RD.page_route_type("route_id").alias("route_type"),
                     RD.page_route_label("route_id").alias("route_label"),
-                    RD.route_kind("route_id").alias("kind"), RD.route_family("route_id").alias("family"))
+                    RD.route_kind("route_id").alias("kind"), RD.route_family("route_id").alias("family"),
+                    RD.is_bus_route("route_id").alias("is_bus"))
 
 
 @register("route_color", W(f"""
