@@ -54,3 +54,33 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared root (never reused, never cleared)."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 partition_bytes: int = 256 << 20, broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Session settings for a cluster run over ``input_bytes`` of Parquet.
+
+    Scan splits and shuffle partitions target ``partition_bytes``; AQE starts
+    from enough shuffle partitions for the largest exchange (a projected,
+    partially aggregated share of the input, taken as a quarter here) and
+    coalesces the rest at run time. Broadcasts happen only below
+    ``broadcast_bytes`` of measured size. Pure computation: apply it with
+    ``SparkSession.builder.config(map=...)`` or ``spark-submit --conf``.
+    """
+    slots = executors * cores_per_executor
+    shuffle_bytes = input_bytes // 4
+    initial = max(3 * slots, -(-shuffle_bytes // partition_bytes))
+    initial = min(initial, 200_000)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }

@@ -40,3 +40,12 @@ def test_top_is_take_ordered(spark):
     top = O.top(df, 3, [F.col("n").desc()], ["k"])
     assert [tuple(r) for r in top.collect()] == [(8, 8), (8, 17), (8, 26)]
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cluster_conf_scales_with_input():
+    from metroflow.session import cluster_conf
+    big = cluster_conf(100 * 10**12, executors=1000, cores_per_executor=8)
+    small = cluster_conf(10 * 10**9, executors=10, cores_per_executor=4)
+    assert int(big["spark.sql.shuffle.partitions"]) >= 24_000
+    assert int(small["spark.sql.shuffle.partitions"]) == 120
+    assert big["spark.sql.adaptive.enabled"] == "true" and int(big["spark.sql.autoBroadcastJoinThreshold"]) <= 64 << 20
