@@ -115,3 +115,9 @@ def test_triggers_and_registry():
     assert len(SC.LINE_FEEDS) == 8 and SC.feed("outages_upcoming").poll_seconds == 120
     with pytest.raises(KeyError):
         SC.feed("nope")
+
+
+def test_topic_source_needs_connector(spark):
+    """The topic source is configured per feed; without the connector jar it fails at load."""
+    with pytest.raises(Exception, match="(?i)kafka"):
+        FD.topic_stream(spark, "broker:9092", "alerts", starting="earliest", max_offsets=1000)
