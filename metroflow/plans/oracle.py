@@ -83,7 +83,8 @@ SELECT concat('EQ', CAST(p.p_partkey AS VARCHAR)) AS equipment_id,
        p.p_size % 3 = 0 AS ada
 FROM part p""",
     "outages": f"""
-SELECT concat('OUT', CAST(l.l_orderkey AS VARCHAR)) AS outage_id,
+SELECT concat('OUT', CAST(l.l_orderkey AS VARCHAR), '-', CAST(l.l_partkey AS VARCHAR), '-',
+              CAST(l.l_suppkey AS VARCHAR)) AS outage_id,
        concat('EQ', CAST(l.l_partkey AS VARCHAR)) AS equipment_id,
        p.p_name AS station,
        split_part('{_BOROUGHS}', ',', CAST(p.p_partkey % 5 AS INT) + 1) AS borough,

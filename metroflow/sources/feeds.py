@@ -113,7 +113,8 @@ def _iso(ts: Column) -> Column:
 
 def outage_messages(outages: DataFrame, poll: Column | None = None, per_message: int = PER_MESSAGE) -> DataFrame:
     """Current and upcoming outage feeds (by ``is_current``), up to ``per_message`` per envelope."""
-    n = F.substring(F.col("outage_id"), 4, 1 << 20).cast("bigint")
+    # chunk by order number: at most 100 orders (and their few first line items) per envelope
+    n = F.element_at(F.split(F.substring(F.col("outage_id"), 4, 1 << 20), "-"), 1).cast("bigint")
     elem = F.struct(
         F.col("outage_id"), F.col("equipment_id"),
         F.struct(F.col("station").alias("name"), F.col("borough")).alias("station"),
