@@ -245,12 +245,6 @@ def route_box(route: Column | str) -> Column:
     return expr.otherwise(box(*DEFAULT_BOX))
 
 
-DIM_SCHEMA = T.StructType([
-    T.StructField("route_id", T.StringType(), False),
-    T.StructField("family", T.StringType(), True),
-])
-
-
 def routes_dim(spark: SparkSession, codes: list[str] | None = None) -> DataFrame:
     """The route dimension as a DataFrame (fixed size: one row per code).
 

@@ -3,7 +3,7 @@
 Counts and min/max reduce partially in each map task before the exchange,
 so hot keys (a route holding a third of all rows) cost one row per task in
 the shuffle. Maps are returned as sorted ``k:v`` strings built from the
-already-reduced groups, never from raw rows.
+already-reduced groups, never from raw rows (see ``plans.api.vehicle_figures``).
 """
 
 from __future__ import annotations
@@ -25,13 +25,6 @@ def windowed_count(df: DataFrame, ts: str, duration: str, *keys: str, name: str
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, name))
 
 
-def map_string(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """One-row frame holding ``k1:v1,k2:v2`` sorted by key, from a reduced frame."""
-    return df.agg(F.array_join(
-        F.array_sort(F.collect_list(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("null")), F.lit(":"),
-                                             F.col(value).cast("string")))), ",").alias(name))
-
-
 def bounds(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """Bounding box."""
     return df.agg(F.min(lat).alias("min_lat"), F.max(lat).alias("max_lat"),

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from metroflow import schemas as SC
 from metroflow.functions.time import from_epoch_seconds, normalize_time
+from metroflow.operators.predicates import has_field
 
 
 def decode(messages: DataFrame, envelope: T.StructType, required: list[str] | None = None) -> DataFrame:
@@ -113,7 +114,7 @@ def alerts(messages: DataFrame) -> DataFrame:
     dec = valid(decode(messages, SC.ALERT_ENVELOPE))
     e = dec.select(F.coalesce(F.col("msg.data.header.timestamp"), F.col("msg.timestamp")).alias("feed_time"),
                    F.explode("msg.data.entity").alias("e"))
-    e = e.filter(F.col("e.alert").isNotNull())
+    e = e.filter(has_field("e.alert"))
     a = F.col("e.alert")
     first_period = F.try_element_at(a.getField("active_period"), F.lit(1))
     return e.select(

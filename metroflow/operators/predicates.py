@@ -5,7 +5,6 @@ down to the scan where the column is a stored one.
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -98,10 +97,6 @@ def text_contains(text: str | None, *cols: Column | str, regex: bool = False) ->
     return reduce(lambda a, b: a | b, conds)
 
 
-def escape_regex(text: str) -> str:
-    return re.escape(text)
-
-
 def is_value(value, col: str) -> Column | None:
     """Optional equality (tri-state: None means no filter)."""
     return None if value is None else (F.col(col) == F.lit(value))
