@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from metroflow.functions import named_expr
+
 # ---------------------------------------------------------------------------
 # Fixed values (labels and keywords of the dashboard's rules).
 # ---------------------------------------------------------------------------
@@ -39,6 +41,7 @@ def _has(text: Column, *words: str) -> Column:
     return cond
 
 
+@named_expr
 def severity(sev: Column | str, header: Column | str, description: Column | str) -> Column:
     """Dashboard severity rule.
 
@@ -57,6 +60,7 @@ def severity(sev: Column | str, header: Column | str, description: Column | str)
     )
 
 
+@named_expr
 def severity_page(sev: Column | str, header: Column | str) -> Column:
     """Alert page variant: only when severity is missing or UNKNOWN, header only,
     delay first (MODERATE), then suspend/emergency (SEVERE), else LOW."""
@@ -74,6 +78,7 @@ def _missing(x: Column) -> Column:
     return x.isNull() | x.isin(*MISSING_TEXT)
 
 
+@named_expr
 def alert_type(kind: Column | str, header: Column | str) -> Column:
     """Alert type from the header when the given one is null, empty or N/A."""
     k, h = _c(kind), _low(header)
@@ -87,6 +92,7 @@ def alert_type(kind: Column | str, header: Column | str) -> Column:
     )
 
 
+@named_expr
 def alert_effect(effect: Column | str, header: Column | str) -> Column:
     """Alert effect from the header when the given one is null, empty or N/A."""
     e, h = _c(effect), _low(header)
@@ -101,6 +107,7 @@ def alert_effect(effect: Column | str, header: Column | str) -> Column:
     )
 
 
+@named_expr
 def route_status(severe_count: Column | str, alerts_count: Column | str) -> Column:
     """delay if any severe alert, caution if any alert, else good."""
     return (
@@ -110,6 +117,7 @@ def route_status(severe_count: Column | str, alerts_count: Column | str) -> Colu
     )
 
 
+@named_expr
 def vehicle_status_text(status: Column | str, stop_id: Column | str) -> Column:
     """'Stopped at R12' etc.; unknown codes read 'Unknown'."""
     s = _c(status)
@@ -119,6 +127,7 @@ def vehicle_status_text(status: Column | str, stop_id: Column | str) -> Column:
     return F.concat_ws(" ", label, _c(stop_id))
 
 
+@named_expr
 def chart_label(route: Column | str, line: Column | str) -> Column:
     """Bar label of the top-routes chart."""
     r, ln = _c(route), _c(line)
@@ -132,6 +141,7 @@ def chart_label(route: Column | str, line: Column | str) -> Column:
     )
 
 
+@named_expr
 def cut_description(desc: Column | str) -> Column:
     """Description shown in the recent-alerts card: 120 characters and '...', or a default."""
     d = _c(desc)

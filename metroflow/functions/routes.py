@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from metroflow.functions import named_expr
+
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the dashboard's and the API's for equal results).
 # ---------------------------------------------------------------------------
@@ -115,6 +117,7 @@ def _lookup(pairs, key: Column) -> Column:
     return F.try_element_at(_lit_map(pairs), key)
 
 
+@named_expr
 def bus_prefix(route: Column | str) -> Column:
     """Longest bus prefix (SIM, Bx, M, B, Q, X) that is followed by a digit, else null."""
     r = _c(route)
@@ -125,6 +128,7 @@ def bus_prefix(route: Column | str) -> Column:
     return out
 
 
+@named_expr
 def route_kind(route: Column | str) -> Column:
     """subway, railway, bus, express, simexpress or other (canonical dimension)."""
     r = _c(route)
@@ -139,6 +143,7 @@ def route_kind(route: Column | str) -> Column:
     )
 
 
+@named_expr
 def route_family(route: Column | str) -> Column:
     """IRT, IND, BMT, S, SIR, BUS, EXPRESS, SIMEXPRESS or null."""
     r = _c(route)
@@ -153,6 +158,7 @@ def route_family(route: Column | str) -> Column:
     )
 
 
+@named_expr
 def route_color(route: Column | str, variant: str = "dim") -> Column:
     """Colour of a route.
 
@@ -189,6 +195,14 @@ def route_color(route: Column | str, variant: str = "dim") -> Column:
     return F.when(empty, F.lit(NO_COLOR)).otherwise(ladder.otherwise(F.lit(default)))
 
 
+@named_expr
+def route_colors(routes: str, variant: str = "ui") -> Column:
+    """J1 over an array of routes: ``route:colour`` pairs joined by commas, in array order."""
+    pairs = F.transform(routes, lambda r: F.concat(r, F.lit(":"), route_color(r, variant)))
+    return F.array_join(pairs, ",")
+
+
+@named_expr
 def page_route_type(route: Column | str) -> Column:
     """Alert page route type: railway, bus-<borough>, bus-express, bus-staten-island-express, subway."""
     r = _c(route)
@@ -206,6 +220,7 @@ def page_route_type(route: Column | str) -> Column:
     )
 
 
+@named_expr
 def page_route_label(route: Column | str) -> Column:
     """Menu label of a route on the alert page."""
     r = _c(route)
@@ -219,6 +234,7 @@ def page_route_label(route: Column | str) -> Column:
     )
 
 
+@named_expr
 def is_bus_route(route: Column | str) -> Column:
     """Vehicle page bus test (true for local, express and SIM buses)."""
     r = _c(route)
@@ -230,6 +246,7 @@ def is_bus_route(route: Column | str) -> Column:
     )
 
 
+@named_expr
 def route_box(route: Column | str) -> Column:
     """struct(lat_lo, lat_hi, lon_lo, lon_hi) of a route, first matching box, else the default."""
     r = _c(route)

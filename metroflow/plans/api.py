@@ -72,13 +72,12 @@ def active_at(alerts: DataFrame, as_of) -> DataFrame:
 
 def classify_alerts(alerts: DataFrame) -> DataFrame:
     """C1-C3 + J1: severity, type, effect and per-route colours of each alert."""
-    colors = F.transform("routes", lambda r: F.concat(r, F.lit(":"), RD.route_color(r, "ui")))
     return alerts.select(
         "*",
         C.severity("severity", "header", "description").alias("severity_class"),
         C.alert_type("alert_type", "header").alias("alert_type_class"),
         C.alert_effect("effect", "header").alias("effect_class"),
-        F.array_join(colors, ",").alias("route_colors"),
+        RD.route_colors("routes", "ui").alias("route_colors"),
     )
 
 

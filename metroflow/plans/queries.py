@@ -19,6 +19,7 @@ from metroflow.plans import api
 from metroflow.plans import oracle as S
 from metroflow.plans.catalog import register
 from metroflow.sources import records as R
+from metroflow.sources.tables import spread
 
 # Fixed as_of values and parameters of the registered queries.
 EVENTS_AS_OF = "2024-01-30 00:00:00"
@@ -553,7 +554,7 @@ def feed_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _vehicle_messages_with_breaks(spark, d) -> DataFrame:
-    v = R.vehicles(spark, d)
+    v = spread(R.vehicles(spark, d))
     elem = F.struct(*[F.col(c) for c in FD._VEHICLE_FIELDS])
     env = F.to_json(F.struct(F.col("line_id"), F.col("timestamp"), F.array(elem).alias("data")))
     value = F.when(F.col("event_id") % 97 == 0, F.substring(env, 1, 20)).otherwise(env)

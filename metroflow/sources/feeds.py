@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from metroflow import schemas as SC
 from metroflow.functions.time import epoch_seconds
 from metroflow.sources import records as R
+from metroflow.sources.tables import spread
 
 PER_MESSAGE = 100
 
@@ -31,7 +32,7 @@ def vehicle_messages(vehicles: DataFrame) -> DataFrame:
     """One message per position report, keyed by the line (the feed it came from)."""
     elem = F.struct(*[F.col(c) for c in _VEHICLE_FIELDS])
     env = F.struct(F.col("line_id"), F.col("timestamp"), F.array(elem).alias("data"))
-    return vehicles.select(*_message("vehicles", F.col("line_id"), env))
+    return spread(vehicles).select(*_message("vehicles", F.col("line_id"), env))
 
 
 def trip_stops(vehicles: DataFrame) -> Column:
@@ -54,7 +55,7 @@ def trip_update_messages(vehicles: DataFrame) -> DataFrame:
                     F.col("start_date"), F.col("vehicle_id"), trip_stops(vehicles).alias("stops"),
                     F.col("timestamp"))
     env = F.struct(F.col("line_id"), F.col("timestamp"), F.array(elem).alias("data"))
-    return vehicles.select(*_message("trip_updates", F.col("line_id"), env))
+    return spread(vehicles).select(*_message("trip_updates", F.col("line_id"), env))
 
 
 def _translations(text: Column, did: Column, with_variants: bool) -> Column:
@@ -99,7 +100,7 @@ def alert_entities(alerts: DataFrame) -> DataFrame:
 
 def alert_messages(alerts: DataFrame, per_message: int = PER_MESSAGE) -> DataFrame:
     """Alert feed messages: up to ``per_message`` alerts per envelope, one envelope per (poll, chunk)."""
-    e = alert_entities(alerts)
+    e = alert_entities(spread(alerts))
     g = (e.groupBy("_poll", F.floor(F.col("_n") / per_message).alias("_chunk"))
          .agg(F.flatten(F.collect_list("_ents")).alias("entity")))
     data = F.struct(F.struct(F.col("_poll").alias("timestamp")).alias("header"), F.col("entity"))
@@ -124,7 +125,7 @@ def outage_messages(outages: DataFrame, poll: Column | None = None, per_message:
         F.struct(F.col("reason").alias("reason_name")).alias("reason"),
         F.struct(F.col("latest_status").alias("status_name")).alias("latest_status"))
     poll = poll if poll is not None else F.lit(R.ALERT_POLL_1).cast("bigint")
-    g = (outages.select(F.col("is_current"), F.floor(n / per_message).alias("_chunk"), elem.alias("o"))
+    g = (spread(outages).select(F.col("is_current"), F.floor(n / per_message).alias("_chunk"), elem.alias("o"))
          .groupBy("is_current", "_chunk").agg(F.collect_list("o").alias("outages")))
     feed = F.when(F.col("is_current"), F.lit("outages_current")).otherwise(F.lit("outages_upcoming"))
     env = F.struct(poll.alias("timestamp"),
@@ -139,7 +140,7 @@ def equipment_messages(equipment: DataFrame, poll: Column | None = None, per_mes
                     F.struct(F.col("station").alias("name"), F.col("borough")).alias("station"),
                     F.col("equipment_type"), F.col("serving"), F.col("ada"))
     poll = poll if poll is not None else F.lit(R.ALERT_POLL_1).cast("bigint")
-    g = (equipment.select(F.floor(n / per_message).alias("_chunk"), elem.alias("q"))
+    g = (spread(equipment).select(F.floor(n / per_message).alias("_chunk"), elem.alias("q"))
          .groupBy("_chunk").agg(F.collect_list("q").alias("equipments")))
     env = F.struct(poll.alias("timestamp"),
                    F.struct(F.struct(F.col("equipments")).alias("nyct_ene_equipments")).alias("data"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metroflow.functions.time import epoch_seconds, from_epoch_seconds
-from metroflow.sources.tables import read_table
+from metroflow.sources.tables import per_session, read_table
 
 # ---------------------------------------------------------------------------
 # Fixed values of the record rules (FIXTURES.md §B).
@@ -49,6 +49,7 @@ def _pick(values: list, idx_1based: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), idx_1based.cast("int"))
 
 
+@per_session
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vehicle position records, one per event."""
     e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
@@ -81,6 +82,7 @@ def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alert records of the first poll, one per document (the whole text is the description)."""
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
@@ -111,6 +113,7 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def alert_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both polls, as the alert table holds them before latest-state reduction.
 
@@ -142,6 +145,7 @@ def _equipment_cols(p_partkey: Column, p_name: Column, p_size: Column, p_type: C
     ]
 
 
+@per_session
 def equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elevator/escalator equipment, one per part."""
     p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_size"])
@@ -152,6 +156,7 @@ def equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@per_session
 def outages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outages, one per order (its first line item), described by the part's equipment."""
     li = (read_table(spark, sf_dir, "lineitem",
