@@ -116,9 +116,14 @@ def is_current(col: str = "is_current") -> Column:
     return F.coalesce(F.col(col), F.lit(False))
 
 
+def cutoff(as_of, hours: float) -> Column:
+    """as_of - hours (a constant Catalyst folds, so predicates on it reach the scan)."""
+    return F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(hours * 3600)} SECONDS")
+
+
 def since(as_of, hours: float, col: str = "window_start") -> Column:
     """col >= as_of - hours."""
-    return F.col(col) >= (F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(hours * 3600)} SECONDS"))
+    return F.col(col) >= cutoff(as_of, hours)
 
 
 def usable_position(lat: str = "latitude", lon: str = "longitude") -> Column:

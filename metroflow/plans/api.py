@@ -208,9 +208,26 @@ def route_alert_status(spark: SparkSession, alerts: DataFrame, routes: list[str]
             .withColumn("color", RD.route_color("route_id", "api")))
 
 
-def hourly_route_stats(history: DataFrame) -> DataFrame:
+def hourly_route_stats(history: DataFrame, time_col: str = "ts") -> DataFrame:
     """A10: vehicles per (hour window, line, route)."""
-    return A.windowed_count(history, "ts", STATS_WINDOW, "line_id", "route_id")
+    return A.windowed_count(history, time_col, STATS_WINDOW, "line_id", "route_id")
+
+
+def route_stats_report(history: DataFrame, as_of, line_id: str | None = None, hours: int = STATS_HOURS,
+                       limit: int | None = None, time_col: str = "ts") -> DataFrame:
+    """E7 straight from the reports, reading only the trailing ``hours``.
+
+    A window that starts at or after the cutoff holds only reports at or after
+    it, so the reports are filtered on their own time before the aggregate:
+    that predicate reaches the Parquet scan (and prunes ``event_date``
+    partitions of a stored history), where F14 on the window start could not.
+    Windows this cuts short start before the cutoff and F14 drops them.
+    """
+    start = P.cutoff(as_of, hours)
+    h = history.filter(F.col(time_col) >= start)
+    if "event_date" in history.columns:
+        h = h.filter(F.col("event_date") >= F.to_date(start))
+    return recent_route_stats(hourly_route_stats(h, time_col), as_of, line_id, hours, limit)
 
 
 def recent_route_stats(stats: DataFrame, as_of, line_id: str | None = None,

@@ -382,7 +382,7 @@ SELECT * FROM (
 WHERE window_start >= TIMESTAMP '{EVENTS_AS_OF}' - INTERVAL 24 hour
 ORDER BY window_start DESC, line_id, route_id LIMIT 100""", "vehicles"))
 def route_stats_24h(spark: SparkSession, d: str) -> DataFrame:
-    return api.recent_route_stats(api.hourly_route_stats(R.vehicles(spark, d)), EVENTS_AS_OF)
+    return api.route_stats_report(R.vehicles(spark, d), EVENTS_AS_OF)
 
 
 @register("distinct_stations", W("SELECT DISTINCT station FROM outages WHERE is_current", "outages"))

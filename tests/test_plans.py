@@ -53,3 +53,19 @@ SCAN_ONCE = {"summary_stats": 5, "feed_health": 4, "system_status": 1, "vehicles
 def test_each_source_read_once(spark, name):
     # the formatted plan names each scan twice (tree and details), subqueries included
     assert plan(QUERIES[name](spark, SF_SMALL)).count("Scan parquet") == 2 * SCAN_ONCE[name]
+
+
+def test_route_stats_report_reads_only_the_trailing_hours(spark):
+    p = plan(QUERIES["route_stats_24h"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(ts,2024-01-29T00:00)" in p  # the cutoff reaches the scan
+
+
+@pytest.mark.parametrize("as_of", ["2024-01-30 00:00:00", "2024-01-20 07:45:30"])
+def test_route_stats_report_equals_the_unpruned_answer(spark, as_of):
+    from metroflow.plans import api
+    from metroflow.sources import records as R
+    v = R.vehicles(spark, SF_SMALL)
+    pruned = api.route_stats_report(v, as_of, limit=1000)
+    whole = api.recent_route_stats(api.hourly_route_stats(v), as_of, limit=1000)
+    assert whole.count() > 0
+    assert pruned.exceptAll(whole).count() == 0 and whole.exceptAll(pruned).count() == 0
