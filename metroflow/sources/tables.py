@@ -69,7 +69,11 @@ def spread(df: DataFrame) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # a session without an RDD view (Spark Connect): leave the plan as it is
+        return df
+    if parts >= slots:
         return df
     return df.repartition(slots)
