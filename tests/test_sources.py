@@ -54,3 +54,14 @@ def test_rule_expressions_are_built_once_per_column_name(spark):
     df = spark.createDataFrame([("A",), ("M15",)], "route_id string")
     got = {r.route_id: r.c for r in df.select("route_id", RD.route_color("route_id", "ui").alias("c")).collect()}
     assert got == {"A": "#0039A6", "M15": "#4D92FB"}
+
+
+def test_spread_runs_no_job_and_skips_inputs_with_exchanges(spark):
+    st = spark.sparkContext.statusTracker()
+    joined = R.outages(spark, SF_SMALL)          # lineitem join part
+    grouped = R.vehicles(spark, SF_SMALL).groupBy("route_id").count()
+    before = len(st.getJobIdsForGroup(None))
+    assert T.spread(joined) is joined
+    assert T.spread(grouped) is grouped
+    T.spread(R.vehicles(spark, SF_SMALL))
+    assert len(st.getJobIdsForGroup(None)) == before
