@@ -69,3 +69,17 @@ def test_route_stats_report_equals_the_unpruned_answer(spark, as_of):
     whole = api.recent_route_stats(api.hourly_route_stats(v), as_of, limit=1000)
     assert whole.count() > 0
     assert pruned.exceptAll(whole).count() == 0 and whole.exceptAll(pruned).count() == 0
+
+
+def test_building_a_query_runs_no_job(spark):
+    """Queries are lazy: nothing executes until the caller's action. (Opening a
+    table reads one Parquet footer for its schema, once per session: done first.)"""
+    st = spark.sparkContext.statusTracker()
+    for name in BATCH:
+        QUERIES[name](spark, SF_SMALL)
+    ran = {}
+    for name in BATCH:
+        before = len(st.getJobIdsForGroup(None))
+        QUERIES[name](spark, SF_SMALL)
+        ran[name] = len(st.getJobIdsForGroup(None)) - before
+    assert {k: v for k, v in ran.items() if v} == {}
