@@ -130,19 +130,32 @@ def feed_job(messages: DataFrame, kind: str, out_root: str, checkpoint: str, ava
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Wait on all queries; the first failure stops the rest and is raised."""
+    """Wait on all queries; the first failure among them stops the rest and is raised.
+
+    The session's "any termination" signal also fires for other queries (and
+    keeps an old failure until reset), so it only wakes us up: failures are
+    read from these queries themselves, also when they ended before the wait.
+    """
     try:
         while any(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination(int(timeout_s * 1000) if timeout_s else None)
+            try:
+                spark.streams.awaitAnyTermination(timeout_s)
+            except Exception:  # raised for any failed query of the session; ours are checked below
+                pass
             spark.streams.resetTerminated()
-            for q in queries:
-                if not q.isActive and q.exception() is not None:
-                    raise q.exception()
+            _raise_first_failure(queries)
             if timeout_s:
                 break
+        _raise_first_failure(queries)
     finally:
         failed = any((not q.isActive) and q.exception() is not None for q in queries)
         if failed or timeout_s:
             for q in queries:
                 if q.isActive:
                     q.stop()
+
+
+def _raise_first_failure(queries: list[StreamingQuery]) -> None:
+    for q in queries:
+        if not q.isActive and q.exception() is not None:
+            raise q.exception()

@@ -114,11 +114,12 @@ def current_version(spark: SparkSession, root: str) -> dict | None:
 
 
 def upsert_latest(batch: DataFrame, batch_id: int, root: str, key: list[str], order: list[str],
-                  qid: str | None = None, target_rows_per_file: int = 1_000_000) -> int:
+                  qid: str | None = None, target_rows_per_file: int = 1_000_000, keep: int = 2) -> int:
     """K2/K3: fold the batch into the newest-row-per-key snapshot under ``root``.
 
     Returns the snapshot version after the call. Keyless rows go to
-    ``<root>/keyless`` (K1) and are read back by ``read_latest``.
+    ``<root>/keyless`` (K1) and are read back by ``read_latest``. Only the
+    newest ``keep`` versions are kept (a retried batch needs the one before).
     """
     spark = batch.sparkSession
     qid = qid or query_id(batch)
@@ -142,9 +143,27 @@ def upsert_latest(batch: DataFrame, batch_id: int, root: str, key: list[str], or
     snap.write.mode("overwrite").parquet(path)
     _write_new_file(spark, f"{_pointer_dir(root)}/{version:010d}.json",
                     json.dumps({"version": version, "batch": tag, "path": path}))
+    expire_versions(spark, root, version, keep)
     return version
 
 
+def expire_versions(spark: SparkSession, root: str, current: int, keep: int = 2) -> None:
+    """Delete snapshot versions older than the newest ``keep``: pointers first, so no
+    reader resolves to a version being removed, then the version folders (which
+    also clears folders a crashed writer left without a pointer)."""
+    if keep < 2:
+        raise ValueError("keep at least two versions: a retried batch rebuilds from the previous one")
+    oldest = current - keep + 1
+    fs, _ = _fs(spark, root)
+    jvm = spark.sparkContext._jvm
+    for name in _list_names(spark, _pointer_dir(root)):
+        if name.endswith(".json") and int(name[:-5]) < oldest:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{_pointer_dir(root)}/{name}"), False)
+    for name in _list_names(spark, root):
+        if name.startswith("v=") and int(name[2:].split("-", 1)[0]) < oldest:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{name}"), True)
+
+
 def read_latest(spark: SparkSession, root: str, schema) -> DataFrame:
     """Current snapshot plus the keyless rows."""
     cur = current_version(spark, root)

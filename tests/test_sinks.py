@@ -53,3 +53,22 @@ def test_max_counters(spark):
     K.merge_max(df, 0, t, qid="q")
     K.merge_max(spark.createDataFrame([("k1", 3)], "k string, count long"), 1, t, qid="q")
     assert sorted(tuple(r) for r in K.read_max(spark, t, ["k"], "count").collect()) == [("k1", 3), ("k2", 5)]
+
+
+def test_upsert_keeps_only_the_newest_versions(spark):
+    import os
+    root = fresh_dir(spark, "t-retain")
+    rows = [("v1", 1, "e1", 1)]
+    for i in range(5):
+        rows = [("v1", i + 1, f"e{i}", i), (f"w{i}", i + 1, f"f{i}", i)]
+        assert K.upsert_latest(frame(spark, rows), i, root, ["vehicle_id"], ["event_time", "id"], qid="q") == i
+    local = root.replace("file:", "")
+    versions = sorted(n for n in os.listdir(local) if n.startswith("v="))
+    pointers = sorted(os.listdir(f"{local}/_versions"))
+    assert [v.split("-")[0] for v in versions] == ["v=0000000003", "v=0000000004"]
+    assert [p for p in pointers if p.endswith(".json")] == ["0000000003.json", "0000000004.json"]
+    out = K.read_latest(spark, root, frame(spark, []).schema)
+    assert sorted((r["vehicle_id"], r["id"]) for r in out.collect()) == [
+        ("v1", "e4"), ("w0", "f0"), ("w1", "f1"), ("w2", "f2"), ("w3", "f3"), ("w4", "f4")]
+    # a retry of the last batch is still recognised and skipped
+    assert K.upsert_latest(frame(spark, rows), 4, root, ["vehicle_id"], ["event_time", "id"], qid="q") == 4

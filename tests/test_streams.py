@@ -121,3 +121,26 @@ def test_topic_source_needs_connector(spark):
     """The topic source is configured per feed; without the connector jar it fails at load."""
     with pytest.raises(Exception, match="(?i)kafka"):
         FD.topic_stream(spark, "broker:9092", "alerts", starting="earliest", max_offsets=1000)
+
+
+def test_await_all_ignores_failures_of_other_queries(spark):
+    """An earlier failed query of the session neither fails nor cuts short a later wait."""
+    bad = fresh_dir(spark, "landing-bad2")
+    FD.publish(FD.vehicle_messages(R.vehicles(spark, SF_SMALL).limit(5)), path=bad)
+
+    def boom(batch, bid, qid):
+        raise RuntimeError("sink down")
+
+    failed = J._start(FD.landing_stream(spark, bad, "vehicles"), K.fan_out([boom]), "boom2",
+                      fresh_dir(spark, "ck-boom2"), {"availableNow": True})
+    with pytest.raises(Exception, match="sink down"):
+        J.await_all(spark, [failed])
+    with pytest.raises(Exception, match="sink down"):
+        J.await_all(spark, [failed])  # already ended: its failure is still reported
+
+    path, out, ck = fresh_dir(spark, "landing-ok"), fresh_dir(spark, "out-ok"), fresh_dir(spark, "ck-ok")
+    FD.publish(FD.vehicle_messages(R.vehicles(spark, SF_SMALL).repartition(4, "id")), path=path)
+    good = J.vehicle_job(FD.landing_stream(spark, path, "vehicles", max_files=1), out, ck, available_now=True)
+    J.await_all(spark, [good])
+    assert not good.isActive and good.exception() is None
+    assert K.read_appended(spark, f"{out}/vehicle_history").count() == R.vehicles(spark, SF_SMALL).count()
