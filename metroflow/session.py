@@ -83,4 +83,6 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # commit each batch's state changes, not whole state snapshots, to the checkpoint
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }

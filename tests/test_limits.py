@@ -49,3 +49,4 @@ def test_cluster_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) >= 24_000
     assert int(small["spark.sql.shuffle.partitions"]) == 120
     assert big["spark.sql.adaptive.enabled"] == "true" and int(big["spark.sql.autoBroadcastJoinThreshold"]) <= 64 << 20
+    assert big["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] == "true"
