@@ -83,3 +83,25 @@ def test_building_a_query_runs_no_job(spark):
         QUERIES[name](spark, SF_SMALL)
         ran[name] = len(st.getJobIdsForGroup(None)) - before
     assert {k: v for k, v in ran.items() if v} == {}
+
+
+def test_route_stats_report_prunes_history_partitions(spark):
+    from metroflow.operators import parse as PA
+    from metroflow.plans import api
+    from metroflow.session import fresh_dir
+    from metroflow.sources import feeds as FD
+    from metroflow.sources import records as R
+    from metroflow.streaming import sinks as K
+    from pyspark.sql import functions as F
+    parsed = PA.vehicles(FD.vehicle_messages(R.vehicles(spark, SF_SMALL))).withColumn(
+        "event_date", F.to_date("event_time"))
+    table = fresh_dir(spark, "t-history")
+    K.append_batch(parsed, 0, table, ["event_date"], qid="q")
+    history = K.read_appended(spark, table)
+    as_of = "2024-01-20 07:45:30"
+    pruned = api.route_stats_report(history, as_of, limit=1000, time_col="event_time")
+    p = plan(pruned)
+    assert "PartitionFilters: [isnotnull(event_date" in p and "(event_date#" in p and ">= 2024-01-19)" in p
+    whole = api.recent_route_stats(api.hourly_route_stats(history, "event_time"), as_of, limit=1000)
+    assert whole.count() > 0
+    assert pruned.exceptAll(whole).count() == 0 and whole.exceptAll(pruned).count() == 0
