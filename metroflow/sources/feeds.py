@@ -5,6 +5,8 @@ A message frame has ``feed``, ``key`` and ``value`` (JSON text), the shape of
 a topic record. Encoding is per row (``to_json``); the alert and elevator
 feeds pack up to ``per_message`` entities into one envelope, grouped by a
 dense integer id, so a message never holds more than that many entities.
+The per-row encoders ``spread`` a narrow input before the JSON work; the
+grouping encoders need not, as their grouping shuffle already spreads it.
 """
 
 from __future__ import annotations
@@ -100,7 +102,7 @@ def alert_entities(alerts: DataFrame) -> DataFrame:
 
 def alert_messages(alerts: DataFrame, per_message: int = PER_MESSAGE) -> DataFrame:
     """Alert feed messages: up to ``per_message`` alerts per envelope, one envelope per (poll, chunk)."""
-    e = alert_entities(spread(alerts))
+    e = alert_entities(alerts)
     g = (e.groupBy("_poll", F.floor(F.col("_n") / per_message).alias("_chunk"))
          .agg(F.flatten(F.collect_list("_ents")).alias("entity")))
     data = F.struct(F.struct(F.col("_poll").alias("timestamp")).alias("header"), F.col("entity"))
@@ -125,7 +127,7 @@ def outage_messages(outages: DataFrame, poll: Column | None = None, per_message:
         F.struct(F.col("reason").alias("reason_name")).alias("reason"),
         F.struct(F.col("latest_status").alias("status_name")).alias("latest_status"))
     poll = poll if poll is not None else F.lit(R.ALERT_POLL_1).cast("bigint")
-    g = (spread(outages).select(F.col("is_current"), F.floor(n / per_message).alias("_chunk"), elem.alias("o"))
+    g = (outages.select(F.col("is_current"), F.floor(n / per_message).alias("_chunk"), elem.alias("o"))
          .groupBy("is_current", "_chunk").agg(F.collect_list("o").alias("outages")))
     feed = F.when(F.col("is_current"), F.lit("outages_current")).otherwise(F.lit("outages_upcoming"))
     env = F.struct(poll.alias("timestamp"),
@@ -140,7 +142,7 @@ def equipment_messages(equipment: DataFrame, poll: Column | None = None, per_mes
                     F.struct(F.col("station").alias("name"), F.col("borough")).alias("station"),
                     F.col("equipment_type"), F.col("serving"), F.col("ada"))
     poll = poll if poll is not None else F.lit(R.ALERT_POLL_1).cast("bigint")
-    g = (spread(equipment).select(F.floor(n / per_message).alias("_chunk"), elem.alias("q"))
+    g = (equipment.select(F.floor(n / per_message).alias("_chunk"), elem.alias("q"))
          .groupBy("_chunk").agg(F.collect_list("q").alias("equipments")))
     env = F.struct(poll.alias("timestamp"),
                    F.struct(F.struct(F.col("equipments")).alias("nyct_ene_equipments")).alias("data"))
