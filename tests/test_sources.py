@@ -65,3 +65,15 @@ def test_spread_runs_no_job_and_skips_inputs_with_exchanges(spark):
     assert T.spread(grouped) is grouped
     T.spread(R.vehicles(spark, SF_SMALL))
     assert len(st.getJobIdsForGroup(None)) == before
+
+
+def test_spread_leaves_a_wide_scan_alone(spark):
+    """A folder with at least one file split per slot (any large input) gets no shuffle."""
+    from metroflow.session import fresh_dir
+    slots = spark.sparkContext.defaultParallelism
+    folder = fresh_dir(spark, "t-wide")
+    T.read_table(spark, SF_SMALL, "events", ["event_id", "ts"]).repartition(slots).write.parquet(folder)
+    wide = spark.read.parquet(folder)
+    assert wide.rdd.getNumPartitions() >= slots
+    assert T.spread(wide) is wide
+    assert "Exchange" not in _plan(wide.select("event_id"))
