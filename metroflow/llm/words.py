@@ -107,6 +107,16 @@ def fold(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def running(h: np.ndarray) -> np.ndarray:
+    """Running sums of ``h`` from which ``span`` takes the hash of any stretch."""
+    return np.concatenate((np.zeros(1, U), np.cumsum(h * _power(_BASE, len(h)), dtype=U)))
+
+
+def span(total: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of the values from ``a`` to before ``b``, the same wherever they stand."""
+    return (total[b] - total[a]) * _power(_INVERSE, len(total))[a]
+
+
 def sequence_hash(h: np.ndarray, salt: int = 0) -> int:
     """Hash of a whole sequence of values, its length included."""
     total = np.sum(mix(h ^ U(salt)) * _power(_BASE, len(h)), dtype=U) if len(h) else U(0)
