@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metroflow.llm import jaccard_join, language_id, substring_dedup, url_filter
+from metroflow.llm import ann_forest, embedding_dedup, jaccard_join, language_id, substring_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +60,25 @@ r(rh, rp, rv) AS (VALUES """ + ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in
 m AS (SELECT page_id, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(rv, length(rh || rp)) AS verdict
       FROM c JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id)
 SELECT c.page_id, c.host, c.path, m.rule, coalesce(m.verdict, 'allow') AS verdict FROM c LEFT JOIN m USING (page_id)"""
+
+
+@_query
+def op4_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_forest.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+@_query
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+ORACLES["op10_embedding_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL),
+n AS (SELECT *, sqrt(list_inner_product(e, e)) AS s FROM v),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_inner_product(a.e, b.e) >= 0.98 * a.s * b.s),
+c AS (SELECT x, y FROM l UNION SELECT c.x, l.y FROM c JOIN l ON c.y = l.x)
+SELECT vec_id, (SELECT count(*) FROM l WHERE x = vec_id) AS n_links,
+       least(vec_id, coalesce((SELECT min(y) FROM c WHERE x = vec_id), vec_id)) AS component_id,
+       vec_id <= coalesce((SELECT min(y) FROM c WHERE x = vec_id), vec_id) AS kept FROM embeddings"""

@@ -217,15 +217,19 @@ def _repeated_keys(rows: DataFrame) -> DataFrame:
 
 
 def _window_rows(rows: DataFrame, window: int, rounds: int) -> DataFrame:
-    """Windows with a repeated key: the batch's earliest of each, and (hash null) the starts of the others by document."""
+    """Windows with a repeated key: the batch's earliest of each, and (check null) the starts of the others by document."""
     def run(batches):
         for b in batches:
-            wanted, ids, docs = b.column("keys"), b.column("seq").to_numpy(), b.column("doc_id").to_pylist()
+            wanted, tie, docs = b.column("keys"), b.column("tie").to_numpy(), b.column("id").to_pylist()
             flat, offs = wanted.values.to_numpy().view(U), wanted.offsets.to_numpy()
             order = np.array([-2**63 if x is None else x for x in docs], np.int64)
+            met, again = set(), np.zeros(len(docs), bool)  # a repeated row is the same document
+            for k, x in enumerate(zip(docs, tie.tolist())):
+                again[k] = x in met
+                met.add(x)
             parts = []
             for i, j, h, words, starts, keys, _, doc in _each_window(b.column("t").to_pylist(), window, rounds):
-                keep = np.isin(keys, flat[offs[i]:offs[j]])
+                keep = np.isin(keys, flat[offs[i]:offs[j]]) & ~again[doc + i]
                 starts, doc = starts[keep], doc[keep]
                 one = fold(h, window)[starts]
                 two = fold(mix(h + U(0x632BE59BD9B4E019)), window)[starts]
@@ -233,36 +237,52 @@ def _window_rows(rows: DataFrame, window: int, rounds: int) -> DataFrame:
             if not parts:
                 continue
             one, two, doc, start = (np.concatenate(x) for x in zip(*parts))
-            by = np.lexsort((start, ids[doc], order[doc], two, one))
-            lead = np.concatenate(([True], (one[by][1:] != one[by][:-1]) | (two[by][1:] != two[by][:-1])))
+            by = np.lexsort((start, tie[doc], order[doc], two, one))
+            lead = np.concatenate(([True], (one[by][1:] != one[by][:-1]) | (two[by][1:] != two[by][:-1])))[:len(by)]
             c, late = by[lead], by[~lead]
             for k in range(0, len(c), 200_000):
                 s = c[k:k + 200_000]
-                yield _windows_batch(signed(one[s]), signed(two[s]), order[doc[s]], ids[doc[s]], start[s], None)
+                yield _windows_batch(one[s], two[s], order[doc[s]], tie[doc[s]], start[s], None)
             late = late[np.argsort(doc[late], kind="stable")]
-            cut = np.flatnonzero(np.concatenate(([True], doc[late][1:] != doc[late][:-1]))) if len(late) else []
-            if len(cut):
+            if len(late):
+                cut = np.flatnonzero(np.concatenate(([True], doc[late][1:] != doc[late][:-1])))
                 d = doc[late][cut]
                 lists = pa.ListArray.from_arrays(pa.array(np.append(cut, len(late)), pa.int32()), pa.array(start[late].astype(np.int32)))
-                yield _windows_batch(None, None, order[d], ids[d], None, lists)
-    return rows.mapInArrow(run, "hash long, check long, doc long, seq long, start int, late array<int>")
+                yield _windows_batch(mix(order[d].view(U)), None, order[d], tie[d], None, lists)
+    return rows.mapInArrow(run, "hash long, check long, doc long, tie int, start int, late array<int>")
 
 
-def _windows_batch(one, two, doc, seq, start, late):
+def _windows_batch(one, two, doc, tie, start, late):
     n = len(doc)
     return pa.RecordBatch.from_arrays(
-        [pa.nulls(n, pa.int64()) if one is None else pa.array(one), pa.nulls(n, pa.int64()) if two is None else pa.array(two), pa.array(doc), pa.array(seq),
+        [pa.array(signed(one)), pa.nulls(n, pa.int64()) if two is None else pa.array(signed(two)), pa.array(doc), pa.array(tie.astype(np.int32)),
          pa.nulls(n, pa.int32()) if start is None else pa.array(start.astype(np.int32)), pa.nulls(n, pa.list_(pa.int32())) if late is None else late],
-        ["hash", "check", "doc", "seq", "start", "late"])
+        ["hash", "check", "doc", "tie", "start", "late"])
 
 
 def _repeats(found: DataFrame) -> DataFrame:
-    """(seq, starts): per document, the starts of windows that occur earlier."""
-    at = F.coalesce("hash", F.col("seq"))
-    own = Window.partitionBy("at", "hash", "check")
-    late = (found.withColumn("at", at).withColumn("low", F.min(F.struct("doc", "seq", "start")).over(own))
-            .where("hash is null or struct(doc, seq, start) > low"))
-    return late.groupBy("seq").agg(F.flatten(F.collect_list(F.coalesce("late", F.array("start")))).alias("starts"))
+    """(doc, tie, starts): per document, the starts of windows that occur earlier."""
+    own = Window.partitionBy("hash", "check")
+    late = found.withColumn("low", F.min(F.struct("doc", "tie", "start")).over(own)).where("check is null or struct(doc, tie, start) > low")
+    return late.groupBy("doc", "tie").agg(F.flatten(F.collect_list(F.coalesce("late", F.array("start")))).alias("starts"))
+
+
+def _own_texts(src: DataFrame, heads: DataFrame) -> DataFrame:
+    """The rows of ``heads`` (id, seq, ties, ...) with their text ``t``; among texts that share an id, the one of those words."""
+    both = src.join(heads, src["doc_id"].eqNullSafe(heads["id"])).drop("doc_id")
+
+    def run(batches):
+        for b in batches:
+            ties = b.column("ties").to_numpy()
+            if (ties == 1).all():
+                yield b
+                continue
+            texts, seq, ok = b.column("t").to_pylist(), b.column("seq").to_numpy(), []
+            for i, t in enumerate(texts):
+                if ties[i] == 1 or signed(np.array([sequence_hash(Words([t]).hashes())], U))[0] == seq[i]:
+                    ok.append(i)
+            yield b.take(pa.array(ok, pa.int64()))
+    return both.mapInArrow(run, both.schema)
 
 
 def _cut(rows: DataFrame, window: int) -> DataFrame:
@@ -296,17 +316,19 @@ def substring_dedup(docs: DataFrame, window: int = 20, rounds: int = ROUNDS, id_
     src = _documents(docs, id_col, text_col)
     each = written(_sequences(src), "substring-sequences")
     first = each.groupBy("seq").agg(F.min("doc_id").alias("first"))
+    # equal ids of different texts are told apart by tie
+    own = Window.partitionBy("first")
+    first = written(first.withColumn("tie", F.row_number().over(own.orderBy("seq")) - 1).withColumn("ties", F.count(F.lit(1)).over(own)), "substring-first")
     wanted = _repeated_keys(_anchor_rows(src, window, rounds))
-    heads = wanted.join(first, "seq").select("seq", F.col("first").alias("id"), "keys")
-    texts = src.join(heads, src["doc_id"].eqNullSafe(heads["id"]))
-    found = _window_rows(texts.select("t", "seq", "keys", "doc_id"), window, rounds)
+    heads = wanted.join(first, "seq").select(F.col("first").alias("id"), "tie", "ties", "seq", "keys")
+    texts = _own_texts(src, heads)
+    found = _window_rows(texts.select("t", "keys", "id", "tie"), window, rounds)
     starts = written(_repeats(found), "substring-repeats")
-    heads = starts.join(first, "seq").select("seq", F.col("first").alias("id"), "starts")
-    cut = src.join(heads, src["doc_id"].eqNullSafe(heads["id"])).select("t", "seq", "starts")
-    if not with_text:
-        done = _cut(cut, window).drop("kept")
-    else:
-        done = _cut(cut, window)
+    place = F.coalesce("first", F.lit(-2**63))
+    heads = starts.join(first, (place == starts["doc"]) & (first["tie"] == starts["tie"])).select("seq", F.col("first").alias("id"), "ties", "starts")
+    cut = _own_texts(src, heads).select("t", "seq", "starts")
+    done = _cut(cut, window)
+    done = (done if with_text else done.drop("kept")).dropDuplicates(["seq"])
     rows = each.join(first, "seq").join(done, "seq", "left")
     copy = ~F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("n_words") >= window)
     out = rows.select("doc_id", "n_words", F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0).cast("long"))).alias("n_removed"),
