@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metroflow.llm import ann_forest, embedding_dedup, jaccard_join, language_id, substring_dedup, url_filter
+from metroflow.llm import ann_forest, embedding_dedup, jaccard_join, language_id, quality, substring_dedup, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +82,20 @@ c AS (SELECT x, y FROM l UNION SELECT c.x, l.y FROM c JOIN l ON c.y = l.x)
 SELECT vec_id, (SELECT count(*) FROM l WHERE x = vec_id) AS n_links,
        least(vec_id, coalesce((SELECT min(y) FROM c WHERE x = vec_id), vec_id)) AS component_id,
        vec_id <= coalesce((SELECT min(y) FROM c WHERE x = vec_id), vec_id) AS kept FROM embeddings"""
+
+
+@_query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    out = language_id.held_out("doc_id", 5, 0)
+    got = quality.score(docs, quality.fit(docs, labels.where(~out), "quality"))
+    return got.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    out = language_id.held_out("doc_id", 5, 0)
+    got = toxicity.score(docs, toxicity.fit(docs, labels.where(~out), "toxic"))
+    return got.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                      F.size("passages").alias("n_passages"))

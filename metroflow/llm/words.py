@@ -20,6 +20,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: All ASCII but letters and digits: what is left are words without punctuation.
+PUNCTUATION = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 CHUNK_BYTES = 1 << 21
 _GROUP_BYTES = 1 << 20
 _powers: dict[int, np.ndarray] = {}
@@ -70,18 +72,20 @@ def chunks(texts: list[bytes | None], size: int = CHUNK_BYTES) -> Iterator[tuple
 class Words:
     """The words of some texts: byte bounds in ``data``, and each text's first word in ``offsets``."""
 
-    def __init__(self, texts: list[bytes | None], lower: bool = False):
+    def __init__(self, texts: list[bytes | None], lower: bool = False, space: np.ndarray = _SPACE):
         raw = b"\n".join([t or b"" for t in texts]) + b"\n"
         data = np.frombuffer(raw, np.uint8)
         self.data = _LOWER[data] if lower else data
-        edge = np.flatnonzero(np.diff(_SPACE[data].astype(np.int8), prepend=np.int8(1)))
+        edge = np.flatnonzero(np.diff(space[data].astype(np.int8), prepend=np.int8(1)))
         self.starts, self.ends = edge[::2], edge[1::2]
         lengths = np.fromiter((len(t) if t else 0 for t in texts), np.int64, len(texts))
         bounds = np.concatenate(([0], np.cumsum(lengths + 1)))
         self.offsets = np.searchsorted(self.starts, bounds)
         self.text_bounds = bounds
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self, ends: np.ndarray | None = None) -> np.ndarray:
+        """A hash of each word, or of its part before ``ends``."""
+        ends = self.ends if ends is None else ends
         out = np.empty(len(self.starts), U)
         i, n = 0, len(self.starts)
         while i < n:
@@ -91,7 +95,7 @@ class Words:
             total = np.empty(size + 1, U)
             total[0] = 0
             np.cumsum(_TABLE[self.data[at:at + size]] * _power(_BASE, size), out=total[1:])
-            s, e = self.starts[i:j] - at, self.ends[i:j] - at
+            s, e = self.starts[i:j] - at, ends[i:j] - at
             out[i:j] = mix((total[e] - total[s]) * _power(_INVERSE, size)[s] + (e - s).astype(U))
             i = j
         return out
