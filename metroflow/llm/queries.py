@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metroflow.llm import ann_forest, embedding_dedup, jaccard_join, language_id, quality, substring_dedup, toxicity, url_filter
+from metroflow.llm import ann_forest, embedding_dedup, jaccard_join, language_id, mixing, pieces, quality, substring_dedup, toxicity, url_filter
+from metroflow.llm.frames import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +101,26 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = toxicity.score(docs, toxicity.fit(docs, labels.where(~out), "toxic"))
     return got.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
                       F.size("passages").alias("n_passages"))
+
+
+#: The public tokenizer file; a parameter, never part of the repository.
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+@_query
+def op7_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(_table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+def mix_targets(counted: DataFrame) -> dict[str, dict[str, float]]:
+    """Tempered targets: sources by the root of their tokens, languages by the power 0.7, topics by 0.8."""
+    return {d: mixing.tempered(counted, F.col("n_tokens"), F.col(d), power) for d, power in (("source", 0.5), ("lang", 0.7), ("topic", 0.8))}
+
+
+@_query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    counted = written(docs.withColumn("n_tokens", mixing.n_tokens(F.col("text"))).select(
+        "doc_id", "source", "lang", mixing.topic_of(F.col("text"), F.col("n_tokens")).alias("topic"), "n_tokens", F.xxhash64("text").alias("text_hash")), "mix-counts")
+    got = mixing.mix(counted, mix_targets(counted), share=0.5, text_col="text_hash")
+    return got.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled")

@@ -2,9 +2,10 @@
 
 Tokens are runs of letters and digits, A-Z lower-cased. A token's score is its log-odds
 between toxic and other labelled documents, counted at most ``MOST`` times a document, under a Dirichlet
-prior in the proportions of all sampled tokens; log-odds that their own deviation doesn't carry (under
-``MIN_Z``) count as 0. A token without log-odds of its own takes those of its first ``STEM`` bytes. Less
-a drift, so that the mean score of other text is negative.
+prior in the proportions of all sampled tokens; log-odds under ``MIN_ODDS``, or that their
+own deviation doesn't carry (under ``MIN_Z``), count as 0. Beginnings of tokens (of ``STEMS`` bytes) are counted like
+tokens, for words that occur in many forms: a token takes the log-odds, its own or of a beginning,
+that is the surest. Less a drift, so that the mean score of other text is negative.
 
 All maximal scoring segments of a text are found in one linear scan. Under text like
 that of the other documents, the best score among n tokens follows an extreme-value law,
@@ -34,9 +35,8 @@ from metroflow.llm.words import PUNCTUATION, U, Words, chunks, mix, signed
 
 PER_CLASS = 6000
 #: PRIOR: the prior's weight as a share of all counted tokens.
-PRIOR, MIN_Z, DRIFT, ALPHA = 0.05, 3.0, 0.1, 0.01
-STEM, MOST = 6, 4
-_STEM_SALT = U(0x7374656D)
+PRIOR, MIN_Z, MIN_ODDS, DRIFT, ALPHA = 0.02, 4.0, 2.0, 0.1, 0.01
+STEMS, MOST = (4, 5, 6, 7, 8), 4
 
 
 def segments(place: np.ndarray, score: np.ndarray, drift: float) -> list[tuple[int, int, float]]:
@@ -68,11 +68,11 @@ def segments(place: np.ndarray, score: np.ndarray, drift: float) -> list[tuple[i
     return [(a, b, r - l) for a, b, l, r, _ in out]
 
 
-def tokens(texts: list[bytes | None]) -> tuple[Words, np.ndarray, np.ndarray]:
-    """The texts' tokens, their hashes and those of their stems (0: a token too short to have one)."""
+def tokens(texts: list[bytes | None]) -> tuple[Words, list[np.ndarray]]:
+    """The texts' tokens; their hashes, and those of their beginnings (0: a token too short for one)."""
     w = Words(texts, lower=True, space=PUNCTUATION)
-    stem = mix(w.hashes(np.minimum(w.ends, w.starts + STEM)) ^ _STEM_SALT)
-    return w, w.hashes(), np.where(w.ends - w.starts >= STEM, stem, U(0))
+    size = w.ends - w.starts
+    return w, [w.hashes(), *(np.where(size > n, mix(w.hashes(np.minimum(w.ends, w.starts + n)) ^ U(n)), U(0)) for n in STEMS)]
 
 
 def _counted(w: Words, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,25 +83,31 @@ def _counted(w: Words, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    def __init__(self, tokens: np.ndarray, odds: np.ndarray, drift: float = DRIFT):
-        self.tokens, self.odds, self.drift = tokens, odds, drift
+    def __init__(self, tokens: np.ndarray, odds: np.ndarray, sure: np.ndarray, drift: float = DRIFT):
+        self.tokens, self.odds, self.sure, self.drift = tokens, odds, sure, drift
+        self.known = np.zeros(1 << 18, bool)  # by the hash's first bits, to pass over most tokens
+        self.known[tokens >> U(46)] = True
         self.rate, self.k, self.slope, self.offset = 1.0, 1.0, 0.0, -35.0
 
-    def lookup(self, h: np.ndarray) -> np.ndarray:
-        """Log-odds of hashes, NaN where the model has none."""
-        if not len(self.tokens):
-            return np.full(len(h), np.nan)
-        at = np.minimum(np.searchsorted(self.tokens, h), len(self.tokens) - 1)
-        return np.where(self.tokens[at] == h, self.odds[at], np.nan)
+    def lookup(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the hashes the model has, their log-odds and how sure these are."""
+        at = np.flatnonzero(self.known[h >> U(46)])
+        if not len(at):
+            return at, np.empty(0), np.empty(0)
+        place = np.minimum(np.searchsorted(self.tokens, h[at]), len(self.tokens) - 1)
+        same = self.tokens[place] == h[at]
+        return at[same], self.odds[place[same]], self.sure[place[same]]
 
     def scan(self, texts: list[bytes | None]):
         """Per text: (number of tokens, its maximal scoring segments, its Words, its first token)."""
         for a, b in chunks(texts):
-            w, h, stem = tokens(texts[a:b])
-            odds = self.lookup(h)
-            rest = np.flatnonzero(np.isnan(odds))
-            odds[rest] = self.lookup(stem[rest])
-            hit = np.flatnonzero(~np.isnan(odds))
+            w, levels = tokens(texts[a:b])
+            odds, sure = np.zeros(len(w.starts)), np.zeros(len(w.starts))
+            for h in levels:
+                at, x, z = self.lookup(h)
+                better = z > sure[at]
+                odds[at[better]], sure[at[better]] = x[better], z[better]
+            hit = np.flatnonzero(sure)
             cut = np.searchsorted(hit, w.offsets)
             score = odds[hit] - self.drift
             for i in range(b - a):
@@ -142,10 +148,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class:
             y, k, texts = b.column("y").to_numpy(), b.column("k").to_numpy(), b.column("t").to_pylist()
             for c in (0, 1):
                 for i, j in chunks(own := [texts[i] for i in np.flatnonzero((y == c) & (k % 4 != 0))]):
-                    w, h, stem = tokens(own[i:j])
-                    t, m = _counted(w, h)
-                    t2, m2 = _counted(w, stem)
-                    t, m = np.concatenate((t, t2[t2 > 0])), np.concatenate((m, m2[t2 > 0]))
+                    w, levels = tokens(own[i:j])
+                    each = [_counted(w, h) for h in levels]
+                    t, m = np.concatenate([e[0] for e in each]), np.concatenate([e[1] for e in each])
+                    t, m = t[t > 0], m[t > 0]
                     yield pa.RecordBatch.from_arrays([pa.array(signed(t)), pa.array(np.full(len(t), c, np.int32)), pa.array(m.astype(np.int64))], ["token", "y", "n"])
 
     counts = rows.mapInArrow(count, "token long, y int, n long").groupBy("token").agg(
@@ -154,16 +160,16 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", per_class:
     a, b = counts.agg(F.sum("a"), F.sum("b")).first()
     if not a or not b or not n.get(0) or not n.get(1):
         counts.unpersist()
-        return Model(np.empty(0, np.uint64), np.empty(0))
+        return Model(np.empty(0, np.uint64), np.empty(0), np.empty(0))
     total = PRIOR * (a + b)
     prior = F.lit(PRIOR) * (F.col("a") + F.col("b"))
     x, y = F.col("a") + prior, F.col("b") + prior
     odds = F.log(x / (F.lit(a + total) - x)) - F.log(y / (F.lit(b + total) - y))
-    table = counts.select("token", "b", odds.alias("odds"), (odds / F.sqrt(1 / x + 1 / y)).alias("z")).where(F.abs("z") >= MIN_Z).toArrow()
+    table = counts.select("token", "b", odds.alias("odds"), (odds / F.sqrt(1 / x + 1 / y)).alias("z")).where((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS)).toArrow()
     counts.unpersist()
     known = table.column("token").to_numpy().view(np.uint64)
     order = np.argsort(known)
-    model = Model(known[order], table.column("odds").to_numpy()[order])
+    model = Model(known[order], table.column("odds").to_numpy()[order], np.abs(table.column("z").to_numpy()[order]))
     first = spark.sparkContext.broadcast(model)
 
     def plain(batches):
