@@ -11,8 +11,12 @@ one row per document with the smallest document id reachable by links.
    so a set whose prefix holds only shingles of its own links with nothing.
    Only the hash-chosen part is counted, which is a fixed share of the
    shingles and longer than the prefix.
-3. Sets that share a prefix shingle, directly or in a chain, form a candidate
-   group (components over set-shingle edges, never over pairs).
+3. Of the sets that share a prefix shingle, those whose parity sketches (a bit per
+   hash bucket, the parity of its shingles) differ in more bits than linked sets may
+   differ in shingles are told apart; the others, directly or in a chain, form a
+   candidate group. Only which sets hang together is kept, never all pairs: a set is
+   compared with those it isn't connected with yet. A shingle in more than
+   ``shared_block`` prefixes connects its sets without a look at the sketches.
 4. Each group's sets go once to a task, which keeps them in a path-compressed
    trie in the order of hashes. A set walks the trie: the overlap of a shared
    path is counted once for all sets below, and a subtree is left when the
@@ -44,6 +48,8 @@ from metroflow.llm.words import mix, sequence_hash, shingle_sets, signed
 #: A shingle in more than this share of a task's documents, and of half this share of all, is very frequent.
 FREQUENT = 0.01
 BLOCK_SHINGLES = 400_000
+SHARED_BLOCK = 4096
+SKETCH_BITS = 4096
 HUB_MEMBERS = 32
 HUB_BLOCKS = 64
 
@@ -57,6 +63,55 @@ def links(common: int, x: int, y: int, percent: int) -> bool:
     return (100 + percent) * common >= percent * (x + y)
 
 
+def most_apart(x, y, percent: int):
+    """In how many shingles two linked sets of these sizes differ at most."""
+    return (x + y) * (100 - percent) // (100 + percent)
+
+
+def sketch(s: np.ndarray, percent: int) -> bytes:
+    """Parities of the set's shingles by hash bucket. Two sets' sketches differ in no more bits than the sets in shingles.
+
+    A longer sketch folds to a shorter one (by halves), so sets of unlike sizes compare.
+    """
+    bits = 64
+    while bits < min(SKETCH_BITS, 4 * most_apart(len(s), len(s), percent) + 64):
+        bits *= 2
+    odd = np.bincount((mix(s ^ np.uint64(0x5851F42D)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+class Sketches:
+    """Sketches of many sets, for comparing pairs in bulk."""
+
+    def __init__(self, sizes: np.ndarray, raw: list[bytes], percent: int):
+        self.sizes, self.percent = sizes, percent
+        self.words = np.array([len(r) // 8 for r in raw], np.int64)
+        self.row, self.by = np.zeros(len(raw), np.int64), {}
+        for w in np.unique(self.words).tolist():
+            at = np.flatnonzero(self.words == w)
+            self.row[at] = np.arange(len(at))
+            self.by[w] = np.frombuffer(b"".join(raw[i] for i in at.tolist()), np.uint64).reshape(len(at), w)
+
+    def _folded(self, i: np.ndarray, width: int, to: int) -> np.ndarray:
+        x = self.by[width][self.row[i]]
+        return np.bitwise_xor.reduce(x.reshape(len(i), width // to, to), axis=1) if width > to else x
+
+    def may_link(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether each pair's sizes and sketches allow a link."""
+        x, y = self.sizes[i], self.sizes[j]
+        out = 100 * np.minimum(x, y) >= self.percent * np.maximum(x, y)
+        near = np.flatnonzero(out)
+        wide, other = self.words[i[near]], self.words[j[near]]
+        for a, b in {*zip(wide.tolist(), other.tolist())}:
+            own = near[(wide == a) & (other == b)]
+            for k in range(0, len(own), 50_000):
+                at = own[k:k + 50_000]
+                to = min(a, b)
+                apart = np.bitwise_count(self._folded(i[at], a, to) ^ self._folded(j[at], b, to)).sum(1)
+                out[at] = apart <= most_apart(x[at], y[at], self.percent)
+        return out
+
+
 class _Union:
     def __init__(self, n: int):
         self.up = list(range(n))
@@ -175,8 +230,8 @@ def join_within(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tu
     return out
 
 
-def _sized(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """Pass 1: (id, size, key of the set) per document, and per task its frequent shingles."""
+def _sized(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
+    """Pass 1: (id, size, key of the set, sketch) per document, and per task its frequent shingles."""
     def run(batches):
         most, counts, seen, docs_seen = [], (np.empty(0, np.uint64), np.empty(0, np.int64)), 0, 0
 
@@ -188,10 +243,11 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
             return both[keep], total[keep]
 
         for b in batches:
-            sizes, keys = [], []
+            sizes, keys, marks = [], [], []
             for s in shingle_sets(b.column("t").to_pylist(), n):
                 sizes.append(len(s))
                 keys.append(sequence_hash(s) if len(s) else 0)
+                marks.append(sketch(s, percent))
                 docs_seen += 1
                 if len(s):
                     most.append(s)
@@ -200,18 +256,18 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
                         counts, most, seen = folded(), [], 0
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(sizes, pa.int64()), pa.array(np.array(keys, np.uint64).view(np.int64)),
-                 pa.nulls(len(sizes), pa.list_(pa.int64())), pa.nulls(len(sizes), pa.list_(pa.int64()))],
-                ["id", "size", "key", "hot", "hot_n"])
+                 pa.nulls(len(sizes), pa.list_(pa.int64())), pa.nulls(len(sizes), pa.list_(pa.int64())), pa.array(marks, pa.binary())],
+                ["id", "size", "key", "hot", "hot_n", "sketch"])
         if most:
             counts = folded()
         keep = counts[1] >= max(3, FREQUENT * docs_seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array([None], pa.int64()), pa.array([-docs_seen], pa.int64()), pa.array([0], pa.int64()),
-             pa.array([counts[0][keep].view(np.int64)], pa.list_(pa.int64())), pa.array([counts[1][keep]], pa.list_(pa.int64()))],
-            ["id", "size", "key", "hot", "hot_n"])
+             pa.array([counts[0][keep].view(np.int64)], pa.list_(pa.int64())), pa.array([counts[1][keep]], pa.list_(pa.int64())),
+             pa.nulls(1, pa.binary())], ["id", "size", "key", "hot", "hot_n", "sketch"])
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("t"))
-    return src.mapInArrow(run, "id long, size long, key long, hot array<long>, hot_n array<long>")
+    return src.mapInArrow(run, "id long, size long, key long, hot array<long>, hot_n array<long>, sketch binary")
 
 
 def _frequent(sized: DataFrame) -> np.ndarray:
@@ -288,6 +344,71 @@ def _candidates(entries: DataFrame, percent: int) -> DataFrame:
     return kept.select("token", "key")
 
 
+def _whole_groups(batches, at_least: int = 100_000):
+    """Tables of whole token groups from batches sorted by token."""
+    held, n = [], 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        n += b.num_rows
+        if n < at_least:
+            continue
+        t = pa.Table.from_batches(held)
+        token = t.column("token").to_numpy()
+        cut = int(np.searchsorted(token, token[-1]))
+        if cut:
+            yield t.slice(0, cut)
+            held, n = t.slice(cut).to_batches(), t.num_rows - cut
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _alike(t: pa.Table, percent: int) -> np.ndarray:
+    """Pairs of rows (of one token) that connect all rows whose sizes and sketches allow a link."""
+    token = t.column("token").to_numpy()
+    marks = Sketches(t.column("size").to_numpy(), t.column("sketch").to_pylist(), percent)
+    first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+    size = np.diff(np.append(first, len(token)))
+    place, total = np.arange(len(token)) - np.repeat(first, size), np.repeat(size, size)
+    out = []
+    for lag in range(1, 16):  # small groups: all their pairs, a distance at a time
+        i = np.flatnonzero((total <= 16) & (place + lag < total))
+        if not len(i):
+            break
+        ok = marks.may_link(i, i + lag)
+        out.append(np.stack([i[ok], i[ok] + lag], 1))
+    for a, n in zip(first[size > 16].tolist(), size[size > 16].tolist()):
+        label = np.arange(n)
+        for x in range(n):  # a set against all that it isn't connected with
+            rest = np.flatnonzero(label != label[x])
+            if not len(rest):
+                break
+            hit = rest[marks.may_link(np.full(len(rest), a + x), a + rest)]
+            if len(hit):
+                joined, one = np.unique(label[hit], return_index=True)
+                out.append(np.stack([np.full(len(joined), a + x), a + hit[one]], 1))
+                label[np.isin(label, joined)] = label[x]
+    return np.concatenate(out) if out else np.empty((0, 2), np.int64)
+
+
+def _group_edges(cand: DataFrame, sets: DataFrame, percent: int, shared_block: int) -> DataFrame:
+    """Edges (a, b) between keys that make the candidate groups. cand: (token, key); sets: (key, size, sketch)."""
+    count = cand.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("hub"))
+    wide = cand.join(count.where(F.col("n") > shared_block), "token").where("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))
+    rest = cand.join(sets, "key").join(count.where((F.col("n") > 1) & (F.col("n") <= shared_block)).select("token"), "token")
+
+    def run(batches):
+        for t in _whole_groups(batches):
+            pairs = _alike(t, percent)
+            if len(pairs):
+                key = t.column("key").to_numpy()
+                e = np.unique(np.stack([np.minimum(key[pairs[:, 0]], key[pairs[:, 1]]), np.maximum(key[pairs[:, 0]], key[pairs[:, 1]])], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], ["a", "b"])
+    near = rest.select("token", "key", "size", "sketch").repartition("token").sortWithinPartitions("token", "size", "key").mapInArrow(run, "a long, b long")
+    return near.union(wide)
+
+
 def _set_rows(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(grp, rep, set) of the wanted classes, from the text of the class's first document."""
     src = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").cast("binary").alias("t"))
@@ -392,15 +513,15 @@ def _linked(rows: DataFrame, percent: int, block: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text",
-                       block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+                       block_shingles: int = BLOCK_SHINGLES, shared_block: int = SHARED_BLOCK) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (see the module's notes)."""
-    sized = written(_sized(docs, id_col, text_col, n), "jaccard-sizes")
+    sized = written(_sized(docs, id_col, text_col, n, percent), "jaccard-sizes")
     each = sized.where("hot is null").select("id", "size", "key")
     classes = each.where("size > 0").groupBy("key").agg(F.min("id").alias("rep"))
     entries = _prefix_entries(docs, id_col, text_col, n, percent, _frequent(sized))
     cand = written(_candidates(entries, percent), "jaccard-prefixes")
-    hub = cand.groupBy("token").agg(F.min("key").alias("hub"))
-    groups = components(cand.join(hub, "token").where("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")))
+    sets = sized.where("size > 0").dropDuplicates(["key"]).select("key", "size", "sketch")
+    groups = components(_group_edges(cand, sets, percent, shared_block))
     wanted = groups.select(F.col("node").alias("key"), F.col("label").alias("grp")).join(classes, "key")
     rows = _set_rows(docs, wanted, id_col, text_col, n).dropDuplicates(["rep"])
     label = components(_linked(rows, percent, block_shingles))
