@@ -16,8 +16,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, per_clas
     marks = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
              .agg(F.max(label_col).cast("int").alias("y")))
     n = {r[0]: r[1] for r in marks.groupBy("y").count().collect()}
-    order = Window.partitionBy("y").orderBy(F.xxhash64("id", F.lit(salt)), "id")
-    pick = marks.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_class)  # at most 2 * per_class rows
+    # a share of each class that holds per_class rows almost surely, so that no task sorts a whole class
+    share = F.create_map(*(F.lit(x) for c in (0, 1) for x in (c, min(1.0, (1.5 * per_class + 200) / max(1, n.get(c, 0))))))
+    marks = marks.withColumn("u", F.shiftrightunsigned(F.xxhash64("id", F.lit(salt)), 11)).where(F.col("u") < share[F.col("y")] * F.lit(float(2**53)))
+    order = Window.partitionBy("y").orderBy("u", "id")
+    pick = marks.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_class).drop("u")  # at most 2 * per_class rows
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("t"))
     return texts.join(F.broadcast(pick), "id").repartition(8), n
 

@@ -120,8 +120,11 @@ def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Fit on ``rows`` (their languages non-null), at most ``sample`` documents per language."""
     spark = rows.sparkSession
     rows = rows.where(F.col(lang_col).isNotNull())
-    pick = (rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("l"))
-            .withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("id", F.lit("language sample")), "id")))
+    marks = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("l")).withColumn("u", F.shiftrightunsigned(F.xxhash64("id", F.lit("language sample")), 11))
+    sizes = marks.groupBy("l").agg(F.count(F.lit(1)).alias("n"))  # a row per language
+    # a share of each language that holds ``sample`` rows almost surely, so that no task sorts a whole language
+    marks = marks.join(F.broadcast(sizes), "l").where(F.col("u") < F.least(F.lit(1.0), F.lit(1.5 * sample + 200) / F.col("n")) * F.lit(float(2**53)))
+    pick = (marks.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("u", "id")))
             .where(F.col("k") <= sample).select("id", "l", "k"))
     langs = sorted(r[0] for r in pick.select("l").distinct().collect())
     texts = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("l"), F.col(text_col).cast("string").cast("binary").alias("t"))
