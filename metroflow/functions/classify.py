@@ -136,7 +136,7 @@ def chart_label(route: Column | str, line: Column | str) -> Column:
         F.when(unknown & ln.isNotNull() & (ln != "") & (ln != "Unknown"), F.concat(ln, F.lit(" Line")))
         .when(unknown, F.lit("Non-revenue"))
         .when(r == "SIR", F.lit("Staten Island Railway"))
-        .when(r.startswith("SIM"), F.concat(F.lit("SIM "), F.substring(r, 4, 1 << 20)))
+        .when(r.startswith("SIM"), F.concat(F.lit("SIM "), F.substr(r, F.lit(4))))
         .otherwise(r)
     )
 

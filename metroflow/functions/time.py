@@ -52,16 +52,23 @@ def to_wall_time(ts: Column | str) -> Column:
 def normalize_time(x: Column | str) -> Column:
     """One normaliser for epoch seconds, epoch milliseconds, ISO strings and null.
 
-    Input is a string or number column. Integers above 1e10 are
-    milliseconds, others seconds; anything else is tried as an ISO timestamp;
-    what does not parse is null. Result: timestamp_ntz.
+    Input is a string or number column. Numbers above 1e10 are milliseconds,
+    others seconds, fractions to the microsecond; anything else is tried as an
+    ISO timestamp: text with ``Z`` or an offset is converted to UTC, text
+    without is taken as UTC, whatever the session zone. What does not parse is
+    null. Result: timestamp_ntz.
     """
     s = F.trim(_c(x).cast("string"))
     n = F.when(s.rlike(r"^-?[0-9]+$"), s.try_cast("bigint"))
+    fraction = F.when(s.rlike(r"^-?[0-9]+\.[0-9]+$"), s.try_cast("decimal(38,9)"))
+    micros = (fraction * F.when(F.abs(fraction) > MILLIS_THRESHOLD, F.lit(1_000)).otherwise(F.lit(1_000_000))).cast("bigint")
+    zoned = s.rlike(r"[0-9]:[0-9]{2}.*(Z|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2})?)$")
     return (
         F.when(n.isNotNull() & (F.abs(n) > MILLIS_THRESHOLD), from_epoch_millis(n))
         .when(n.isNotNull(), from_epoch_seconds(n))
-        .otherwise(F.try_to_timestamp(F.regexp_replace(s, "T", " ")).cast("timestamp_ntz"))
+        .when(micros.isNotNull(), F.timestamp_add("MICROSECOND", micros, epoch0()))
+        .when(zoned, to_wall_time(F.try_to_timestamp(s)))
+        .otherwise(s.try_cast("timestamp_ntz"))
     )
 
 

@@ -155,7 +155,10 @@ def outages(messages: DataFrame, kind: str | Column = "current") -> DataFrame:
                    F.explode("msg.data.nyct_ene.outages").alias("o"))
     x = F.col("o")
     return o.select(
-        x.getField("outage_id").alias("outage_id"),
+        # the feed's outages carry no id: the equipment and the start name one
+        F.coalesce(F.nullif(x.getField("outage_id"), F.lit("")), F.when(
+            F.coalesce(x.getField("equipment_id"), F.lit("")) != "",
+            F.concat_ws("@", x.getField("equipment_id"), x.getField("outage_start_date_time")))).alias("outage_id"),
         *_station_cols(x),
         normalize_time(x.getField("outage_start_date_time")).alias("outage_start"),
         normalize_time(x.getField("estimated_return_date_time")).alias("outage_end"),

@@ -7,33 +7,39 @@ still sends one row per map task across the shuffle, never the whole group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 
 def _as_list(x: str | list[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def present(key: str) -> Column:
+    """K3: whether a row has this key; null and empty text are no key."""
+    return F.col(key).isNotNull() & (F.col(key).cast("string") != "")
+
+
 def latest_by_key(df: DataFrame, key: str | list[str], order: str | list[str], keep_keyless: bool = True) -> DataFrame:
     """Newest row per key, newest meaning the greatest ``order`` tuple.
 
-    Rows whose key is null are never merged: they are kept as they are
-    (``keep_keyless``) or dropped. One scan and one aggregate serve both: a
-    keyless row is grouped by its own ``order`` tuple, so ``order`` must be
-    unique per row (end it with a row id). Ties on ``order`` between keyed
-    rows keep one of them.
+    Rows whose key is null or empty are never merged: they are kept as they
+    are (``keep_keyless``) or dropped. One scan and one aggregate serve both: a
+    keyless row is a group of its own. Ties on ``order`` keep the row of the
+    greatest hash over all columns, so a retry keeps the same one.
     """
     keys, order_cols = _as_list(key), _as_list(order)
     cols = df.columns
     has_key = F.lit(True)
     for k in keys:
-        has_key = has_key & F.col(k).isNotNull()
+        has_key = has_key & present(k)
     src = df if keep_keyless else df.filter(has_key)
-    row_key = F.when(~has_key, F.struct(*order_cols)).alias("_row")
+    row = F.when(~has_key, F.monotonically_increasing_id())
+    tie = F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)])
     return (
-        src.groupBy(*keys, row_key)
-        .agg(F.max_by(F.struct(*cols), F.struct(*order_cols)).alias("_latest"))
+        src.withColumn("_row", row).groupBy(*keys, "_row")
+        .agg(F.max_by(F.struct(*cols), F.struct(*order_cols, tie.alias("_tie"))).alias("_latest"))
         .select("_latest.*")
     )
 

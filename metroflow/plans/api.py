@@ -121,7 +121,7 @@ def unnest_position(df: DataFrame) -> DataFrame:
 
 def vehicles_listing(latest: DataFrame, route_id: str | None = None, route_type: str | None = None,
                      family: str | None = None, box: tuple | None = None, mode: str = "dim",
-                     limit: int | None = None) -> DataFrame:
+                     limit: int | None = O.DEFAULT_LIMIT) -> DataFrame:
     """Vehicles filtered by route, route type, family and box (all ANDed), key order."""
     preds = [P.route_is(route_id), P.route_type_is(route_type, mode=mode), P.family_is(family)]
     if box is not None:
@@ -131,7 +131,7 @@ def vehicles_listing(latest: DataFrame, route_id: str | None = None, route_type:
 
 
 def alerts_listing(alerts: DataFrame, route_id: str | None = None, severity: str | None = None,
-                   search: str | None = None, limit: int | None = None) -> DataFrame:
+                   search: str | None = None, limit: int | None = O.DEFAULT_LIMIT) -> DataFrame:
     """Classified alerts filtered by route, severity (after classification) and text.
 
     Takes raw alerts or ones from ``prepare_alerts`` (then the search must match its ``search``).
@@ -146,7 +146,7 @@ def alerts_listing(alerts: DataFrame, route_id: str | None = None, severity: str
 
 def outages_listing(outages: DataFrame, station: str | None = None, borough: str | None = None,
                     equipment_type: str | None = None, kind: str | None = "current", regex: bool = False,
-                    limit: int | None = None) -> DataFrame:
+                    limit: int | None = O.DEFAULT_LIMIT) -> DataFrame:
     """Outages by type and case-insensitive substring filters."""
     out = P.where_all(outages, P.outage_type_is(kind),
                       P.text_contains(station, "station", regex=regex),
@@ -157,7 +157,7 @@ def outages_listing(outages: DataFrame, station: str | None = None, borough: str
 
 def equipment_listing(equipment: DataFrame, station: str | None = None, borough: str | None = None,
                       equipment_type: str | None = None, ada: bool | None = None, regex: bool = False,
-                      limit: int | None = None) -> DataFrame:
+                      limit: int | None = O.DEFAULT_LIMIT) -> DataFrame:
     """E5: equipment by substring filters and the tri-state ada flag."""
     out = P.where_all(equipment, P.text_contains(station, "station", regex=regex),
                       P.text_contains(borough, "borough", regex=regex),
@@ -167,7 +167,7 @@ def equipment_listing(equipment: DataFrame, station: str | None = None, borough:
 
 
 def _limited(df: DataFrame, key: list[str], limit: int | None) -> DataFrame:
-    """A limit is checked and applied after ordering by the key."""
+    """A limit is checked and applied after ordering by the key; None, which a caller must name, is the whole listing."""
     if limit is None:
         return df
     return O.top(df, O.check_limit(limit), [], key)
@@ -231,7 +231,7 @@ def route_stats_report(history: DataFrame, as_of, line_id: str | None = None, ho
 
 
 def recent_route_stats(stats: DataFrame, as_of, line_id: str | None = None,
-                       hours: int = STATS_HOURS, limit: int | None = None) -> DataFrame:
+                       hours: int = STATS_HOURS, limit: int | None = O.DEFAULT_LIMIT) -> DataFrame:
     """Windows of the last ``hours`` before ``as_of``, newest first, limited."""
     out = P.where_all(stats, P.is_value(line_id, "line_id"), P.since(as_of, hours))
     return O.top(out, O.check_limit(limit), [F.col("window_start").desc()], ["line_id", "route_id"])
@@ -380,7 +380,7 @@ def recent_alerts_card(alerts: DataFrame, n: int = RECENT_ALERTS_N) -> DataFrame
 def outages_board(outages: DataFrame, kind: str = "current", equipment_type: str | None = None,
                   station: str | None = None, search: str | None = None) -> DataFrame:
     """E10 rows: type, station (server side), exact equipment type and text search (client side)."""
-    rows = outages_listing(outages, station=station, kind=kind)
+    rows = outages_listing(outages, station=station, kind=kind, limit=None)
     rows = P.where_all(rows, P.is_value(equipment_type, "equipment_type"),
                        P.text_contains(search, "station", "serving", "reason"))
     return rows.select(

@@ -83,7 +83,7 @@ SELECT concat('EQ', CAST(p.p_partkey AS VARCHAR)) AS equipment_id,
        p.p_size % 3 = 0 AS ada
 FROM part p""",
     "outages": f"""
-SELECT concat('OUT', CAST(l.l_orderkey AS VARCHAR), '-', CAST(l.l_partkey AS VARCHAR), '-',
+SELECT concat('OUT', CAST(l.l_orderkey AS VARCHAR), '-', CAST(l.l_linenumber AS VARCHAR), '-', CAST(l.l_partkey AS VARCHAR), '-',
               CAST(l.l_suppkey AS VARCHAR)) AS outage_id,
        concat('EQ', CAST(l.l_partkey AS VARCHAR)) AS equipment_id,
        p.p_name AS station,
@@ -97,8 +97,7 @@ SELECT concat('OUT', CAST(l.l_orderkey AS VARCHAR), '-', CAST(l.l_partkey AS VAR
                            ELSE 'Capital Replacement' END AS reason,
        CASE WHEN l.l_linestatus = 'O' THEN 'OUT_OF_SERVICE' ELSE 'PLANNED' END AS latest_status,
        l.l_linestatus = 'O' AS is_current
-FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
-WHERE l.l_linenumber = 1""",
+FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey""",
 }
 
 # Both alert polls: the second repeats the even documents 60 s later as SEVERE.

@@ -19,12 +19,12 @@ from metroflow.plans import api
 from metroflow.plans import oracle as S
 from metroflow.plans.catalog import register
 from metroflow.sources import records as R
-from metroflow.sources.tables import spread
 
 # Fixed as_of values and parameters of the registered queries.
 EVENTS_AS_OF = "2024-01-30 00:00:00"
 ALERTS_AS_OF = "2024-01-15 00:00:00"
 HEALTH_VEHICLES_AS_OF = "2024-01-31 00:00:00"
+HEALTH_OUTAGES_AS_OF = "1999-01-01 00:00:00"
 BOX = (40.70, 40.80, -74.00, -73.90)
 
 
@@ -194,7 +194,7 @@ _VL_COLS = ["id", "vehicle_id", "route_id", "line_id"]
 SELECT id, vehicle_id, route_id, line_id, latitude, longitude, bearing, ts AS event_time
 FROM vehicles_latest WHERE route_id = 'A'""", "vehicles_latest"))
 def vehicles_list(spark: SparkSession, d: str) -> DataFrame:
-    listed = api.vehicles_listing(api.nest_position(_latest(spark, d, "id", "route_id", "line_id", "latitude", "longitude", "bearing")), route_id="A")
+    listed = api.vehicles_listing(api.nest_position(_latest(spark, d, "id", "route_id", "line_id", "latitude", "longitude", "bearing")), route_id="A", limit=None)
     return api.unnest_position(listed).select(*_VL_COLS, "latitude", "longitude", "bearing",
                                               F.col("ts").alias("event_time"))
 
@@ -202,25 +202,25 @@ def vehicles_list(spark: SparkSession, d: str) -> DataFrame:
 @register("vehicles_subway", W(f"SELECT id, vehicle_id, route_id, line_id FROM vehicles_latest "
                                f"WHERE {S.sql_route_kind('route_id')} = 'subway'", "vehicles_latest"))
 def vehicles_subway(spark: SparkSession, d: str) -> DataFrame:
-    return api.vehicles_listing(_latest(spark, d, *_VL_COLS), route_type="subway").select(*_VL_COLS)
+    return api.vehicles_listing(_latest(spark, d, *_VL_COLS), route_type="subway", limit=None).select(*_VL_COLS)
 
 
 @register("vehicles_subway_ref", W(f"SELECT id, vehicle_id, route_id, line_id FROM vehicles_latest "
                                    f"WHERE route_id IN ({S.in_list(RD.REFERENCE_SUBWAY_LIST)})", "vehicles_latest"))
 def vehicles_subway_ref(spark: SparkSession, d: str) -> DataFrame:
-    return api.vehicles_listing(_latest(spark, d, *_VL_COLS), route_type="subway", mode="reference").select(*_VL_COLS)
+    return api.vehicles_listing(_latest(spark, d, *_VL_COLS), route_type="subway", mode="reference", limit=None).select(*_VL_COLS)
 
 
 @register("vehicles_bus", W(f"SELECT id, vehicle_id, route_id, line_id FROM vehicles_latest "
                             f"WHERE {S.sql_route_kind('route_id')} = 'bus'", "vehicles_latest"))
 def vehicles_bus(spark: SparkSession, d: str) -> DataFrame:
-    return api.vehicles_listing(_latest(spark, d, *_VL_COLS), route_type="bus").select(*_VL_COLS)
+    return api.vehicles_listing(_latest(spark, d, *_VL_COLS), route_type="bus", limit=None).select(*_VL_COLS)
 
 
 @register("vehicles_bus_ref", W("SELECT id, vehicle_id, route_id, line_id FROM vehicles_latest "
                                 "WHERE regexp_matches(route_id, '^[BMQSBx]')", "vehicles_latest"))
 def vehicles_bus_ref(spark: SparkSession, d: str) -> DataFrame:
-    return api.vehicles_listing(_latest(spark, d, *_VL_COLS), route_type="bus", mode="reference").select(*_VL_COLS)
+    return api.vehicles_listing(_latest(spark, d, *_VL_COLS), route_type="bus", mode="reference", limit=None).select(*_VL_COLS)
 
 
 @register("vehicles_bus_page", W("SELECT id, vehicle_id, route_id, line_id FROM vehicles_latest "
@@ -231,11 +231,46 @@ def vehicles_bus_page(spark: SparkSession, d: str) -> DataFrame:
     return _latest(spark, d, *_VL_COLS).filter(P.page_bus_filter("BUS")).select(*_VL_COLS)
 
 
+@register("vehicles_express", W("SELECT id, vehicle_id, route_id, line_id FROM vehicles_latest WHERE route_id LIKE 'X%'",
+                                "vehicles_latest"))
+def vehicles_express(spark: SparkSession, d: str) -> DataFrame:
+    return _latest(spark, d, *_VL_COLS).filter(P.page_bus_filter("EXPRESS")).select(*_VL_COLS)
+
+
+@register("vehicles_simexpress", W("SELECT id, vehicle_id, route_id, line_id FROM vehicles_latest WHERE route_id LIKE 'SIM%'",
+                                   "vehicles_latest"))
+def vehicles_simexpress(spark: SparkSession, d: str) -> DataFrame:
+    return _latest(spark, d, *_VL_COLS).filter(P.page_bus_filter("SIMEXPRESS")).select(*_VL_COLS)
+
+
+# E2-E5 with the default limit: the first 100 by key
+
+
+@register("vehicles_limited", W("SELECT id, vehicle_id FROM vehicles_latest ORDER BY id LIMIT 100", "vehicles_latest"))
+def vehicles_limited(spark: SparkSession, d: str) -> DataFrame:
+    return api.vehicles_listing(_latest(spark, d, "id")).select("id", "vehicle_id")
+
+
+@register("alerts_limited", W("SELECT id, updated FROM alerts_latest ORDER BY id LIMIT 100", "alerts_latest"))
+def alerts_limited(spark: SparkSession, d: str) -> DataFrame:
+    return api.alerts_listing(_alerts_latest(spark, d, "updated", "severity_class")).select("id", "updated")
+
+
+@register("outages_limited", W("SELECT outage_id, station FROM outages WHERE is_current ORDER BY outage_id LIMIT 100", "outages"))
+def outages_limited(spark: SparkSession, d: str) -> DataFrame:
+    return api.outages_listing(R.outages(spark, d)).select("outage_id", "station")
+
+
+@register("equipment_limited", W("SELECT equipment_id, station FROM equipment ORDER BY equipment_id LIMIT 100", "equipment"))
+def equipment_limited(spark: SparkSession, d: str) -> DataFrame:
+    return api.equipment_listing(R.equipment(spark, d)).select("equipment_id", "station")
+
+
 @register("vehicles_family", W(f"SELECT id, vehicle_id, route_id, line_id, {S.sql_route_family('route_id')} AS family "
                                f"FROM vehicles_latest WHERE {S.sql_route_family('route_id')} = 'IND'",
                                "vehicles_latest"))
 def vehicles_family(spark: SparkSession, d: str) -> DataFrame:
-    out = api.vehicles_listing(_latest(spark, d, *_VL_COLS), family="IND")
+    out = api.vehicles_listing(_latest(spark, d, *_VL_COLS), family="IND", limit=None)
     return out.select(*_VL_COLS, RD.route_family("route_id").alias("family"))
 
 
@@ -244,13 +279,13 @@ SELECT id, latitude, longitude FROM vehicles_latest
 WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND latitude <> 0 AND longitude <> 0
   AND latitude BETWEEN {BOX[0]} AND {BOX[1]} AND longitude BETWEEN {BOX[2]} AND {BOX[3]}""", "vehicles_latest"))
 def vehicles_in_box(spark: SparkSession, d: str) -> DataFrame:
-    return api.vehicles_listing(_latest(spark, d, "id", "latitude", "longitude"), box=BOX).select("id", "latitude", "longitude")
+    return api.vehicles_listing(_latest(spark, d, "id", "latitude", "longitude"), box=BOX, limit=None).select("id", "latitude", "longitude")
 
 
 @register("alerts_by_route", W("SELECT id, routes_str FROM alerts_latest WHERE route_1 = 'A' OR route_2 = 'A'",
                                "alerts_latest"))
 def alerts_by_route(spark: SparkSession, d: str) -> DataFrame:
-    return api.alerts_listing(_alerts_latest(spark, d, "routes", "severity_class"), route_id="A").select("id", _routes_str())
+    return api.alerts_listing(_alerts_latest(spark, d, "routes", "severity_class"), route_id="A", limit=None).select("id", _routes_str())
 
 
 @register("alerts_severe", W(f"""
@@ -258,7 +293,7 @@ SELECT id, severity_class FROM (
   SELECT id, {S.sql_severity('severity', 'header', 'description')} AS severity_class FROM alerts_latest) t
 WHERE upper(severity_class) = 'SEVERE'""", "alerts_latest"))
 def alerts_severe(spark: SparkSession, d: str) -> DataFrame:
-    return api.alerts_listing(_alerts_latest(spark, d, "severity_class"), severity="severe").select("id", "severity_class")
+    return api.alerts_listing(_alerts_latest(spark, d, "severity_class"), severity="severe", limit=None).select("id", "severity_class")
 
 
 @register("alerts_search", W("""
@@ -266,14 +301,14 @@ SELECT id, header FROM alerts_latest
 WHERE contains(lower(header), 'delay') OR contains(lower(description), 'delay')""", "alerts_latest"))
 def alerts_search(spark: SparkSession, d: str) -> DataFrame:
     return api.alerts_listing(_alerts_latest(spark, d, "header", "severity_class", "search_hit", search="Delay"),
-                              search="Delay").select("id", "header")
+                              search="Delay", limit=None).select("id", "header")
 
 
 @register("outages_search", W("""
 SELECT outage_id, station, borough, equipment_type FROM outages
 WHERE is_current AND contains(lower(station), 'bolt') AND contains(lower(borough), 'brook')""", "outages"))
 def outages_search(spark: SparkSession, d: str) -> DataFrame:
-    out = api.outages_listing(R.outages(spark, d), station="Bolt", borough="BROOK", kind="current")
+    out = api.outages_listing(R.outages(spark, d), station="Bolt", borough="BROOK", kind="current", limit=None)
     return out.select("outage_id", "station", "borough", "equipment_type")
 
 
@@ -281,7 +316,7 @@ def outages_search(spark: SparkSession, d: str) -> DataFrame:
 SELECT outage_id, station FROM outages
 WHERE NOT is_current AND regexp_matches(station, '(?i)^(red|blue) ')""", "outages"))
 def outages_search_regex(spark: SparkSession, d: str) -> DataFrame:
-    out = api.outages_listing(R.outages(spark, d), station="^(red|blue) ", kind="upcoming", regex=True)
+    out = api.outages_listing(R.outages(spark, d), station="^(red|blue) ", kind="upcoming", regex=True, limit=None)
     return out.select("outage_id", "station")
 
 
@@ -289,7 +324,7 @@ def outages_search_regex(spark: SparkSession, d: str) -> DataFrame:
 SELECT equipment_id, station, equipment_type, ada FROM equipment
 WHERE ada AND contains(lower(equipment_type), 'elev')""", "equipment"))
 def equipment_ada(spark: SparkSession, d: str) -> DataFrame:
-    out = api.equipment_listing(R.equipment(spark, d), equipment_type="elev", ada=True)
+    out = api.equipment_listing(R.equipment(spark, d), equipment_type="elev", ada=True, limit=None)
     return out.select("equipment_id", "station", "equipment_type", "ada")
 
 
@@ -448,7 +483,7 @@ def _outages_as_of_sql() -> str:
   FROM alert_polls
   UNION ALL
   SELECT 'elevator_monitoring', count(*), max(outage_start),
-         (epoch_us((SELECT max(outage_start) FROM outages)) - epoch_us(max(outage_start))) // 1000000, {api.HEALTH_LIMITS['elevator_monitoring']}
+         (epoch_us(TIMESTAMP '{HEALTH_OUTAGES_AS_OF}') - epoch_us(max(outage_start))) // 1000000, {api.HEALTH_LIMITS['elevator_monitoring']}
   FROM outages),
 rows AS (SELECT component, n_rows, last_processed_at, age_seconds,
                 CASE WHEN n_rows = 0 THEN 'DOWN' WHEN age_seconds <= lim THEN 'OPERATIONAL' ELSE 'DEGRADED' END AS status
@@ -465,8 +500,7 @@ def feed_health(spark: SparkSession, d: str) -> DataFrame:
                              api.HEALTH_LIMITS["vehicles_tracking"]),
         api.component_health("service_alerts", R.alert_polls(spark, d), "updated", ALERTS_AS_OF,
                              api.HEALTH_LIMITS["service_alerts"]),
-        # the elevator feed is judged at its own newest poll
-        api.component_health("elevator_monitoring", out, "outage_start", None,
+        api.component_health("elevator_monitoring", out, "outage_start", HEALTH_OUTAGES_AS_OF,
                              api.HEALTH_LIMITS["elevator_monitoring"]),
     ])
 
@@ -554,7 +588,7 @@ def feed_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _vehicle_messages_with_breaks(spark, d) -> DataFrame:
-    v = spread(R.vehicles(spark, d))
+    v = R.vehicles(spark, d)
     elem = F.struct(*[F.col(c) for c in FD._VEHICLE_FIELDS])
     env = F.to_json(F.struct(F.col("line_id"), F.col("timestamp"), F.array(elem).alias("data")))
     value = F.when(F.col("event_id") % 97 == 0, F.substring(env, 1, 20)).otherwise(env)

@@ -38,13 +38,15 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "
 def shared_root(spark: SparkSession) -> str:
     """Root folder for checkpoints, snapshots and stream landing files.
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``.
-    Only when the session has none (local tests) do we set one, under the
-    system temp folder.
+    On a cluster this is the shared folder named by ``spark.checkpoint.dir``,
+    which must be set. Only a local session that has none (tests) gets one,
+    under the system temp folder.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_KEY, None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="metroflow-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
@@ -70,7 +72,6 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     slots = executors * cores_per_executor
     shuffle_bytes = input_bytes // 4
     initial = max(3 * slots, -(-shuffle_bytes // partition_bytes))
-    initial = min(initial, 200_000)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

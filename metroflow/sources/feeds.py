@@ -5,8 +5,6 @@ A message frame has ``feed``, ``key`` and ``value`` (JSON text), the shape of
 a topic record. Encoding is per row (``to_json``); the alert and elevator
 feeds pack up to ``per_message`` entities into one envelope, grouped by a
 dense integer id, so a message never holds more than that many entities.
-The per-row encoders ``spread`` a narrow input before the JSON work; the
-grouping encoders need not, as their grouping shuffle already spreads it.
 """
 
 from __future__ import annotations
@@ -17,7 +15,6 @@ from pyspark.sql import functions as F
 from metroflow import schemas as SC
 from metroflow.functions.time import epoch_seconds
 from metroflow.sources import records as R
-from metroflow.sources.tables import spread
 
 PER_MESSAGE = 100
 
@@ -34,7 +31,7 @@ def vehicle_messages(vehicles: DataFrame) -> DataFrame:
     """One message per position report, keyed by the line (the feed it came from)."""
     elem = F.struct(*[F.col(c) for c in _VEHICLE_FIELDS])
     env = F.struct(F.col("line_id"), F.col("timestamp"), F.array(elem).alias("data"))
-    return spread(vehicles).select(*_message("vehicles", F.col("line_id"), env))
+    return vehicles.select(*_message("vehicles", F.col("line_id"), env))
 
 
 def trip_stops(vehicles: DataFrame) -> Column:
@@ -57,7 +54,7 @@ def trip_update_messages(vehicles: DataFrame) -> DataFrame:
                     F.col("start_date"), F.col("vehicle_id"), trip_stops(vehicles).alias("stops"),
                     F.col("timestamp"))
     env = F.struct(F.col("line_id"), F.col("timestamp"), F.array(elem).alias("data"))
-    return spread(vehicles).select(*_message("trip_updates", F.col("line_id"), env))
+    return vehicles.select(*_message("trip_updates", F.col("line_id"), env))
 
 
 def _translations(text: Column, did: Column, with_variants: bool) -> Column:
@@ -116,8 +113,8 @@ def _iso(ts: Column) -> Column:
 
 def outage_messages(outages: DataFrame, poll: Column | None = None, per_message: int = PER_MESSAGE) -> DataFrame:
     """Current and upcoming outage feeds (by ``is_current``), up to ``per_message`` per envelope."""
-    # chunk by order number: at most 100 orders (and their few first line items) per envelope
-    n = F.element_at(F.split(F.substring(F.col("outage_id"), 4, 1 << 20), "-"), 1).cast("bigint")
+    # chunk by order number: at most 100 orders (and their few line items) per envelope
+    n = F.element_at(F.split(F.substr(F.col("outage_id"), F.lit(4)), "-"), 1).cast("bigint")
     elem = F.struct(
         F.col("outage_id"), F.col("equipment_id"),
         F.struct(F.col("station").alias("name"), F.col("borough")).alias("station"),
@@ -137,7 +134,7 @@ def outage_messages(outages: DataFrame, poll: Column | None = None, per_message:
 
 def equipment_messages(equipment: DataFrame, poll: Column | None = None, per_message: int = PER_MESSAGE) -> DataFrame:
     """Equipment feed, up to ``per_message`` per envelope."""
-    n = F.substring(F.col("equipment_id"), 3, 1 << 20).cast("bigint")
+    n = F.substr(F.col("equipment_id"), F.lit(3)).cast("bigint")
     elem = F.struct(F.col("equipment_id"),
                     F.struct(F.col("station").alias("name"), F.col("borough")).alias("station"),
                     F.col("equipment_type"), F.col("serving"), F.col("ada"))

@@ -158,18 +158,17 @@ def equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @per_session
 def outages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outages, one per order (its first line item), described by the part's equipment."""
-    li = (read_table(spark, sf_dir, "lineitem",
-                     ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag",
-                      "l_linestatus", "l_shipdate"])
-          .filter(F.col("l_linenumber") == 1))
+    """Outages, one per line item, described by the part's equipment."""
+    li = read_table(spark, sf_dir, "lineitem",
+                    ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag",
+                     "l_linestatus", "l_shipdate"])
     p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_size"])
     j = li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
     start = F.to_date("l_shipdate")
     return j.select(
-        # (order, part, supplier) identifies a first line item; the order alone does not
+        # (order, line, part, supplier) identifies a line item; (order, line) alone does not
         F.concat_ws("-", F.concat(F.lit("OUT"), F.col("l_orderkey").cast("string")),
-                    F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("outage_id"),
+                    F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("outage_id"),
         F.concat(F.lit("EQ"), F.col("l_partkey").cast("string")).alias("equipment_id"),
         *_equipment_cols(F.col("p_partkey"), F.col("p_name"), F.col("p_size"), F.col("p_type")),
         start.cast("timestamp_ntz").alias("outage_start"),

@@ -58,29 +58,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     df = opened(spark, ("table", path), lambda: spark.read.parquet(path))
     return df.select(*columns) if columns else df
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over every task slot when it has fewer partitions than slots.
-
-    For CPU-heavy per-row work (JSON encoding and parsing) on a narrow input,
-    such as a folder of a few large single-row-group files. An input with at
-    least one partition per slot (any large input) is returned unchanged, so
-    no shuffle is added at scale; streaming frames and inputs that already
-    contain an exchange are never touched, and deciding runs no Spark job.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        plan = df._jdf.queryExecution().executedPlan()
-        # With an exchange, broadcast or subquery the partitions are the exchange's,
-        # and counting them would run those stages: leave such inputs alone.
-        if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" or any(
-                k in plan.toString() for k in ("Exchange", "Subquery")):
-            return df
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()  # scans only: file splits, no job
-    except Exception:  # a session without an RDD view (Spark Connect): leave the plan as it is
-        return df
-    if parts >= slots:
-        return df
-    return df.repartition(slots)

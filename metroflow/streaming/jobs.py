@@ -11,6 +11,8 @@ own checkpoint under a root (T2); triggers follow the feed's poll interval
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -78,10 +80,10 @@ def route_stats_job(messages: DataFrame, out_root: str, checkpoint: str, waterma
     """Update-mode window counts, appended per batch and reduced by max on read."""
     counts = windowed_route_counts(parsed_vehicles(messages), watermark)
 
-    def store(batch, bid):
-        K.merge_max(batch, bid, f"{out_root}/route_stats", qid=K.query_id(batch))
+    def store(batch, bid, qid):
+        K.merge_max(batch, bid, f"{out_root}/route_stats", qid=qid)
 
-    return (counts.writeStream.queryName(name).outputMode("update").foreachBatch(store)
+    return (counts.writeStream.queryName(name).outputMode("update").foreachBatch(K.fan_out([store]))
             .option("checkpointLocation", f"{checkpoint}/{name}")
             .trigger(**trigger_options("vehicles", available_now)).start())
 
@@ -130,26 +132,31 @@ def feed_job(messages: DataFrame, kind: str, out_root: str, checkpoint: str, ava
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Wait on all queries; the first failure among them stops the rest and is raised.
+    """Wait until all queries have ended; the first failure among them stops the rest and is raised.
+
+    With ``timeout_s``, TimeoutError is raised if some still run by then; they
+    are left running, so nothing is stopped half way.
 
     The session's "any termination" signal also fires for other queries (and
     keeps an old failure until reset), so it only wakes us up: failures are
     read from these queries themselves, also when they ended before the wait.
     """
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
     try:
         while any(q.isActive for q in queries):
+            left = None if deadline is None else deadline - time.monotonic()
+            if left is not None and left <= 0:
+                running = ", ".join(q.name or str(q.id) for q in queries if q.isActive)
+                raise TimeoutError(f"still running after {timeout_s} s: {running}")
             try:
-                spark.streams.awaitAnyTermination(timeout_s)
+                spark.streams.awaitAnyTermination(left)
             except Exception:  # raised for any failed query of the session; ours are checked below
                 pass
             spark.streams.resetTerminated()
             _raise_first_failure(queries)
-            if timeout_s:
-                break
         _raise_first_failure(queries)
     finally:
-        failed = any((not q.isActive) and q.exception() is not None for q in queries)
-        if failed or timeout_s:
+        if any((not q.isActive) and q.exception() is not None for q in queries):
             for q in queries:
                 if q.isActive:
                     q.stop()

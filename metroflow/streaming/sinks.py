@@ -20,11 +20,12 @@ The snapshot rewrite costs O(keys) per batch (the fleet, not the history).
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metroflow.operators.state import latest_by_key
+from metroflow.operators.state import latest_by_key, present
 
 BATCH_COL = "batch"
 
@@ -54,11 +55,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _write_new_file(spark: SparkSession, path: str, text: str) -> None:
-    """Create ``path`` (fails if it exists: a second writer of the same version loses)."""
+    """Write ``path`` whole or not at all: a file of another name, then a rename.
+
+    A writer that finds the file there fails. Stores without an atomic rename
+    give no lock: run one writer per table there.
+    """
     fs, p = _fs(spark, path)
-    out = fs.create(p, False)
+    if fs.exists(p):
+        raise FileExistsError(path)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    out = fs.create(draft, False)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
+    if not fs.rename(draft, p):
+        raise FileExistsError(path)
 
 
 def _read_file(spark: SparkSession, path: str) -> str:
@@ -107,14 +117,18 @@ def _pointer_dir(root: str) -> str:
 
 
 def current_version(spark: SparkSession, root: str) -> dict | None:
-    names = sorted(n for n in _list_names(spark, _pointer_dir(root)) if n.endswith(".json"))
-    if not names:
-        return None
-    return json.loads(_read_file(spark, f"{_pointer_dir(root)}/{names[-1]}"))
+    """The newest readable pointer; one that a crash left unreadable is passed over."""
+    for name in sorted((n for n in _list_names(spark, _pointer_dir(root)) if n.endswith(".json")), reverse=True):
+        try:
+            return json.loads(_read_file(spark, f"{_pointer_dir(root)}/{name}"))
+        except ValueError:
+            fs, p = _fs(spark, f"{_pointer_dir(root)}/{name}")
+            fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_pointer_dir(root)}/{name}.broken"))
+    return None
 
 
 def upsert_latest(batch: DataFrame, batch_id: int, root: str, key: list[str], order: list[str],
-                  qid: str | None = None, target_rows_per_file: int = 1_000_000, keep: int = 2) -> int:
+                  qid: str | None = None, keep: int = 2) -> int:
     """K2/K3: fold the batch into the newest-row-per-key snapshot under ``root``.
 
     Returns the snapshot version after the call. Keyless rows go to
@@ -130,7 +144,7 @@ def upsert_latest(batch: DataFrame, batch_id: int, root: str, key: list[str], or
 
     has_key = F.lit(True)
     for k in key:
-        has_key = has_key & F.col(k).isNotNull()
+        has_key = has_key & present(k)
     append_batch(batch.filter(~has_key), batch_id, f"{root}/keyless", qid=qid)
 
     keyed = batch.filter(has_key)
@@ -183,13 +197,19 @@ def merge_max(batch: DataFrame, batch_id: int, table: str, qid: str | None = Non
 
 
 def read_max(spark: SparkSession, table: str, key: list[str], value: str, schema=None) -> DataFrame:
-    """Newest value per key of an update-mode counter table: max over all appended updates."""
+    """Value per key of an update-mode counter table: each query's newest (its greatest), summed over queries.
+
+    A query id stands for one checkpoint, whose counts start from zero. To read
+    the same input again under a new checkpoint, use a new table.
+    """
     if not _list_names(spark, table):
         if schema is None:
             raise ValueError(f"empty table {table} and no schema")
         return spark.createDataFrame([], schema)
     rows = read_appended(spark, table)
-    return rows.groupBy(*key).agg(F.max(value).alias(value))
+    qid = F.regexp_extract(BATCH_COL, r"^(.*)-[0-9]+$", 1)
+    newest = rows.groupBy(*key, qid.alias("_qid")).agg(F.max(value).alias(value))
+    return newest.groupBy(*key).agg(F.sum(value).alias(value))
 
 
 # --- K4/K5 --------------------------------------------------------------------------

@@ -72,3 +72,28 @@ def test_upsert_keeps_only_the_newest_versions(spark):
         ("v1", "e4"), ("w0", "f0"), ("w1", "f1"), ("w2", "f2"), ("w3", "f3"), ("w4", "f4")]
     # a retry of the last batch is still recognised and skipped
     assert K.upsert_latest(frame(spark, rows), 4, root, ["vehicle_id"], ["event_time", "id"], qid="q") == 4
+
+
+def test_counts_of_two_checkpoints_add_up(spark):
+    t = fresh_dir(spark, "t-two")
+    for qid, batch, n in (("q-a", 0, 1), ("q-a", 1, 3), ("q-b", 0, 2)):
+        K.merge_max(spark.createDataFrame([("k", n)], "k string, count long"), batch, t, qid=qid)
+    assert [tuple(r) for r in K.read_max(spark, t, ["k"], "count").collect()] == [("k", 5)]
+
+
+def test_unreadable_pointer_is_passed_over(spark):
+    root = fresh_dir(spark, "t-crash")
+    order = (["vehicle_id"], ["event_time", "id"])
+    assert K.upsert_latest(frame(spark, [("v1", 1, "e1", 1)]), 0, root, *order, qid="q") == 0
+    with open(f"{root.replace('file:', '')}/_versions/0000000001.json", "w"):
+        pass  # a writer died between create and write
+    assert K.current_version(spark, root)["version"] == 0
+    assert K.upsert_latest(frame(spark, [("v1", 2, "e2", 2)]), 1, root, *order, qid="q") == 1
+    assert [r["id"] for r in K.read_latest(spark, root, frame(spark, []).schema).collect()] == ["e2"]
+
+
+def test_empty_key_is_no_key(spark):
+    root = fresh_dir(spark, "t-empty-key")
+    rows = [("", 1, "e1", 1), ("", 1, "e2", 2), (None, 1, "e3", 3), ("v1", 1, "e4", 4), ("v1", 2, "e5", 5)]
+    K.upsert_latest(frame(spark, rows), 0, root, ["vehicle_id"], ["event_time"], qid="q")
+    assert sorted(r["id"] for r in K.read_latest(spark, root, frame(spark, []).schema).collect()) == ["e1", "e2", "e3", "e5"]

@@ -1,4 +1,4 @@
-"""Opened tables, the spread of narrow inputs, and memoized rule expressions."""
+"""Opened tables and memoized rule expressions."""
 
 from pyspark.sql import functions as F
 
@@ -27,24 +27,6 @@ def test_tables_and_records_are_opened_once_per_session(spark):
     assert fresh.count() == spark.read.parquet(T.table_path(SF_SMALL, "events")).count()
 
 
-def test_spread_only_when_fewer_partitions_than_slots(spark):
-    slots = spark.sparkContext.defaultParallelism
-    narrow = T.read_table(spark, SF_SMALL, "events", ["event_id"])
-    assert narrow.rdd.getNumPartitions() < slots  # one small file
-    spread = T.spread(narrow)
-    assert spread.rdd.getNumPartitions() == slots
-    assert "RoundRobinPartitioning" in _plan(spread)
-    assert sorted(r[0] for r in spread.collect()) == sorted(r[0] for r in narrow.collect())
-
-    wide = narrow.repartition(slots)
-    assert T.spread(wide) is wide  # nothing added at scale
-
-
-def test_spread_leaves_streams_alone(spark, tmp_path):
-    stream = spark.readStream.format("rate").load()
-    assert T.spread(stream) is stream
-
-
 def test_rule_expressions_are_built_once_per_column_name(spark):
     assert RD.route_color("route_id", "ui") is RD.route_color("route_id", "ui")
     assert RD.route_color("route_id", "ui") is not RD.route_color("route_id", "api")
@@ -54,26 +36,3 @@ def test_rule_expressions_are_built_once_per_column_name(spark):
     df = spark.createDataFrame([("A",), ("M15",)], "route_id string")
     got = {r.route_id: r.c for r in df.select("route_id", RD.route_color("route_id", "ui").alias("c")).collect()}
     assert got == {"A": "#0039A6", "M15": "#4D92FB"}
-
-
-def test_spread_runs_no_job_and_skips_inputs_with_exchanges(spark):
-    st = spark.sparkContext.statusTracker()
-    joined = R.outages(spark, SF_SMALL)          # lineitem join part
-    grouped = R.vehicles(spark, SF_SMALL).groupBy("route_id").count()
-    before = len(st.getJobIdsForGroup(None))
-    assert T.spread(joined) is joined
-    assert T.spread(grouped) is grouped
-    T.spread(R.vehicles(spark, SF_SMALL))
-    assert len(st.getJobIdsForGroup(None)) == before
-
-
-def test_spread_leaves_a_wide_scan_alone(spark):
-    """A folder with at least one file split per slot (any large input) gets no shuffle."""
-    from metroflow.session import fresh_dir
-    slots = spark.sparkContext.defaultParallelism
-    folder = fresh_dir(spark, "t-wide")
-    T.read_table(spark, SF_SMALL, "events", ["event_id", "ts"]).repartition(slots).write.parquet(folder)
-    wide = spark.read.parquet(folder)
-    assert wide.rdd.getNumPartitions() >= slots
-    assert T.spread(wide) is wide
-    assert "Exchange" not in _plan(wide.select("event_id"))

@@ -27,3 +27,18 @@ def test_board_date(spark):
         .select(F.col("s").cast("timestamp_ntz").alias("t"))
     got = [r[0] for r in df.select(TM.board_date("t", "Indefinite")).collect()]
     assert got == ["Jan 05, 2024 1:04 PM", "Indefinite"]
+
+
+@pytest.mark.parametrize("tz", ["UTC", "America/New_York"])
+def test_offsets_and_fractions(spark, tz):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        rows = ["2024-01-01T12:00:00Z", "2024-01-01T12:00:00+05:00", "2024-01-01 12:00:00", "2024-01-01T12:00:00.25",
+                "1704110400", "1704110400000", "1704110400.5", "UTC", ""]
+        df = spark.createDataFrame([(r,) for r in rows], "s string")
+        got = [str(r[0]) for r in df.select(TM.normalize_time("s")).collect()]
+        noon = "2024-01-01 12:00:00"
+        assert got == [noon, "2024-01-01 07:00:00", noon, noon + ".250000", noon, noon, noon + ".500000", "None", "None"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
