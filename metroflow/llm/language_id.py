@@ -64,9 +64,11 @@ def grams(texts: list[bytes | None]) -> Iterator[tuple[int, int, np.ndarray, np.
 
 def codewords(n: int) -> np.ndarray:
     """+1/-1 codes, a row per language: all different splits for up to 6 languages, else the most distant of seeded random codes."""
+    if n < 2:
+        return np.zeros((n, 0))
     if n <= 6:
         bits = [[1 if m >> i & 1 else -1 for i in range(n)] for m in range(1, 2 ** (n - 1))]
-        return np.array(bits, np.float64).reshape(-1, n).T if n > 1 else np.zeros((n, 0))
+        return np.array(bits, np.float64).T
     rng, best = np.random.Generator(np.random.PCG64(n)), None
     width = int(np.ceil(10 * np.log2(n)))
     for _ in range(200):

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructType
 
 from metroflow.llm.words import U, chunks, mix, mix_int, running, span
 
@@ -247,7 +248,7 @@ def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     lane = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("0")), F.lit(seed)), F.lit(variants)).cast("int")
     cols = [F.col(c) for c in keep] if keep else [F.col(id_col).cast("long").alias("doc_id")]
     src = docs.select(*cols, F.col(text_col).cast("string").alias("__t"), lane.alias("__v"))
-    schema = src.drop("__t", "__v").selectExpr("*", "0 as n_pieces", "array(0) as pieces", "true as lossless").schema
+    schema = StructType([*src.drop("__t", "__v").schema.fields]).add("n_pieces", IntegerType()).add("pieces", ArrayType(IntegerType())).add("lossless", BooleanType())
 
     def run(batches):
         v = vocabulary(SparkFiles.get(name))

@@ -30,8 +30,8 @@ Keys are 64-bit hashes, and windows are compared by two of them (128 bits).
 
 Edge cases: null text has no words (n_words 0, hash of the empty string);
 text shorter than a window is kept; extra columns are ignored; rows that share
-a document id are one place each, the order among equal ids being that of
-their texts; a null id sorts first; an empty table gives an empty result.
+a document id and words are one document, those of other words go by a hash of
+the words; a null id sorts first; an empty table gives an empty result.
 """
 
 from __future__ import annotations

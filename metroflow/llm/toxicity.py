@@ -35,7 +35,7 @@ from metroflow.llm.words import PUNCTUATION, U, Words, chunks, mix, signed
 
 PER_CLASS = 6000
 #: PRIOR: the prior's weight as a share of all counted tokens.
-PRIOR, MIN_Z, MIN_ODDS, DRIFT, ALPHA = 0.02, 4.0, 2.0, 0.1, 0.01
+PRIOR, MIN_Z, MIN_ODDS, DRIFT, ALPHA = 0.02, 3.0, 2.0, 0.1, 0.01
 STEMS, MOST = (4, 5, 6, 7, 8), 4
 
 
