@@ -27,7 +27,10 @@ def decode(messages: DataFrame, envelope: T.StructType, required: list[str] | No
     The parsed struct comes out of a one-element ``explode``: filters on it
     cannot be pushed below the Generate, so Catalyst cannot inline
     ``from_json`` into each predicate and every message is parsed once.
+    A frame that is decoded already is returned as it is.
     """
+    if "_valid" in messages.columns:
+        return messages
     schema = T.StructType(envelope.fields + [T.StructField(SC.CORRUPT, T.StringType(), True)])
     parsed = F.from_json(F.col("value").cast("string"), schema,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": SC.CORRUPT})

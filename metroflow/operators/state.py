@@ -27,7 +27,7 @@ def latest_by_key(df: DataFrame, key: str | list[str], order: str | list[str], k
     Rows whose key is null or empty are never merged: they are kept as they
     are (``keep_keyless``) or dropped. One scan and one aggregate serve both: a
     keyless row is a group of its own. Ties on ``order`` keep the row of the
-    greatest hash over all columns, so a retry keeps the same one.
+    greatest hash over all columns but the processing time, so a retry keeps the same one.
     """
     keys, order_cols = _as_list(key), _as_list(order)
     cols = df.columns
@@ -36,7 +36,7 @@ def latest_by_key(df: DataFrame, key: str | list[str], order: str | list[str], k
         has_key = has_key & present(k)
     src = df if keep_keyless else df.filter(has_key)
     row = F.when(~has_key, F.monotonically_increasing_id())
-    tie = F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)])
+    tie = F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, MapType) and f.name != "processed_at"])
     return (
         src.withColumn("_row", row).groupBy(*keys, "_row")
         .agg(F.max_by(F.struct(*cols), F.struct(*order_cols, tie.alias("_tie"))).alias("_latest"))

@@ -587,8 +587,8 @@ def feed_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return PA.vehicles(msgs).select(*_VEH_OUT, "event_time")
 
 
-def _vehicle_messages_with_breaks(spark, d) -> DataFrame:
-    v = R.vehicles(spark, d)
+def _broken_messages(v: DataFrame) -> DataFrame:
+    """One message per report; those of every 97th are cut off."""
     elem = F.struct(*[F.col(c) for c in FD._VEHICLE_FIELDS])
     env = F.to_json(F.struct(F.col("line_id"), F.col("timestamp"), F.array(elem).alias("data")))
     value = F.when(F.col("event_id") % 97 == 0, F.substring(env, 1, 20)).otherwise(env)
@@ -597,13 +597,13 @@ def _vehicle_messages_with_breaks(spark, d) -> DataFrame:
 
 @register("vehicles_clean", W(f"SELECT {_VEH_OUT_SQL} FROM vehicles WHERE event_id % 97 <> 0", "vehicles"))
 def vehicles_clean(spark: SparkSession, d: str) -> DataFrame:
-    return PA.vehicles(_vehicle_messages_with_breaks(spark, d)).select(*_VEH_OUT)
+    return PA.vehicles(_broken_messages(R.vehicles(spark, d))).select(*_VEH_OUT)
 
 
 @register("feed_rejects", W("SELECT 'vehicles' AS feed, 'malformed' AS reason, count(*) AS n_rejected "
                             "FROM vehicles WHERE event_id % 97 = 0", "vehicles"))
 def feed_rejects(spark: SparkSession, d: str) -> DataFrame:
-    rej = PA.rejected(PA.decode(_vehicle_messages_with_breaks(spark, d), FD.SC.VEHICLE_ENVELOPE))
+    rej = PA.rejected(PA.decode(_broken_messages(R.vehicles(spark, d)), FD.SC.VEHICLE_ENVELOPE))
     return rej.groupBy("feed", "reason").agg(F.count(F.lit(1)).alias("n_rejected"))
 
 
@@ -667,11 +667,20 @@ def normalize_time_q(spark: SparkSession, d: str) -> DataFrame:
     return v.select("event_id", normalize_time(raw).alias("event_time"))
 
 
-@register("feed_union", W("""
+@register("feed_union", W("SELECT id, line_id AS source, vehicle_id, route_id, line_id FROM vehicles", "vehicles"))
+def feed_union(spark: SparkSession, d: str) -> DataFrame:
+    """The line feeds, each landed in its own folder, read as one feed by one scan."""
+    path = fresh_dir(spark, "landing-lines")
+    FD.publish(FD.vehicle_messages(R.vehicles(spark, d)), path=path, by_key=True)
+    feeds = FD.landing_batch(spark, path, "vehicles")
+    return PA.vehicles(feeds).select("id", F.col("line_id").alias("source"), "vehicle_id", "route_id", "line_id")
+
+
+@register("feed_union_kinds", W("""
 SELECT id, 'vehicles' AS source, vehicle_id, route_id, line_id FROM vehicles
 UNION ALL
 SELECT id, 'trip_updates', vehicle_id, route_id, line_id FROM vehicles""", "vehicles"))
-def feed_union(spark: SparkSession, d: str) -> DataFrame:
+def feed_union_kinds(spark: SparkSession, d: str) -> DataFrame:
     v = R.vehicles(spark, d)
     pos = PA.vehicles(FD.vehicle_messages(v)).select("id", F.lit("vehicles").alias("source"), "vehicle_id",
                                                      "route_id", "line_id")
@@ -691,17 +700,17 @@ from metroflow.streaming import sinks as K  # noqa: E402
 STREAM_WATERMARK = "400 days"  # longer than the disorder of the landed files, so no row is late
 
 
-def land_vehicle_feed(spark: SparkSession, d: str, files: int | None = None) -> tuple[str, int]:
+def land_vehicle_feed(spark: SparkSession, d: str, files: int | None = None, messages=FD.vehicle_messages) -> tuple[str, int]:
     """Write the vehicle feed as JSON-lines files, hash-split by report id (event time jumps between files)."""
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = fresh_dir(spark, "landing-vehicles")
-    FD.publish(FD.vehicle_messages(R.vehicles(spark, d).repartition(n, "id")), path=path)
+    FD.publish(messages(R.vehicles(spark, d).repartition(n, "id")), path=path)
     return path, n
 
 
-def drain_vehicle_feed(spark: SparkSession, d: str, job) -> str:
+def drain_vehicle_feed(spark: SparkSession, d: str, job, messages=FD.vehicle_messages) -> str:
     """Land the feed, drain it in several micro-batches with ``job(messages, out, checkpoint)``."""
-    path, n = land_vehicle_feed(spark, d)
+    path, n = land_vehicle_feed(spark, d, messages=messages)
     out, ck = fresh_dir(spark, "tables"), fresh_dir(spark, "checkpoints")
     msgs = FD.landing_stream(spark, path, "vehicles", max_files=max(1, n // 4))
     q = job(msgs, out, ck)
@@ -736,3 +745,34 @@ def stream_route_stats(spark: SparkSession, d: str) -> DataFrame:
     out = drain_vehicle_feed(spark, d, lambda m, o, c: J.route_stats_job(m, o, c, STREAM_WATERMARK,
                                                                          available_now=True))
     return J.read_route_stats(spark, out)
+
+
+@register("stream_rejects", W("SELECT 'vehicles' AS feed, 'malformed' AS reason, count(*) AS n_rejected, "
+                              "(SELECT count(*) FROM vehicles WHERE event_id % 97 <> 0) AS n_stored "
+                              "FROM vehicles WHERE event_id % 97 = 0", "vehicles"))
+def stream_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """P4 in the stream: cut-off messages are kept as rejects, the others reach the history."""
+    out = drain_vehicle_feed(spark, d, lambda m, o, c: J.vehicle_job(m, o, c, available_now=True), _broken_messages)
+    stored = K.read_appended(spark, f"{out}/vehicle_history").select(F.count(F.lit(1))).scalar()
+    return J.read_rejects(spark, out, "vehicles").groupBy("feed", "reason").agg(F.count(F.lit(1)).alias("n_rejected")) \
+        .withColumn("n_stored", stored)
+
+
+@register("stream_outages_current", W("""
+SELECT count(*) AS total_equipment, count(*) FILTER (WHERE out_now) AS out_of_service,
+       CAST(round((count(*) - count(*) FILTER (WHERE out_now)) * 100.0 / count(*), 2) AS DOUBLE) AS in_service_percentage
+FROM (SELECT equipment_id IN (SELECT equipment_id FROM outages WHERE is_current AND equipment_type = 'ELEVATOR') AS out_now
+      FROM equipment) t""", "equipment", "outages"))
+def stream_outages_current(spark: SparkSession, d: str) -> DataFrame:
+    """A4/J4 on stored tables: the first poll sends every current outage, the second those of
+    elevators only; what left the feed is not current any more."""
+    from metroflow.plans import serving
+
+    path, out, ck = (fresh_dir(spark, n) for n in ("landing-outages", "tables", "checkpoints"))
+    now = R.outages(spark, d).filter(P.is_current())
+    polls = [(now, R.ALERT_POLL_1), (now.filter(P.is_value("ELEVATOR", "equipment_type")), R.ALERT_POLL_1 + 120)]
+    for rows, at in polls:
+        FD.publish(FD.outage_messages(rows, poll=F.lit(at).cast("bigint")), path=path)
+    q = J.feed_job(FD.landing_stream(spark, path, "outages_current"), "outages_current", out, ck, available_now=True)
+    J.await_all(spark, [q])
+    return api.equipment_availability(R.equipment(spark, d), serving.outages_latest(spark, out))

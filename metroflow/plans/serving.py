@@ -10,13 +10,17 @@ Layout under ``root`` (see ``streaming.jobs``)::
     alerts/, alerts_latest/alerts/           every version, newest per id
     outages/, outages_latest/outages_{current,upcoming}/
     equipment/, equipment_latest/equipment/
+    polls/<feed>/batch=*                     time of the newest poll in each batch
+    rejects/<feed>/batch=*                   messages that did not decode
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metroflow import schemas as SC
+from metroflow.functions.time import from_epoch_seconds
 from metroflow.operators import parse as PA
 from metroflow.operators.state import latest_by_key
 from metroflow.streaming import jobs as J
@@ -24,7 +28,15 @@ from metroflow.streaming import sinks as K
 
 
 def _schema(spark: SparkSession, parser):
-    return parser(spark.createDataFrame([], SC.MESSAGE)).schema
+    return K.stamp(parser(spark.createDataFrame([], SC.MESSAGE))).schema
+
+
+def newest_poll(rows: DataFrame, spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """The rows that the feed's newest poll still sent; one that left the feed is no longer current."""
+    polls = K.read_appended(spark, f"{root}/polls/{kind}", "poll_time bigint") if K.has_rows(spark, f"{root}/polls/{kind}") else None
+    if polls is None:
+        return rows
+    return rows.filter(F.col("fetch_time") >= polls.agg(from_epoch_seconds(F.max("poll_time"))).scalar())
 
 
 def vehicle_latest(spark: SparkSession, root: str) -> DataFrame:
@@ -40,12 +52,12 @@ def alerts_latest(spark: SparkSession, root: str) -> DataFrame:
 
 
 def outages_latest(spark: SparkSession, root: str) -> DataFrame:
-    """Newest version of each outage across the current and upcoming feeds
-    (an outage moves from one feed to the other)."""
+    """The outages of the newest poll of the current and upcoming feeds, the newest
+    version of each (an outage moves from one feed to the other)."""
     schema = _schema(spark, lambda m: PA.outages(m, "current"))
-    cur = K.read_latest(spark, f"{root}/outages_latest/outages_current", schema)
-    upc = K.read_latest(spark, f"{root}/outages_latest/outages_upcoming", schema)
-    return latest_by_key(cur.unionByName(upc), "outage_id", ["fetch_time", "is_current"], keep_keyless=False)
+    cur, upc = (newest_poll(K.read_latest(spark, f"{root}/outages_latest/{kind}", schema), spark, root, kind)
+                for kind in ("outages_current", "outages_upcoming"))
+    return latest_by_key(cur.unionByName(upc), "outage_id", ["fetch_time", "is_current"])
 
 
 def equipment_latest(spark: SparkSession, root: str) -> DataFrame:

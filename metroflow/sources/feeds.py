@@ -150,8 +150,11 @@ def equipment_messages(equipment: DataFrame, poll: Column | None = None, per_mes
 
 
 def topic_stream(spark: SparkSession, bootstrap: str, kind: str, starting: str = "latest",
-                 fail_on_data_loss: bool = False, max_offsets: int | None = None) -> DataFrame:
-    """Subscribe to a feed's topic. Needs the Kafka connector on the classpath."""
+                 fail_on_data_loss: bool = True, max_offsets: int | None = None) -> DataFrame:
+    """Subscribe to a feed's topic. Needs the Kafka connector on the classpath.
+
+    Records that the topic no longer holds fail the query unless ``fail_on_data_loss`` is False.
+    """
     f = SC.feed(kind)
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap)
@@ -169,21 +172,34 @@ def landing_stream(spark: SparkSession, path: str, kind: str, max_files: int | N
     r = spark.readStream.format("text")
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
-    return r.load(path).select(F.lit(kind).alias("feed"), F.lit(None).cast("string").alias("key"), "value")
+    return _landed(r.load(path), kind)
 
 
 def landing_batch(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Batch twin of ``landing_stream``."""
-    return spark.read.text(path).select(F.lit(kind).alias("feed"), F.lit(None).cast("string").alias("key"), "value")
+    return _landed(spark.read.text(path), kind)
+
+
+def _landed(lines: DataFrame, kind: str) -> DataFrame:
+    """Message frame of landed lines; the key is there where the folder has one folder per key."""
+    key = F.col("key") if "key" in lines.columns else F.lit(None)
+    return lines.select(F.lit(kind).alias("feed"), key.cast("string").alias("key"), "value")
+
 
+def publish(messages: DataFrame, bootstrap: str | None = None, path: str | None = None, by_key: bool = False) -> None:
+    """K6: write keyed messages to each feed's topic (``bootstrap``) or to a landing folder (``path``).
 
-def publish(messages: DataFrame, bootstrap: str | None = None, path: str | None = None) -> None:
-    """K6: write keyed messages to each feed's topic (``bootstrap``) or to a landing folder (``path``)."""
+    ``by_key`` makes one folder per key under ``path``, for feeds of few keys
+    such as the line feeds; readers of the root then give the key back (U1).
+    """
     if bootstrap:
         topics = F.create_map(*[x for k, f in SC.FEEDS.items() for x in (F.lit(k), F.lit(f.topic))])
         (messages.select(F.try_element_at(topics, F.col("feed")).alias("topic"), "key", "value")
          .write.format("kafka").option("kafka.bootstrap.servers", bootstrap).save())
     elif path:
-        messages.select("value").write.mode("append").text(path)
+        if by_key:
+            messages.select("key", "value").write.mode("append").partitionBy("key").text(path)
+        else:
+            messages.select("value").write.mode("append").text(path)
     else:
         raise ValueError("publish needs bootstrap or path")

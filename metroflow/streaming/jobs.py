@@ -52,18 +52,57 @@ def parsed_vehicles(messages: DataFrame, watermark: str | None = None, dedup_key
 def vehicle_job(messages: DataFrame, out_root: str, checkpoint: str, watermark: str | None = None,
                 dedup_key: str | None = None, available_now: bool = False,
                 name: str = "vehicles") -> StreamingQuery:
-    """History (append, by event date) + latest per vehicle (snapshot)."""
-    v = K.stamp(parsed_vehicles(messages, watermark, dedup_key)).drop("event_ts")
+    """History (append, by event date) + latest per vehicle (snapshot) + rejects.
 
-    def history(batch, bid, qid):
-        K.append_batch(batch, bid, f"{out_root}/vehicle_history", ["event_date"], qid=qid)
+    A message is decoded once, in the stream; the writers split the batch. With
+    ``dedup_key`` the stream itself must hold parsed rows, so rejected messages
+    are then stored by a ``rejects_job`` next to this one.
+    """
+    def history(rows, bid, qid):
+        K.append_batch(rows, bid, f"{out_root}/vehicle_history", ["event_date"], qid=qid)
 
-    def latest(batch, bid, qid):
-        K.upsert_latest(batch.drop("event_date", "processed_at"), bid, f"{out_root}/vehicle_latest",
+    def latest(rows, bid, qid):
+        K.upsert_latest(rows.drop("event_date"), bid, f"{out_root}/vehicle_latest",
                         ["vehicle_id"], LATEST_ORDER, qid=qid)
 
-    return _start(v, K.fan_out([history, latest]), name, f"{checkpoint}/{name}",
-                  trigger_options("vehicles", available_now))
+    def parsed(batch, bid, qid):
+        rows = K.stamp(parsed_vehicles(batch)).drop("event_ts").persist()
+        try:
+            history(rows, bid, qid)
+            latest(rows, bid, qid)
+        finally:
+            rows.unpersist()
+
+    if dedup_key:
+        source, writers = K.stamp(parsed_vehicles(messages, watermark, dedup_key)).drop("event_ts"), [history, latest]
+    else:
+        source, writers = PA.decode(messages, SC.VEHICLE_ENVELOPE), [parsed, _rejects_writer("vehicles", out_root)]
+    return _start(source, K.fan_out(writers), name, f"{checkpoint}/{name}", trigger_options("vehicles", available_now))
+
+
+def _rejects_writer(kind: str, out_root: str):
+    def rejects(batch, bid, qid):
+        bad = PA.rejected(batch)
+        if not bad.isEmpty():
+            K.append_batch(bad, bid, f"{out_root}/rejects/{kind}", qid=qid)
+    return rejects
+
+
+def rejects_job(messages: DataFrame, kind: str, out_root: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Store a feed's rejected messages alone (next to a job that holds parsed rows)."""
+    bad = PA.decode(messages, SC.feed(kind).envelope).filter(~F.col("_valid"))
+    return _start(bad, K.fan_out([_rejects_writer(kind, out_root)]), f"{kind}_rejects", f"{checkpoint}/{kind}_rejects",
+                  trigger_options(kind, available_now))
+
+
+REJECTS = "feed string, key string, raw string, reason string"
+
+
+def read_rejects(spark: SparkSession, out_root: str, kind: str) -> DataFrame:
+    table = f"{out_root}/rejects/{kind}"
+    if not K.has_rows(spark, table):
+        return spark.createDataFrame([], REJECTS)
+    return K.read_appended(spark, table, REJECTS).drop(K.BATCH_COL)
 
 
 def windowed_route_counts(parsed: DataFrame, watermark: str, window: str = STATS_WINDOW) -> DataFrame:
@@ -109,26 +148,29 @@ LATEST_ORDER_BY_FEED = {"alerts": ["updated"], "equipment": ["fetch_time"],
 def feed_job(messages: DataFrame, kind: str, out_root: str, checkpoint: str, available_now: bool = False,
              rejects: bool = True) -> StreamingQuery:
     """Store one non-vehicle feed: append every version (K1), fold the newest
-    version per key into ``<table>_latest`` (A14/K2), keep rejected messages (P4)."""
+    version per key into ``<table>_latest`` (A14/K2), keep rejected messages (P4)
+    and the time of the newest poll (an empty poll has no rows to tell it).
+    A message is decoded once, in the stream."""
     f = SC.feed(kind)
     table = f.tables[0]
 
     def store(batch, bid, qid):
-        rows = PARSERS[kind](batch)
+        rows = K.stamp(PARSERS[kind](batch))
         if kind in LATEST_ORDER_BY_FEED:
             rows = rows.persist()
         try:
-            K.append_batch(K.stamp(rows), bid, f"{out_root}/{table}", qid=qid)
+            K.append_batch(rows, bid, f"{out_root}/{table}", qid=qid)
             if kind in LATEST_ORDER_BY_FEED:
                 K.upsert_latest(rows, bid, f"{out_root}/{table}_latest/{kind}", list(f.key),
                                 LATEST_ORDER_BY_FEED[kind], qid=qid)
         finally:
             rows.unpersist()
-        if rejects:
-            rej = PA.rejected(PA.decode(batch, f.envelope))
-            K.append_batch(rej, bid, f"{out_root}/rejects/{kind}", qid=qid)
+        polled = PA.valid(batch).agg(F.max("msg.timestamp").alias("poll_time"))
+        K.append_batch(polled, bid, f"{out_root}/polls/{kind}", qid=qid)
 
-    return _start(messages, K.fan_out([store]), kind, f"{checkpoint}/{kind}", trigger_options(kind, available_now))
+    writers = [store] + ([_rejects_writer(kind, out_root)] if rejects else [])
+    return _start(PA.decode(messages, f.envelope), K.fan_out(writers), kind, f"{checkpoint}/{kind}",
+                  trigger_options(kind, available_now))
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> None:

@@ -110,6 +110,11 @@ def read_appended(spark: SparkSession, table: str, schema=None) -> DataFrame:
     return r.option("basePath", table).parquet(f"{table}/{BATCH_COL}=*")
 
 
+def has_rows(spark: SparkSession, table: str) -> bool:
+    """Whether any batch has been appended to the table."""
+    return bool(_list_names(spark, table))
+
+
 # --- K2/K3 ----------------------------------------------------------------------
 
 def _pointer_dir(root: str) -> str:
