@@ -4,16 +4,19 @@ Encoding follows a BPE model of pieces with scores: a text's characters (a space
 as U+2581, one more in front) are joined pair by pair, the best-scored pair first, the
 leftmost of equals. Here each candidate merge (the place in its word of its start, middle and end,
 and the piece it makes) is skipped if a keyed hash falls under ``dropout``, so the same word is
-cut differently under different keys. The key is the seed with one of
-``variants`` numbers that a document's id hashes to; a seed always gives the same result.
+cut differently under different keys. Every occurrence of a word has a key of its own: the seed
+with the hash of the document's id and the word's place in the text; a seed always gives the same result.
 Characters the model lacks, and U+2581 itself, become byte pieces. Decoding is lossless.
 
 Merges never cross a word's start (no piece holds U+2581 behind another character), so words
-are encoded apart: all distinct words of a few megabytes at once, one merge of each a round,
-in numpy; a word of more than ``LONG`` characters by an agenda (a heap of candidate merges) of its own.
+are encoded apart, all words of a megabyte at once in numpy. The occurrences of a word go down
+one tree of cuts together, a candidate merge (the best one left) a round: those that make it and those
+that skip it part there. So the merges are worked out once for each way a word is cut, and
+an occurrence costs a hash a round; a word of more than ``LONG`` characters goes by an agenda (a heap of
+candidate merges) of its own, once an occurrence.
 
 Edge cases: null text has no pieces (null); '' has none (empty); texts without spaces, of any
-length, are one word; repeated rows are encoded alike; a null id counts as 0 for the key; only the
+length, are one word; repeated rows are encoded alike; for a null id the text's hash makes the key; only the
 named columns are read; an empty table gives an empty result.
 """
 
@@ -33,7 +36,8 @@ from metroflow.llm.words import U, chunks, mix, mix_int, running, span
 
 SPACE = 0x2581
 LONG = 48
-DROPOUT, SEED, VARIANTS = 0.1, 17, 4
+DROPOUT, SEED = 0.1, 17
+_NONE = np.int64(2**62)
 
 
 class Vocabulary:
@@ -88,7 +92,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def skipped(key: np.ndarray, first: np.ndarray, middle: np.ndarray, end: np.ndarray, piece: np.ndarray, dropout: float) -> np.ndarray:
-    """Whether the keyed hash drops a candidate merge; key: of the word, seed and variant."""
+    """Whether the keyed hash drops a candidate merge; key: of the word's occurrence."""
     place = first.astype(U) * U(0x9E3779B97F4A7C15) + middle.astype(U) * U(0xC2B2AE3D27D4EB4F) + end.astype(U) * U(0x165667B19E3779F9)
     return (mix(mix(key + place) ^ piece.astype(U)) >> U(11)) < U(int(dropout * 2**53))
 
@@ -124,53 +128,6 @@ def agenda(v: Vocabulary, ids: np.ndarray, key: int, dropout: float) -> list[int
     return [p for p, a in zip(piece, alive) if a]
 
 
-def encode_words(v: Vocabulary, ids: np.ndarray, offsets: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """(pieces, offsets) of words given as character pieces ``ids``; one merge of every word a round."""
-    size = np.diff(offsets)
-    long = np.flatnonzero(size > LONG)
-    word = np.repeat(np.arange(len(size)), size)
-    place = np.arange(len(ids)) - np.repeat(offsets[:-1], size)
-    live = ~np.isin(word, long) if len(long) else np.ones(len(ids), bool)
-    piece, word, first = ids[live], word[live], place[live]
-    end = first + 1
-    done = []
-    while len(piece) > 1:
-        pair = np.flatnonzero(word[1:] == word[:-1])
-        rank, made = v.merge(piece[pair], piece[pair + 1])
-        ok = rank >= 0
-        if dropout:
-            ok[ok] = ~skipped(keys[word[pair[ok]]], first[pair[ok]], first[pair[ok] + 1], end[pair[ok] + 1], made[ok], dropout)
-        pair, rank, made = pair[ok], rank[ok], made[ok]
-        active = np.zeros(len(size), bool)
-        active[word[pair]] = True
-        rest = ~active[word]
-        if rest.any():  # words that are done leave
-            done.append((word[rest], first[rest], piece[rest]))
-        if not len(pair):
-            piece = piece[:0]
-            break
-        lead = np.flatnonzero(np.concatenate(([True], word[pair][1:] != word[pair][:-1])))
-        score = rank * 64 + first[pair]  # places are below LONG: the leftmost of equals
-        best = np.minimum.reduceat(score, lead)
-        at = np.flatnonzero(score == np.repeat(best, np.diff(np.append(lead, len(pair)))))
-        i = pair[at]
-        piece, end = piece.copy(), end.copy()
-        piece[i], end[i] = made[at], end[i + 1]
-        keep = ~rest
-        keep[i + 1] = False
-        piece, word, first, end = piece[keep], word[keep], first[keep], end[keep]
-    if len(piece):
-        done.append((word, first, piece))
-    for k in long.tolist():
-        p = agenda(v, ids[offsets[k]:offsets[k + 1]], int(keys[k]), dropout)
-        done.append((np.full(len(p), k), np.arange(len(p)), np.array(p, np.int32)))
-    if not done:
-        return np.empty(0, np.int32), np.zeros(len(size) + 1, np.int64)
-    w, f, p = (np.concatenate(x) for x in zip(*done))
-    by = np.lexsort((f, w))
-    return p[by].astype(np.int32), np.concatenate(([0], np.cumsum(np.bincount(w, minlength=len(size)))))
-
-
 def gathered(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The stretches flat[first:first + size] one after another."""
     total = np.cumsum(size)
@@ -179,8 +136,98 @@ def gathered(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarra
     return flat[np.repeat(first - np.concatenate(([0], total[:-1])), size) + np.arange(total[-1])]
 
 
-def encode(v: Vocabulary, texts: list[str], variants: np.ndarray, dropout: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(pieces, offsets by text); ``variants``: each text's number."""
+def encode_words(v: Vocabulary, ids: np.ndarray, offsets: np.ndarray, which: np.ndarray, keys: np.ndarray,
+                 dropout: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(pieces, offsets, words, cut): the cuts that occur, the word of each, and each occurrence's cut.
+
+    ids, offsets: the distinct words as character pieces; which, keys: each occurrence's word and key. A state is
+    a word some of whose candidate merges are decided, with the occurrences that decided alike; a round decides
+    the best one left of each state.
+    """
+    size = np.diff(offsets)
+    cut = np.zeros(len(which), np.int64)
+    parts, sizes, words, made_cuts = [], [], [], 0
+    word = np.flatnonzero(size <= LONG)
+    occ = np.flatnonzero(size[which] <= LONG)
+    state = (np.cumsum(size <= LONG) - 1)[which[occ]]
+    n = size[word]
+    lead = np.concatenate(([0], np.cumsum(n)))[:-1]
+    piece = gathered(ids, offsets[:-1][word], n)
+    first = np.arange(len(piece)) - np.repeat(lead, n)
+    end = first + 1
+    score, made = np.full(len(piece), _NONE), np.zeros(len(piece), np.int32)  # of each piece with the next one
+
+    def offer(at):
+        rank, made[at] = v.merge(piece[at], piece[at + 1])
+        score[at] = np.where(rank >= 0, rank * 64 + first[at], _NONE)  # places are below LONG: the leftmost of equals
+
+    inner = np.ones(len(piece), bool)
+    inner[lead + n - 1] = False
+    offer(np.flatnonzero(inner))
+    while len(word):
+        best = np.minimum.reduceat(score, lead)
+        more = best < _NONE
+        if not more.all():  # states that are done leave
+            over = ~more
+            parts.append(piece[np.repeat(over, n)])
+            sizes.append(n[over])
+            words.append(word[over])
+            done = over[state]
+            cut[occ[done]] = (made_cuts + np.cumsum(over) - 1)[state[done]]
+            made_cuts += int(over.sum())
+            occ, state = occ[~done], (np.cumsum(more) - 1)[state[~done]]
+            if not len(occ):
+                break
+        at = np.flatnonzero((score == np.repeat(best, n)) & np.repeat(more, n))
+        word, lead, n = word[more], lead[more], n[more]
+        if dropout:
+            drop = skipped(keys[occ], first[at][state], first[at + 1][state], end[at + 1][state], made[at][state], dropout)
+        else:
+            drop = np.zeros(len(occ), bool)
+        child = 2 * state + drop
+        used = np.zeros(2 * len(word), bool)
+        used[child] = True
+        state = (np.cumsum(used) - 1)[child]
+        kids = np.flatnonzero(used)
+        parent, skip = kids >> 1, (kids & 1).astype(bool)
+        word, n, old = word[parent], n[parent], lead[parent]
+        lead = np.concatenate(([0], np.cumsum(n)))[:-1]
+        own = np.repeat(old - lead, n) + np.arange(int(n.sum()))
+        place = lead + at[parent] - old
+        piece, first, end, score, made = piece[own], first[own], end[own], score[own], made[own]
+        score[place[skip]] = _NONE
+        i = place[~skip]
+        if not len(i):
+            continue
+        piece[i], end[i] = made[i], end[i + 1]
+        keep = np.ones(len(piece), bool)
+        keep[i + 1] = False
+        score[i] = _NONE
+        piece, first, end, score, made = piece[keep], first[keep], end[keep], score[keep], made[keep]
+        n = n - ~skip
+        i = i - lead[~skip]
+        lead = np.concatenate(([0], np.cumsum(n)))[:-1]
+        i, low, last = i + lead[~skip], lead[~skip], (lead + n - 1)[~skip]
+        offer(np.concatenate((i[i < last], (i - 1)[i > low])))
+    seen: dict[tuple[int, int], int] = {}
+    for o in np.flatnonzero(size[which] > LONG).tolist():
+        k = int(which[o])
+        name = (k, int(keys[o]) if dropout else 0)
+        if name not in seen:
+            p = agenda(v, ids[offsets[k]:offsets[k + 1]], int(keys[o]), dropout)
+            parts.append(np.array(p, np.int32))
+            sizes.append(np.array([len(p)]))
+            words.append(np.array([k]))
+            seen[name] = made_cuts
+            made_cuts += 1
+        cut[o] = seen[name]
+    if not parts:
+        return np.empty(0, np.int32), np.zeros(1, np.int64), np.empty(0, np.int64), cut
+    return np.concatenate(parts).astype(np.int32), np.concatenate(([0], np.cumsum(np.concatenate(sizes)))), np.concatenate(words), cut
+
+
+def encode(v: Vocabulary, texts: list[str], lanes: np.ndarray, dropout: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pieces, offsets by text); ``lanes``: each text's number."""
     size = np.fromiter((len(t) + 1 if t else 0 for t in texts), np.int64, len(texts))
     raw = np.frombuffer("".join("▁" + t if t else "" for t in texts).encode("utf-32-le"), np.uint32)
     text_at = np.concatenate(([0], np.cumsum(size)))
@@ -199,26 +246,23 @@ def encode(v: Vocabulary, texts: list[str], variants: np.ndarray, dropout: float
     stop = np.append(start[1:], len(raw))
     total = running(mix(c.astype(U) + U(0x51ED270B) * own.astype(U)))
     text = np.searchsorted(text_at, start, "right") - 1
-    lane = mix(np.arange(int(variants.max(initial=0)) + 1, dtype=U) ^ U(mix_int(seed)))[variants[text]]
-    key = mix(mix(span(total, start, stop) + (stop - start).astype(U)) ^ lane)
-    _, first, which = np.unique(key, return_index=True, return_inverse=True)
+    lane = mix(lanes.astype(np.int64).view(U) ^ U(mix_int(seed)))[text]
+    key = mix(lane + mix((start - text_at[text]).astype(U)))
+    _, first, which = np.unique(span(total, start, stop) + (stop - start).astype(U), return_index=True, return_inverse=True)
     lengths = (stop - start)[first]
     chars = gathered(ids, start[first], lengths)
-    known = chars >= 0
     word_at = np.concatenate(([0], np.cumsum(lengths)))
-    p, at = encode_words(v, np.where(known, chars, 0), word_at, key[first], dropout)
+    p, at, words, cut = encode_words(v, np.where(chars >= 0, chars, 0), word_at, which, key, dropout)
+    own_at, own_size = at[:-1].copy(), np.diff(at)
     # words of one character without a piece: its bytes
-    odd = np.flatnonzero(ids[start[first]] < 0)
+    odd = np.flatnonzero(ids[start[first[words]]] < 0)
     if len(odd):
-        parts = [v.byte_ids[np.frombuffer(chr(int(raw[start[first[k]]])).encode(), np.uint8)] for k in odd.tolist()]
-        own_at, own_size = at[:-1].copy(), np.diff(at)
+        parts = [v.byte_ids[np.frombuffer(chr(int(raw[start[first[k]]])).encode(), np.uint8)] for k in words[odd].tolist()]
         own_at[odd] = len(p) + np.concatenate(([0], np.cumsum([len(x) for x in parts])))[:-1]
         own_size[odd] = [len(x) for x in parts]
         p = np.concatenate([p, *parts])
-    else:
-        own_at, own_size = at[:-1], np.diff(at)
-    out = gathered(p, own_at[which], own_size[which])
-    ends = np.concatenate(([0], np.cumsum(own_size[which])))
+    out = gathered(p, own_at[cut], own_size[cut])
+    ends = np.concatenate(([0], np.cumsum(own_size[cut])))
     return out, ends[np.searchsorted(start, text_at)]
 
 
@@ -239,13 +283,13 @@ def _path(spark, path: str) -> str:
 
 
 def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", dropout: float = DROPOUT, seed: int = SEED,
-            variants: int = VARIANTS, keep: list[str] | None = None) -> DataFrame:
+            keep: list[str] | None = None) -> DataFrame:
     """(doc_id, n_pieces, pieces, lossless) of every row; ``keep`` names columns to carry along instead of doc_id.
 
     lossless: decoding the pieces gives the text back, byte for byte (null for null text).
     """
     name = _path(docs.sparkSession, model)
-    lane = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("0")), F.lit(seed)), F.lit(variants)).cast("int")
+    lane = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col).cast("string"), F.lit("")))
     cols = [F.col(c) for c in keep] if keep else [F.col(id_col).cast("long").alias("doc_id")]
     src = docs.select(*cols, F.col(text_col).cast("string").alias("__t"), lane.alias("__v"))
     schema = StructType([*src.drop("__t", "__v").schema.fields]).add("n_pieces", IntegerType()).add("pieces", ArrayType(IntegerType())).add("lossless", BooleanType())

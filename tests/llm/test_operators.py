@@ -373,3 +373,24 @@ def test_pipeline(spark):
         assert docs.columns == columns if k < len(p.STAGES) - 1 else "pieces" in docs.columns
     assert n == sorted(n, reverse=True) and n[-1] > 0 and n[4] == n[5]
     assert docs.where("not lossless").count() == 0
+
+
+def test_pieces_of_every_occurrence_are_drawn_apart(spark):
+    word = "internationalization"
+    rows = [(k, " ".join([word] * 40)) for k in range(30)] + [(None, f"{k} {word}") for k in range(30)]
+    got = pieces.encoded(spark.createDataFrame(rows, "doc_id long, text string"), queries.PIECE_MODEL).collect()
+    v = pieces.vocabulary(queries.PIECE_MODEL)
+
+    def cuts(r):
+        """The pieces of each word: a word begins with a space."""
+        out = []
+        for p in r.pieces:
+            if v.raw[p].startswith(b" "):
+                out.append([])
+            out[-1].append(p)
+        return [tuple(x) for x in out]
+    named, nameless = [cuts(r) for r in got if r.doc_id is not None], [cuts(r)[-1] for r in got if r.doc_id is None]
+    assert all(r.lossless for r in got) and all(len(x) == 40 for x in named)
+    assert min(len(set(x)) for x in named) > 4  # within a document
+    assert len({x[0] for x in named}) > 4 and len(set(nameless)) > 4  # at one place of many documents
+    assert len({tuple(x) for x in named}) == 30
