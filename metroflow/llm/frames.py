@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metroflow.session import fresh_dir
@@ -19,6 +19,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_hash(text_col: str) -> Column:
+    """A hash of the text, which tells rows of one id (or of none) apart."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
 def group_map(df: DataFrame, keys: list[str], fn: Callable[[tuple, Iterator[pa.Table]], Iterator[pa.RecordBatch]],
               schema: str, order: list[str] | None = None) -> DataFrame:
     """Run ``fn(key, tables)`` for each group. Groups of a partition are streamed one after another, their rows in ``order``.

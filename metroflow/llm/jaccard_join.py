@@ -4,7 +4,8 @@ A document's set is its distinct ``n``-word shingles, as 64-bit hashes. Two
 documents link when ``100 * intersection >= percent * union``; the result is
 one row per document with the smallest document id reachable by links.
 
-1. Equal sets form one class; from here on a class is one set.
+1. Equal sets form one class, named by a hash of the set; from here on a class is one set.
+   Ids come in again at the end, when a component takes its smallest one.
 2. Prefix filter. All sets share one order of shingles: a hash-chosen part of
    them first, rarest first, then the others by hash, then very frequent ones.
    Linked sets share a shingle among their first ``size - ceil(size * t) + 1``,
@@ -31,8 +32,8 @@ one row per document with the smallest document id reachable by links.
 
 Edge cases: a null, empty or wordless text has an empty set, size 0, and links
 with nothing (its component is its own id). Repeated rows give a row each. A
-null id takes the smallest non-null id of its component, else null. Other
-columns are ignored. An empty table gives an empty result.
+null id takes the smallest non-null id of its component, else null; texts that
+share an id link each on its own. Other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroflow.llm.frames import components, group_map, written
+from metroflow.llm.frames import components, group_map, text_hash, written
 from metroflow.llm.words import mix, sequence_hash, shingle_sets, signed
 
 #: A shingle in more than this share of a task's documents, and of half this share of all, is very frequent.
@@ -208,7 +209,7 @@ def _read(tables, column="set") -> tuple[list[int], list[np.ndarray]]:
     for t in tables:
         col = t.column(column)
         values, offs = col.values.to_numpy().view(np.uint64), col.offsets.to_numpy()
-        ids += t.column("rep").to_pylist()
+        ids += t.column("key").to_pylist()
         sets += [values[a:b].copy() for a, b in zip(offs[:-1], offs[1:])]
     return ids, sets
 
@@ -231,7 +232,7 @@ def join_within(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tu
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
-    """Pass 1: (id, size, key of the set, sketch) per document, and per task its frequent shingles."""
+    """Pass 1: (id, hash of the text, size, key of the set, sketch) per document, and per task its frequent shingles."""
     def run(batches):
         most, counts, seen, docs_seen = [], (np.empty(0, np.uint64), np.empty(0, np.int64)), 0, 0
 
@@ -255,19 +256,19 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) ->
                     if seen > 2_000_000:
                         counts, most, seen = folded(), [], 0
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array(sizes, pa.int64()), pa.array(np.array(keys, np.uint64).view(np.int64)),
+                [b.column("id"), b.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(np.array(keys, np.uint64).view(np.int64)),
                  pa.nulls(len(sizes), pa.list_(pa.int64())), pa.nulls(len(sizes), pa.list_(pa.int64())), pa.array(marks, pa.binary())],
-                ["id", "size", "key", "hot", "hot_n", "sketch"])
+                ["id", "text_hash", "size", "key", "hot", "hot_n", "sketch"])
         if most:
             counts = folded()
         keep = counts[1] >= max(3, FREQUENT * docs_seen)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([None], pa.int64()), pa.array([-docs_seen], pa.int64()), pa.array([0], pa.int64()),
+            [pa.array([None], pa.int64()), pa.array([0], pa.int64()), pa.array([-docs_seen], pa.int64()), pa.array([0], pa.int64()),
              pa.array([counts[0][keep].view(np.int64)], pa.list_(pa.int64())), pa.array([counts[1][keep]], pa.list_(pa.int64())),
-             pa.nulls(1, pa.binary())], ["id", "size", "key", "hot", "hot_n", "sketch"])
+             pa.nulls(1, pa.binary())], ["id", "text_hash", "size", "key", "hot", "hot_n", "sketch"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("t"))
-    return src.mapInArrow(run, "id long, size long, key long, hot array<long>, hot_n array<long>, sketch binary")
+    src = docs.select(F.col(id_col).cast("long").alias("id"), text_hash(text_col).alias("text_hash"), F.col(text_col).cast("string").cast("binary").alias("t"))
+    return src.mapInArrow(run, "id long, text_hash long, size long, key long, hot array<long>, hot_n array<long>, sketch binary")
 
 
 def _frequent(sized: DataFrame) -> np.ndarray:
@@ -410,9 +411,9 @@ def _group_edges(cand: DataFrame, sets: DataFrame, percent: int, shared_block: i
 
 
 def _set_rows(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """(grp, rep, set) of the wanted classes, from the text of the class's first document."""
-    src = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").cast("binary").alias("t"))
-    src = src.join(wanted, "rep")
+    """(grp, key, set) of the wanted classes, from the text of one document of the class."""
+    src = docs.select(F.col(id_col).cast("long").alias("id"), text_hash(text_col).alias("text_hash"), F.col(text_col).cast("string").cast("binary").alias("t"))
+    src = src.join(wanted, src["id"].eqNullSafe(wanted["rep"]) & (src["text_hash"] == wanted["rep_hash"])).select("grp", "key", "t")
 
     def run(batches):
         for b in batches:
@@ -420,10 +421,10 @@ def _set_rows(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n:
             sets = list(shingle_sets(b.column("t").to_pylist(), n))
             ok = [i for i, s in enumerate(sets) if len(s) and int(np.uint64(sequence_hash(s)).view(np.int64)) == keys[i]]
             yield pa.RecordBatch.from_arrays(
-                [b.column("grp").take(pa.array(ok, pa.int64())), b.column("rep").take(pa.array(ok, pa.int64())),
-                 pa.array([signed(sets[i]) for i in ok], pa.list_(pa.int64()))], ["grp", "rep", "set"])
+                [b.column("grp").take(pa.array(ok, pa.int64())), b.column("key").take(pa.array(ok, pa.int64())),
+                 pa.array([signed(sets[i]) for i in ok], pa.list_(pa.int64()))], ["grp", "key", "set"])
 
-    return src.mapInArrow(run, "grp long, rep long, set array<long>")
+    return src.mapInArrow(run, "grp long, key long, set array<long>")
 
 
 def _within(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
@@ -449,7 +450,7 @@ def _against(rows: DataFrame, percent: int) -> DataFrame:
                 continue
             pairs = []
             i, s = _read([t.slice(cut)])
-            for rep, x, label in zip(i, s, t.column("label").to_pylist()[cut:]):
+            for key, x, label in zip(i, s, t.column("label").to_pylist()[cut:]):
                 if trie is None:
                     union, first = _Union(len(sets) + 1), {}
                     for k, lab in enumerate(labels):
@@ -461,7 +462,7 @@ def _against(rows: DataFrame, percent: int) -> DataFrame:
                     me = first[label] = len(union.up) - 1
                 for k in trie.walk(x, me):
                     if union.join(me, k):
-                        pairs.append((rep, ids[k]))
+                        pairs.append((key, ids[k]))
             if pairs:
                 yield _edges(pairs)
     return group_map(rows, ["grp", "blk"], run, "a long, b long", ["probe"])
@@ -469,63 +470,72 @@ def _against(rows: DataFrame, percent: int) -> DataFrame:
 
 def _labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
     c = components(edges)
-    return rows.join(c.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    return rows.join(c.select(F.col("node").alias("key"), "label"), "key", "left").withColumn("label", F.coalesce("label", "key"))
 
 
 def _linked(rows: DataFrame, percent: int, block: int) -> DataFrame:
-    """Edges (a, b) that connect all linked sets of each group; rows: (grp, rep, set)."""
+    """Edges (a, b) that connect all linked sets of each group; rows: (grp, key, set)."""
     rows = written(rows.withColumn("n", F.size("set")), "jaccard-sets")
     sizes = rows.groupBy("grp").agg(F.sum("n").alias("total"))
     big = written(sizes.where(F.col("total") > block).withColumn("blocks", F.ceil(F.col("total") / block)), "jaccard-big")
     small = rows.join(big, "grp", "left_anti")
-    found = _within(small.select("grp", "rep", "set"), ["grp"], percent)
+    found = _within(small.select("grp", "key", "set"), ["grp"], percent)
     if big.isEmpty():
         return found
-    large = rows.join(big, "grp").withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    large = written(large.select("grp", "blk", "blocks", "rep", "set"), "jaccard-blocks")
-    edges = written(_within(large.select("grp", "blk", "rep", "set"), ["grp", "blk"], percent), "jaccard-links")
+    large = rows.join(big, "grp").withColumn("blk", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    large = written(large.select("grp", "blk", "blocks", "key", "set"), "jaccard-blocks")
+    edges = written(_within(large.select("grp", "blk", "key", "set"), ["grp", "blk"], percent), "jaccard-links")
     now = written(_labelled(large, edges), "jaccard-labels")
     most = now.agg(F.max("blocks")).first()[0]
     # some members of each block's largest component, joined 64 blocks at a time
     per = now.groupBy("grp", "blk", "label").agg(F.count(F.lit(1)).alias("c"))
     lead = per.groupBy("grp", "blk").agg(F.max_by("label", F.struct("c", "label")).alias("label"))
     hubs = now.join(lead, ["grp", "blk", "label"]).withColumn(
-        "k", F.row_number().over(Window.partitionBy("grp", "blk").orderBy(F.xxhash64("rep"), "rep"))).where(F.col("k") <= HUB_MEMBERS)
-    hubs = written(hubs.select("grp", "blk", "rep", "set"), "jaccard-hubs")
+        "k", F.row_number().over(Window.partitionBy("grp", "blk").orderBy(F.xxhash64("key"), "key"))).where(F.col("k") <= HUB_MEMBERS)
+    hubs = written(hubs.select("grp", "blk", "key", "set"), "jaccard-hubs")
     all_edges = edges
     while most > 1:
         up = hubs.withColumn("blk", F.floor(F.col("blk") / HUB_BLOCKS))
         more = written(_within(up, ["grp", "blk"], percent), "jaccard-hub-links")
         all_edges = all_edges.union(more)
         most = -(-most // HUB_BLOCKS)
-        hubs = up.withColumn("k", F.row_number().over(Window.partitionBy("grp", "blk").orderBy(F.xxhash64("rep"), "rep"))) \
+        hubs = up.withColumn("k", F.row_number().over(Window.partitionBy("grp", "blk").orderBy(F.xxhash64("key"), "key"))) \
             .where(F.col("k") <= HUB_MEMBERS).drop("k")
     now = written(_labelled(large, all_edges), "jaccard-labels")
     per = now.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("c"))
     lead = per.groupBy("grp").agg(F.max_by("label", F.struct("c", "label")).alias("lead"))
     rest = now.join(lead, "grp").where("label <> lead")
     if not rest.isEmpty():
-        probes = rest.select("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("blk"), "rep", "set", "label")
-        both = now.select("grp", "blk", "rep", "set", "label", F.lit(False).alias("probe")).union(
+        probes = rest.select("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("blk"), "key", "set", "label")
+        both = now.select("grp", "blk", "key", "set", "label", F.lit(False).alias("probe")).union(
             probes.withColumn("probe", F.lit(True)))
         all_edges = all_edges.union(written(_against(both, percent), "jaccard-last-links"))
     return found.union(all_edges)
 
 
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text",
-                       block_shingles: int = BLOCK_SHINGLES, shared_block: int = SHARED_BLOCK) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (see the module's notes)."""
+                       block_shingles: int = BLOCK_SHINGLES, shared_block: int = SHARED_BLOCK, with_group: bool = False) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (see the module's notes).
+
+    ``with_group`` adds ``text_hash`` and ``group``, a name of the component that needs no id (null for an empty set).
+    """
     sized = written(_sized(docs, id_col, text_col, n, percent), "jaccard-sizes")
-    each = sized.where("hot is null").select("id", "size", "key")
-    classes = each.where("size > 0").groupBy("key").agg(F.min("id").alias("rep"))
+    each = sized.where("hot is null").select("id", "text_hash", "size", "key")
+    # a document of the class: that of the smallest id, else one of those without
+    classes = each.where("size > 0").groupBy("key").agg(
+        F.min("id").alias("rep"), F.coalesce(F.min_by("text_hash", "id"), F.min("text_hash")).alias("rep_hash"))
     entries = _prefix_entries(docs, id_col, text_col, n, percent, _frequent(sized))
     cand = written(_candidates(entries, percent), "jaccard-prefixes")
     sets = sized.where("size > 0").dropDuplicates(["key"]).select("key", "size", "sketch")
     groups = components(_group_edges(cand, sets, percent, shared_block))
     wanted = groups.select(F.col("node").alias("key"), F.col("label").alias("grp")).join(classes, "key")
-    rows = _set_rows(docs, wanted, id_col, text_col, n).dropDuplicates(["rep"])
+    rows = _set_rows(docs, wanted, id_col, text_col, n).dropDuplicates(["key"])
     label = components(_linked(rows, percent, block_shingles))
-    named = classes.join(label.select(F.col("node").alias("rep"), "label"), "rep", "left") \
-        .select("key", F.coalesce("label", "rep").alias("component"))
+    linked = written(label.select(F.col("node").alias("key"), "label").join(classes, "key").select("key", "label", "rep"), "jaccard-linked")
+    low = written(linked.groupBy("label").agg(F.min("rep").alias("component")), "jaccard-lowest")
+    found = linked.join(low, "label").select("key", "label", "component")
+    named = classes.join(found, "key", "left").select(
+        "key", F.coalesce("component", "rep").alias("component"), F.coalesce("label", "key").alias("group"))
     return each.join(named, (each["key"] == named["key"]) & (each["size"] > 0), "left").select(
-        F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+        F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"),
+        *(["text_hash", "group"] if with_group else []))

@@ -375,6 +375,28 @@ def test_pipeline(spark):
     assert docs.where("not lossless").count() == 0
 
 
+BRIDGE, SHARED, NAMELESS = (words(k, 80, 9999).split() for k in (31, 32, 33))
+
+
+def changed(w, *at):
+    return " ".join("changed%d" % k if k in at else x for k, x in enumerate(w))
+
+
+#: Near copies of rows that have no id or share one: a null id links 50 with 51, two texts are called 52, a group has no id at all.
+NEAR = [*ODD, (50, changed(BRIDGE, 0)), (None, changed(BRIDGE)), (51, changed(BRIDGE, 79)), (52, changed(SHARED)), (52, changed(NAMELESS, 79)),
+        (53, changed(SHARED, 79)), (54, changed(NAMELESS)), (None, "no name " + BASE[:200] + " " + words(34, 90, 9999)),
+        (None, "no name " + BASE[:200] + " " + words(34, 90, 9999) + " end"), (None, "no id at all"), (None, "nor here"), (None, ""), (3, "  \n\t"), (50, changed(BRIDGE, 0))]
+
+
+@pytest.mark.parametrize("n,percent,block", [(3, 94, 400_000), (3, 94, 150), (5, 80, 400_000)])
+def test_jaccard_links_of_null_and_shared_ids(spark, n, percent, block):
+    df = spark.createDataFrame(NEAR, "doc_id long, text string")
+    got = jaccard_join.jaccard_components(df, n, percent, block_shingles=block).collect()
+    want = brute_components(NEAR, n, percent)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == want
+    assert (51, 78 if n == 3 else 76, 50) in want  # only by way of the row without an id
+
+
 def test_pieces_of_every_occurrence_are_drawn_apart(spark):
     word = "internationalization"
     rows = [(k, " ".join([word] * 40)) for k in range(30)] + [(None, f"{k} {word}") for k in range(30)]
