@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroflow.llm.frames import written
+from metroflow.llm.frames import text_hash, written
 from metroflow.llm.words import U, Words, chunks, fold, mix, running, sequence_hash, signed, span
 
 ROUNDS = 2
@@ -158,8 +158,8 @@ def _sha(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _sequences(src: DataFrame) -> DataFrame:
-    """(doc_id, seq, n_words, sha): a hash of each document's words, their number and their digest."""
+def _sequences(src: DataFrame, more: list[str]) -> DataFrame:
+    """(doc_id, seq, n_words, sha): a hash of each document's words, their number and their digest; and the columns ``more``, longs."""
     def run(batches):
         for b in batches:
             texts, seq, n, sha = b.column("t").to_pylist(), [], [], []
@@ -169,9 +169,9 @@ def _sequences(src: DataFrame) -> DataFrame:
                 seq += [sequence_hash(h[x:y]) for x, y in zip(w.offsets[:-1], w.offsets[1:])]
                 n += np.diff(w.offsets).tolist()
                 sha += [_sha((t or b"").split()) for t in texts[i:j]]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(signed(np.array(seq, U))), pa.array(n, pa.int64()), pa.array(sha)],
-                                             ["doc_id", "seq", "n_words", "sha"])
-    return src.mapInArrow(run, "doc_id long, seq long, n_words long, sha string")
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(signed(np.array(seq, U))), pa.array(n, pa.int64()), pa.array(sha), *(b.column(c) for c in more)],
+                                             ["doc_id", "seq", "n_words", "sha", *more])
+    return src.mapInArrow(run, "doc_id long, seq long, n_words long, sha string" + "".join(f", {c} long" for c in more))
 
 
 def _each_window(texts, window, rounds):
@@ -310,11 +310,12 @@ def substring_dedup(docs: DataFrame, window: int = 20, rounds: int = ROUNDS, id_
                     with_text: bool = False) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_removed, kept_sha256`` (see the module's notes).
 
-    ``with_text`` adds ``seq`` (the hash of the words) and ``kept_text``, the kept
-    words joined by a space: null where nothing was removed.
+    ``with_text`` adds ``seq`` (the hash of the words), ``text_hash`` (of the text as it is) and
+    ``kept_text``, the kept words joined by a space: null where nothing was removed.
     """
     src = _documents(docs, id_col, text_col)
-    each = written(_sequences(src), "substring-sequences")
+    more = ["text_hash"] if with_text else []
+    each = written(_sequences(src.withColumns({c: text_hash("t") for c in more}), more), "substring-sequences")
     first = each.groupBy("seq").agg(F.min("doc_id").alias("first"))
     # equal ids of different texts are told apart by tie
     own = Window.partitionBy("first")
@@ -333,5 +334,5 @@ def substring_dedup(docs: DataFrame, window: int = 20, rounds: int = ROUNDS, id_
     copy = ~F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("n_words") >= window)
     out = rows.select("doc_id", "n_words", F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0).cast("long"))).alias("n_removed"),
                       F.when(copy, F.lit(_sha([]))).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
-                      *([F.when(copy, F.lit("")).otherwise(F.col("kept")).alias("kept_text"), "seq"] if with_text else []))
+                      *([F.when(copy, F.lit("")).otherwise(F.col("kept")).alias("kept_text"), "seq", "text_hash"] if with_text else []))
     return out

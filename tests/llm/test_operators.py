@@ -397,6 +397,42 @@ def test_jaccard_links_of_null_and_shared_ids(spark, n, percent, block):
     assert (51, 78 if n == 3 else 76, 50) in want  # only by way of the row without an id
 
 
+def near_rows(spark):
+    return spark.createDataFrame([(i, t, "en", f"s{k}", len(t) if t else None, "k", k, k) for k, (i, t) in enumerate(NEAR)], DOCS)
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline as p
+    df = near_rows(spark)
+    got = [(r.doc_id, r.text) for r in p.one_of_each(spark, df, SF_SMALL).collect()]
+    s = list(sets(NEAR, 5))
+    group = list(range(len(s)))  # brute force: the smallest label spreads over links
+    for _ in s:
+        for a in range(len(s)):
+            for b in range(a):
+                x, y = s[a][1], s[b][1]
+                if (x and y and 100 * len(x & y) >= 80 * len(x | y)) or NEAR[a] == NEAR[b]:
+                    group[a] = group[b] = min(group[a], group[b])
+    members = collections.defaultdict(list)
+    for k, g in enumerate(group):
+        members[g].append(NEAR[k])
+    assert len(got) == len(members) and len(set(got)) == len(got)
+    for m in members.values():
+        own = [x for x in got if x in m]
+        assert len(own) == 1 and own[0][0] == min((i for i, _ in m if i is not None), default=None)
+
+
+def test_pipeline_cuts_the_own_text_of_null_and_shared_ids(spark):
+    import corpus_pipeline as p
+    rows = NEAR + [(60, words(41, 200, 9999)), (61, "a b " + words(41, 200, 9999)), (61, "another text of this id"), (None, words(41, 200, 9999)[:600] + " c d")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t) if t else None, "k", k, k) for k, (i, t) in enumerate(rows)], DOCS)
+    out = p.cut_repeats(spark, df, SF_SMALL).collect()
+    empty = hashlib.sha256(b"").hexdigest()
+    want = sorted(((i, h) for i, _, removed, h in brute_removed(rows, 50) if not (removed and h == empty)), key=str)
+    assert sorted(((r.doc_id, hashlib.sha256(b" ".join((r.text or "").encode().split())).hexdigest()) for r in out), key=str) == want
+    assert all(r.n_chars == len(r.text) for r in out if r.text)
+
+
 def test_pieces_of_every_occurrence_are_drawn_apart(spark):
     word = "internationalization"
     rows = [(k, " ".join([word] * 40)) for k in range(30)] + [(None, f"{k} {word}") for k in range(30)]
