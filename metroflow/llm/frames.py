@@ -71,6 +71,25 @@ def _pieces(batches, keys):
                 first = i
 
 
+def join_counted(rows: DataFrame, groups: DataFrame, keys: list[str], n_col: str = "n", share: int = 1000, how: str = "left") -> DataFrame:
+    """``rows`` joined with ``groups`` (one row per key, ``n_col`` its number of rows) so that no key's rows go to one task.
+
+    Keys with over 1/``share`` of the rows of ``groups`` are fewer than ``share``: they're broadcast, and their rows
+    spread over as many salted keys as there are shuffle partitions. Null keys meet nothing. The salt is a hash of the
+    row's keyed-on and plain columns, so a task that runs again deals its rows alike.
+    """
+    spark = rows.sparkSession
+    groups = written(groups, "counted")
+    total = groups.agg(F.coalesce(F.sum(n_col), F.lit(0))).first()[0]
+    hot = groups.where(F.col(n_col) * share > total).select(*keys, F.lit(partitions(spark)).alias("__salts"))
+    plain = [f.name for f in rows.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn(
+        "__salt", F.coalesce(F.pmod(F.xxhash64(*plain), F.col("__salts")), F.lit(0).cast("long"))).drop("__salts")
+    spread = groups.join(F.broadcast(hot), keys, "left").withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("__salts", F.lit(1)).cast("long") - 1))).drop("__salts")
+    return dealt.join(spread, [*keys, "__salt"], how).drop("__salt")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "components") -> DataFrame:
     """Connected components of undirected ``edges``: one row (node, label) per node of an edge; label is its smallest node.
 
