@@ -14,7 +14,7 @@ A value depends on a term's counts alone. So terms are grouped by cell, (count i
    term at least, that are at most ``top`` values, so a partial top-k precedes the shuffle.
 3. Only terms of those cells are expanded, in UTF-8 order within a value, again behind a partial top-k.
 
-Pairs: the value of two groups of a language is the sum over kept terms of |p - q|. The terms of a language are dealt to buckets; a
+Pairs: the value of two groups of a language is the sum over kept terms of |p - q|. The terms of a language are dealt to buckets of about ``TERMS``; a
 task streams those of one bucket as rows of a matrix (terms by groups) that hold p by the cell of each count,
 and adds up |p - q| for all pairs of columns, less what two absent counts give. It returns one sum per pair
 of groups, not per term. Over ``block`` groups of a language are cut into blocks, each pair of blocks a task's.
@@ -32,10 +32,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroflow.llm.frames import group_map, partitions, written
+from metroflow.llm.frames import group_map, written
 from metroflow.llm.words import PUNCTUATION, Words, chunks, utf8
 
-CHUNK, BLOCK, STEP = 1 << 23, 512, 64
+CHUNK, BLOCK, STEP, TERMS = 1 << 23, 512, 64, 4096
 _APART = PUNCTUATION.copy()
 _APART[48:58] = True  # digits are no letters
 
@@ -160,14 +160,13 @@ def _add_up(key, tables, block):
 
 def _pairs(counts: DataFrame, groups: DataFrame, block: int) -> DataFrame:
     """(lang, source, item, value, rank): each group's other groups of its language."""
-    spark = counts.sparkSession
     named = groups.withColumn("number", F.row_number().over(Window.partitionBy("lang").orderBy("source")).cast("long") - 1) \
         .withColumn("blocks", F.ceil(F.count(F.lit(1)).over(Window.partitionBy("lang")) / block)) \
         .withColumn("p0", F.when(F.col("kept") > 0, share(F.lit(0).cast("long"), F.col("total"), F.col("kept"))))
     named = written(named.select("lang", "source", "number", "blocks", "total", "kept", "p0"), "divergence-groups")
-    buckets = 2 * partitions(spark)
+    buckets = F.ceil(F.col("kept") / TERMS).cast("int")  # as many as a language has kept terms for, whatever the cluster's size
     cells = counts.select("lang", "source", "n").distinct().join(named, ["lang", "source"]) \
-        .select("lang", "source", "n", "number", "blocks", share(F.col("n"), F.col("total"), F.col("kept")).alias("p"))
+        .select("lang", "source", "n", "number", "blocks", buckets.alias("buckets"), share(F.col("n"), F.col("total"), F.col("kept")).alias("p"))
     mine = F.floor(F.col("number") / block).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
     cols = ["lang", "low", "high", "bucket", "term", "number", "p"]
@@ -175,10 +174,10 @@ def _pairs(counts: DataFrame, groups: DataFrame, block: int) -> DataFrame:
     def dealt(rows):
         return rows.withColumn("other", other).withColumn("low", F.least(mine, "other")).withColumn("high", F.greatest(mine, "other")).select(cols)
 
-    heads = dealt(named.where("kept > 0").withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))).select(
+    heads = dealt(named.where("kept > 0").withColumn("bucket", F.explode(F.sequence(F.lit(0), buckets - 1))).select(
         "lang", "bucket", F.lit(None).cast("string").alias("term"), "number", "blocks", F.col("p0").alias("p")))
     body = dealt(counts.select("lang", "source", "term", "n").join(cells, ["lang", "source", "n"]).withColumn(
-        "bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")))
+        "bucket", F.pmod(F.xxhash64("term"), F.col("buckets")).cast("int")))
     sums = group_map(heads.union(body), cols[:4], lambda key, tables: _add_up(key, tables, block), "lang string, a long, b long, more long", ["term", "number"])
     sums = sums.groupBy("lang", "a", "b").agg(F.sum("more").alias("more"))
     one = named.select("lang", F.col("number").alias("a"), "source", F.col("p0").alias("pa"), "kept")
