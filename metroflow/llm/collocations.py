@@ -37,10 +37,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroflow.llm.frames import group_map, join_counted, written
+from metroflow.llm.frames import group_map, join_counted, partitions, written
 from metroflow.llm.words import U, Words, mix, utf8
 
-BLOCK_BYTES, DEPTH, SAMPLES, HELD = 1 << 24, 4, 24, 6_000_000
+BLOCK_BYTES, DEPTH, SAMPLES, HELD = 1 << 23, 4, 24, 2_000_000
 _BREAK = np.zeros(256, bool)
 _BREAK[[*b".,;:!?\n\x0b\x0c\r"]] = True
 _APART = _BREAK.copy()
@@ -131,17 +131,20 @@ def _shared(first: np.ndarray, label: np.ndarray, target: np.ndarray):
 def summed(paths: list[np.ndarray], weights: np.ndarray, words: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct paths of four labels up to ``words`` in order, weights of equal ones added."""
     bits = max(1, words.bit_length())
-    high, low = (paths[0] << bits) | paths[1], (paths[2] << bits) | paths[3]
+    high, low = ((paths[i].astype(np.int64) << bits) | paths[i + 1] for i in (0, 2))
     if 4 * bits > 63:
         (high_of, high), (low_of, low) = (np.unique(x, return_inverse=True) for x in (high, low))
         key = high * len(low_of) + low
+        del high_of, low_of
     else:
         key = (high << 2 * bits) | low
+    del high, low
     order = np.argsort(key, kind="stable")
     key, weights = key[order], weights[order]
     new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[:len(key)])
     weights = np.add.reduceat(weights, new) if len(new) else weights
-    return [p[order[new]] for p in paths], weights
+    order = order[new]
+    return [p[order] for p in paths], weights
 
 
 def _vocabulary(flat: pa.Array) -> tuple[list[bytes], np.ndarray]:
@@ -160,11 +163,11 @@ def text_paths(texts: list[bytes | None]) -> tuple[list[bytes], list[np.ndarray]
     ends = np.concatenate(([0], np.cumsum(w.ends - w.starts)))
     data = np.ascontiguousarray(w.data[~_APART[w.data]])
     words, label = _vocabulary(pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(data)]))
-    breaks = np.concatenate(([0], np.cumsum(_BREAK[w.data])))
-    piece = breaks[w.starts]  # words of a piece have as many breaks before them
+    piece = np.searchsorted(np.flatnonzero(_BREAK[w.data]), w.starts).astype(np.int32)  # words of a piece have as many breaks before them
+    label = label.astype(np.int32)
     paths = [label]
     for k in range(1, DEPTH):
-        nxt = np.zeros(n, np.int64)
+        nxt = np.zeros(n, np.int32)
         if n > k:
             nxt[:-k] = np.where(piece[k:] == piece[:-k], label[k:], 0)
         paths.append(nxt)
@@ -193,18 +196,20 @@ def _cut(words: list[bytes], paths: list[np.ndarray], bounds: list[tuple]) -> li
 
 def _by_language(batches, block: int):
     """(language, texts) of about ``block`` bytes each."""
-    held, size = {}, {}
+    held, size, total = {}, {}, 0
     for b in batches:
         for lang, t in zip(b.column("lang").to_pylist(), utf8(b.column("t"))):
             if not t:
                 continue
             held.setdefault(lang, []).append(t)
             size[lang] = size.get(lang, 0) + len(t)
-            if sum(size.values()) >= block:
+            total += len(t)
+            if total >= block:
                 lang = max(size, key=size.get)
                 yield lang, held.pop(lang)
-                del size[lang]
-    yield from held.items()
+                total -= size.pop(lang)
+    while held:
+        yield held.popitem()
 
 
 def _shards(docs: DataFrame, bounds, block: int) -> DataFrame:
@@ -216,6 +221,7 @@ def _shards(docs: DataFrame, bounds, block: int) -> DataFrame:
         langs = [b[0] for b in bounds.value]
         for lang, texts in _by_language(batches, block):
             words, paths = text_paths(texts)
+            del texts
             if not words:
                 continue
             paths, weights = summed(paths, np.ones(len(paths[0]), np.int64), len(words))
@@ -248,7 +254,7 @@ def _union(parts: list[tuple]) -> tuple[list[bytes], list[np.ndarray], np.ndarra
     sizes = [len(w) for w, _, _ in parts]
     words, label = _vocabulary(pa.array([x for w, _, _ in parts for x in w], pa.large_binary()))
     at = np.concatenate(([0], np.cumsum(sizes)))
-    maps = [np.concatenate(([0], label[a:b])) for a, b in zip(at[:-1], at[1:])]
+    maps = [np.concatenate(([0], label[a:b])).astype(np.int32) for a, b in zip(at[:-1], at[1:])]
     paths = [np.concatenate([m[p[k]] for m, (_, p, _) in zip(maps, parts)]) for k in range(DEPTH)]
     paths, weights = summed(paths, np.concatenate([x for _, _, x in parts]), len(words))
     return words, paths, weights
@@ -315,7 +321,8 @@ def counts(docs: DataFrame, least: int = 30, text_col: str = "text", lang_col: s
     total = src.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).cast("long")).first()[0]
     block = max(block_bytes, math.isqrt(256 * total))
     bounds = spark.sparkContext.broadcast(_bounds(src, block, total))
-    rows = group_map(_shards(src, bounds, block), ["part", "lang"], _range_counts(least), "lang string, k int, phrase string, f long")
+    rows = group_map(_shards(src, bounds, block), ["part", "lang"], _range_counts(least), "lang string, k int, phrase string, f long",
+                     parts=max(partitions(spark), math.ceil(total / block)))
     return rows.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f")).where((F.col("k") == 0) | (F.col("f") >= least))
 
 

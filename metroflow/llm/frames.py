@@ -25,17 +25,19 @@ def text_hash(text_col: str) -> Column:
 
 
 def group_map(df: DataFrame, keys: list[str], fn: Callable[[tuple, Iterator[pa.Table]], Iterator[pa.RecordBatch]],
-              schema: str, order: list[str] | None = None) -> DataFrame:
+              schema: str, order: list[str] | None = None, parts: int | None = None) -> DataFrame:
     """Run ``fn(key, tables)`` for each group. Groups of a partition are streamed one after another, their rows in ``order``.
+    ``parts``: how many partitions to deal the groups to, for rows that are large (else Spark's settings decide).
 
     ``fn`` gets a group as an iterator of tables, so that it decides what to hold.
     """
-    parts = df.repartition(*keys).sortWithinPartitions(*keys, *(order or []))
+    dealt = df.repartition(parts, *keys) if parts else df.repartition(*keys)
+    dealt = dealt.sortWithinPartitions(*keys, *(order or []))
 
     def run(batches):
         yield from _streamed(batches, keys, fn)
 
-    return parts.mapInArrow(run, schema)
+    return dealt.mapInArrow(run, schema)
 
 
 def _streamed(batches, keys, fn):
