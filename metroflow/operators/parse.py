@@ -185,18 +185,24 @@ def equipment(messages: DataFrame) -> DataFrame:
 def conform(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
     """Take the first present of several alternative names for each canonical column.
 
-    ``aliases`` maps canonical name -> alternatives in order of preference.
-    Array-typed canonical columns that end up null become empty arrays.
+    ``aliases`` maps canonical name -> alternatives in order of preference. An
+    empty text counts as absent as long as another name has a value.
+    Array-typed canonical columns that end up null become empty arrays. A frame
+    of canonical columns is returned as it is.
     """
-    present = set(df.columns)
+    present = {f.name: f.dataType for f in df.schema.fields}
     out = df
     for canon, alts in aliases.items():
-        cands = [F.col(a) for a in [canon] + list(alts) if a in present]
-        if not cands:
+        names = [c for c in [canon] + list(alts) if c in present]
+        if names in ([], [canon]):
             continue
-        val = F.coalesce(*cands) if len(cands) > 1 else cands[0]
-        out = out.withColumn(canon, val)
-        out = out.drop(*[a for a in alts if a in present and a != canon])
+        filled = [F.nullif(F.col(c), F.lit("")) for c in names if isinstance(present[c], T.StringType)]
+        val = F.coalesce(*filled, *[F.col(c) for c in names])
+        out = out.withColumn(canon, val).drop(*[a for a in names if a != canon])
+    if "type" in present and "is_current" not in present and "outage_start" in present:
+        out = out.withColumn("is_current", F.col("type") == "current").drop("type")
+    if "position" in present and "latitude" not in present:
+        out = out.select(*[c for c in out.columns if c != "position"], "position.*")
     for f in out.schema.fields:
         if f.name in aliases and isinstance(f.dataType, T.ArrayType):
             out = out.withColumn(f.name, F.coalesce(F.col(f.name), F.array().cast(f.dataType)))
@@ -207,3 +213,52 @@ def conform(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
 ALERT_ALIASES = {"header": ["header_text"], "description": ["description_text"],
                  "routes": ["affected_routes"], "updated": ["updated_at"]}
 OUTAGE_ALIASES = {"station": ["station_name"], "latest_status": ["status"], "routes": ["trains"]}
+VEHICLE_ALIASES: dict[str, list[str]] = {}  # the position may be nested
+EQUIPMENT_ALIASES = {"station": ["station_name"]}
+
+# Records as other layers send them: column -> type and the places it may be in, first with a value wins.
+NAMED = {
+    "alerts": {"id": ("string", ["id"]), "alert_type": ("string", ["alert_type", "cause"]), "effect": ("string", ["effect"]),
+               "header": ("string", ["header_text", "header"]), "description": ("string", ["description_text", "description"]),
+               "updated": ("string", ["updated_at", "updated"]), "severity": ("string", ["severity"]),
+               "routes": ("array<string>", ["affected_routes", "routes"])},
+    "outages": {"equipment_id": ("string", ["equipment_id"]), "station": ("string", ["station.name", "station_name", "station"]),
+                "borough": ("string", ["station.borough", "borough"]), "equipment_type": ("string", ["equipment_type"]),
+                "serving": ("string", ["serving"]), "outage_start": ("string", ["outage_start_date_time", "outage_start"]),
+                "outage_end": ("string", ["estimated_return_date_time", "outage_end"]), "reason": ("string", ["reason.reason_name", "reason"]),
+                "latest_status": ("string", ["latest_status.status_name", "latest_status", "status"]), "type": ("string", ["type"]),
+                "is_current": ("boolean", ["is_current"]), "routes": ("array<string>", ["trains", "routes"])},
+    "vehicles": {"id": ("string", ["id"]), "line_id": ("string", ["line_id"]), "trip_id": ("string", ["trip_id", "trip.trip_id"]),
+                 "route_id": ("string", ["route_id", "trip.route_id"]), "vehicle_id": ("string", ["vehicle_id", "vehicle.id"]),
+                 "latitude": ("double", ["latitude", "position.latitude"]), "longitude": ("double", ["longitude", "position.longitude"]),
+                 "bearing": ("double", ["bearing", "position.bearing"]), "event_time": ("string", ["timestamp", "event_time"])},
+    "equipment": {"equipment_id": ("string", ["equipment_id"]), "station": ("string", ["station.name", "station_name", "station"]),
+                  "borough": ("string", ["station.borough", "borough"]), "equipment_type": ("string", ["equipment_type"]),
+                  "serving": ("string", ["serving"]), "ada": ("boolean", ["ada"])},
+}
+NAMED_TIMES = {"updated", "outage_start", "outage_end", "event_time"}
+
+
+def named_records(messages: DataFrame, kind: str) -> DataFrame:
+    """Rows of messages whose records go by any of the layers' names, decoded once as VARIANT.
+
+    A message is a list of records or an object that holds them in ``data``.
+    A missing list is an empty list, a missing ``is_current`` follows ``type``;
+    a value of another type than its column's is absent. No second schema is
+    needed per spelling.
+    """
+    value = F.try_parse_json(F.col("value").cast("string"))
+    one = messages.select(F.explode(F.array(value)).alias("m"))
+    records = F.coalesce(F.try_variant_get("m", "$.data", "array<variant>"), F.try_variant_get("m", "$", "array<variant>"))
+    rows = one.select(F.explode(records).alias("r"))
+    cols = []
+    for name, (kind_of, places) in NAMED[kind].items():
+        got = [F.try_variant_get("r", f"$.{p}", kind_of) for p in places]
+        col = F.coalesce(*(F.nullif(c, F.lit("")) for c in got), *got[-1:]) if kind_of == "string" else F.coalesce(*got)
+        if kind_of.startswith("array"):
+            col = F.coalesce(col, F.array().cast(kind_of))
+        cols.append((normalize_time(col) if name in NAMED_TIMES else col).alias(name))
+    out = rows.select(*cols)
+    if "type" in NAMED[kind]:
+        out = out.withColumn("is_current", F.coalesce(F.col("is_current"), F.col("type") == "current")).drop("type")
+    return out

@@ -16,6 +16,7 @@ from metroflow.functions import routes as RD
 from metroflow.functions.time import board_date
 from metroflow.operators import aggregate as A
 from metroflow.operators import order as O
+from metroflow.operators import parse as PA
 from metroflow.operators import predicates as P
 from metroflow.operators.state import latest_by_key
 
@@ -122,7 +123,12 @@ def unnest_position(df: DataFrame) -> DataFrame:
 def vehicles_listing(latest: DataFrame, route_id: str | None = None, route_type: str | None = None,
                      family: str | None = None, box: tuple | None = None, mode: str = "dim",
                      limit: int | None = O.DEFAULT_LIMIT) -> DataFrame:
-    """Vehicles filtered by route, route type, family and box (all ANDed), key order."""
+    """Vehicles filtered by route, route type, family and box (all ANDed), key order.
+
+    A nested position is taken apart where the box asks for it.
+    """
+    if box is not None:
+        latest = PA.conform(latest, PA.VEHICLE_ALIASES)
     preds = [P.route_is(route_id), P.route_type_is(route_type, mode=mode), P.family_is(family)]
     if box is not None:
         preds.append(P.usable_position() & P.in_box(*box))
@@ -136,6 +142,7 @@ def alerts_listing(alerts: DataFrame, route_id: str | None = None, severity: str
 
     Takes raw alerts or ones from ``prepare_alerts`` (then the search must match its ``search``).
     """
+    alerts = PA.conform(alerts, PA.ALERT_ALIASES)
     a = alerts if "severity_class" in alerts.columns else classify_alerts(alerts)
     hit = None
     if search:
@@ -147,7 +154,8 @@ def alerts_listing(alerts: DataFrame, route_id: str | None = None, severity: str
 def outages_listing(outages: DataFrame, station: str | None = None, borough: str | None = None,
                     equipment_type: str | None = None, kind: str | None = "current", regex: bool = False,
                     limit: int | None = O.DEFAULT_LIMIT) -> DataFrame:
-    """Outages by type and case-insensitive substring filters."""
+    """Outages by type and case-insensitive substring filters; either spelling of their columns."""
+    outages = PA.conform(outages, PA.OUTAGE_ALIASES)
     out = P.where_all(outages, P.outage_type_is(kind),
                       P.text_contains(station, "station", regex=regex),
                       P.text_contains(borough, "borough", regex=regex),
@@ -158,7 +166,8 @@ def outages_listing(outages: DataFrame, station: str | None = None, borough: str
 def equipment_listing(equipment: DataFrame, station: str | None = None, borough: str | None = None,
                       equipment_type: str | None = None, ada: bool | None = None, regex: bool = False,
                       limit: int | None = O.DEFAULT_LIMIT) -> DataFrame:
-    """E5: equipment by substring filters and the tri-state ada flag."""
+    """E5: equipment by substring filters and the tri-state ada flag; either spelling of their columns."""
+    equipment = PA.conform(equipment, PA.EQUIPMENT_ALIASES)
     out = P.where_all(equipment, P.text_contains(station, "station", regex=regex),
                       P.text_contains(borough, "borough", regex=regex),
                       P.text_contains(equipment_type, "equipment_type", regex=regex),
@@ -315,10 +324,15 @@ def component_health(name: str, table: DataFrame, processed_at: str, as_of, limi
     ``as_of=None`` judges the table at its own newest processing time (age 0).
     """
     agg = table.agg(F.count(F.lit(1)).alias("n_rows"), F.max(processed_at).alias("last_processed_at"))
+    return judged_health(name, agg, as_of, limit_s)
+
+
+def judged_health(name: str, figures: DataFrame, as_of, limit_s: int) -> DataFrame:
+    """A15 from figures known already (``n_rows``, ``last_processed_at``), such as those a stream's batches took."""
     t = F.col("last_processed_at") if as_of is None else (
         as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz"))
     age = F.timestamp_diff("SECOND", F.col("last_processed_at"), t)
-    return agg.select(
+    return figures.select(
         F.lit(name).alias("component"), "n_rows", "last_processed_at", age.alias("age_seconds"),
         F.when(F.col("n_rows") == 0, F.lit("DOWN"))
          .when(age <= limit_s, F.lit("OPERATIONAL"))

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+# Queries that write tables first (a drained feed, an index) and read them; all others are lazy.
+STORED = ("stream_", "stored_")
+
 QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
 

@@ -7,6 +7,8 @@ values of FIXTURES.md; every query reads whole tables.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from metroflow.functions import classify as C
 from metroflow.functions import routes as RD
 from metroflow.operators import aggregate as A
 from metroflow.operators import predicates as P
+from metroflow.operators import textindex as TI
 from metroflow.operators.state import dedup
 from metroflow.plans import api
 from metroflow.plans import oracle as S
@@ -468,10 +471,6 @@ def summary_stats(spark: SparkSession, d: str) -> DataFrame:
     return api.summary(_latest(spark, d, "line_id", "route_id"), R.outages(spark, d), act, R.equipment(spark, d))
 
 
-def _outages_as_of_sql() -> str:
-    return "(SELECT max(outage_start) FROM outages)"
-
-
 @register("feed_health", W(f"""
 , comp AS (
   SELECT 'vehicles_tracking' AS component, count(*) AS n_rows, max(ts) AS last_processed_at,
@@ -669,10 +668,11 @@ def normalize_time_q(spark: SparkSession, d: str) -> DataFrame:
 
 @register("feed_union", W("SELECT id, line_id AS source, vehicle_id, route_id, line_id FROM vehicles", "vehicles"))
 def feed_union(spark: SparkSession, d: str) -> DataFrame:
-    """The line feeds, each landed in its own folder, read as one feed by one scan."""
-    path = fresh_dir(spark, "landing-lines")
-    FD.publish(FD.vehicle_messages(R.vehicles(spark, d)), path=path, by_key=True)
-    feeds = FD.landing_batch(spark, path, "vehicles")
+    """The positions of all line feeds as one feed, each with the line it came from."""
+    return _line_positions(FD.vehicle_messages(R.vehicles(spark, d)))
+
+
+def _line_positions(feeds: DataFrame) -> DataFrame:
     return PA.vehicles(feeds).select("id", F.col("line_id").alias("source"), "vehicle_id", "route_id", "line_id")
 
 
@@ -695,7 +695,6 @@ def feed_union_kinds(spark: SparkSession, d: str) -> DataFrame:
 
 from metroflow.session import fresh_dir  # noqa: E402
 from metroflow.streaming import jobs as J  # noqa: E402
-from metroflow.streaming import sinks as K  # noqa: E402
 
 STREAM_WATERMARK = "400 days"  # longer than the disorder of the landed files, so no row is late
 
@@ -732,8 +731,7 @@ SELECT id, vehicle_id, route_id, line_id, latitude, longitude, date_trunc('secon
 WHERE vehicle_id IS NULL""", "vehicles"))
 def stream_vehicles_latest(spark: SparkSession, d: str) -> DataFrame:
     out = drain_vehicle_feed(spark, d, lambda m, o, c: J.vehicle_job(m, o, c, available_now=True))
-    schema = PA.vehicles(spark.createDataFrame([], FD.SC.MESSAGE)).schema
-    return K.read_latest(spark, f"{out}/vehicle_latest", schema).select(*_SVL_COLS)
+    return J.read_latest(spark, out, "vehicles").select(*_SVL_COLS)
 
 
 @register("stream_route_stats", W("""
@@ -753,7 +751,7 @@ def stream_route_stats(spark: SparkSession, d: str) -> DataFrame:
 def stream_rejects(spark: SparkSession, d: str) -> DataFrame:
     """P4 in the stream: cut-off messages are kept as rejects, the others reach the history."""
     out = drain_vehicle_feed(spark, d, lambda m, o, c: J.vehicle_job(m, o, c, available_now=True), _broken_messages)
-    stored = K.read_appended(spark, f"{out}/vehicle_history").select(F.count(F.lit(1))).scalar()
+    stored = J.read_history(spark, out).select(F.count(F.lit(1))).scalar()
     return J.read_rejects(spark, out, "vehicles").groupBy("feed", "reason").agg(F.count(F.lit(1)).alias("n_rejected")) \
         .withColumn("n_stored", stored)
 
@@ -776,3 +774,226 @@ def stream_outages_current(spark: SparkSession, d: str) -> DataFrame:
     q = J.feed_job(FD.landing_stream(spark, path, "outages_current"), "outages_current", out, ck, available_now=True)
     J.await_all(spark, [q])
     return api.equipment_availability(R.equipment(spark, d), serving.outages_latest(spark, out))
+
+
+@register("stream_feed_union", W(f"SELECT id, line_id AS source, vehicle_id, route_id, line_id FROM vehicles "
+                                 f"WHERE line_id IN ({S.in_list(FD.SC.LINE_FEEDS)})", "vehicles"))
+def stream_feed_union(spark: SparkSession, d: str) -> DataFrame:
+    """Feeds landed in a folder per line; the registered line feeds are read by one scan."""
+    path = fresh_dir(spark, "landing-lines")
+    FD.publish(FD.vehicle_messages(R.vehicles(spark, d)), path=path, by_key=True)
+    return _line_positions(FD.landing_lines(spark, path))
+
+
+LATE_BY = "2 days"
+_LATE_SQL = "(event_id % 20 = 7 AND ts < (SELECT max(ts) FROM vehicles) - INTERVAL 1 day)"
+
+
+def _late(v: DataFrame):
+    """Reports that arrive after all others: every 20th one but those of the last day."""
+    newest = v.agg(F.max("ts")).scalar()
+    return (F.col("event_id") % 20 == 7) & (F.col("ts") < newest - F.expr("INTERVAL 1 DAY"))
+
+
+@register("stream_route_windows", W(f"""
+, w AS (SELECT time_bucket(INTERVAL 1 hour, date_trunc('second', ts)) AS window_start, line_id, route_id, {_LATE_SQL} AS late,
+               date_trunc('second', ts) AS ts FROM vehicles),
+mark AS (SELECT max(ts) - INTERVAL {LATE_BY} AS t FROM w WHERE NOT late)
+SELECT window_start, window_start + INTERVAL 1 hour AS window_end, line_id, route_id, count(*) AS count,
+       window_start + INTERVAL 1 hour <= t AS closed
+FROM w, mark WHERE NOT late OR window_start + INTERVAL 1 hour > t GROUP BY ALL""", "vehicles").replace("\n, w AS", ", w AS", 1))
+def stream_route_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Closed windows are stored once and leave late reports out, open ones are running counts that take them in."""
+    path, out, ck = (fresh_dir(spark, n) for n in ("landing-late", "tables", "checkpoints"))
+    v = R.vehicles(spark, d)
+    for rows in (v.filter(~_late(v)), v.filter(_late(v))):
+        FD.publish(FD.vehicle_messages(rows), path=path)
+        msgs = FD.landing_stream(spark, path, "vehicles")
+        J.await_all(spark, [job(msgs, out, ck, LATE_BY, available_now=True) for job in (J.route_stats_job, J.route_windows_job)])
+    J.fold_route_stats(spark, out)
+    return J.read_route_counts(spark, out)
+
+
+@register("stream_replay", W("SELECT id, vehicle_id, route_id, date_trunc('second', ts) AS event_time FROM vehicles", "vehicles"))
+def stream_replay(spark: SparkSession, d: str) -> DataFrame:
+    """T7 beyond the watermark: the whole feed is read again under a new checkpoint; the history holds each report once."""
+    path, n = land_vehicle_feed(spark, d)
+    out = fresh_dir(spark, "tables")
+    for k in range(2):
+        msgs = FD.landing_stream(spark, path, "vehicles", max_files=max(1, n // (2 + k)))
+        J.await_all(spark, [J.vehicle_job(msgs, out, fresh_dir(spark, "checkpoints"), available_now=True, unseen_key="id")])
+    return J.read_history(spark, out).select("id", "vehicle_id", "route_id", "event_time")
+
+
+@register("stream_history_24h", W(f"""
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL 1 hour, date_trunc('second', ts)) AS window_start, time_bucket(INTERVAL 1 hour, date_trunc('second', ts)) + INTERVAL 1 hour AS window_end,
+         line_id, route_id, count(*) AS count
+  FROM vehicles GROUP BY ALL) s
+WHERE window_start >= TIMESTAMP '{EVENTS_AS_OF}' - INTERVAL 24 hour
+ORDER BY window_start DESC, line_id, route_id LIMIT 100""", "vehicles"))
+def stream_history_24h(spark: SparkSession, d: str) -> DataFrame:
+    """E7 on the stored history, closed days packed: only the trailing days are listed and read."""
+    from metroflow.plans import serving
+
+    out = drain_vehicle_feed(spark, d, lambda m, o, c: J.vehicle_job(m, o, c, available_now=True))
+    J.pack_history(spark, out, EVENTS_AS_OF)
+    return serving.route_stats_report(spark, out, EVENTS_AS_OF)
+
+
+@register("stream_history_in_box", W(f"""
+SELECT id, latitude, longitude FROM vehicles
+WHERE latitude <> 0 AND longitude <> 0
+  AND latitude BETWEEN {BOX[0]} AND {BOX[1]} AND longitude BETWEEN {BOX[2]} AND {BOX[3]}""", "vehicles"))
+def stream_history_in_box(spark: SparkSession, d: str) -> DataFrame:
+    """F17 on the stored history: days packed in Z-order, the box as ranges of cells."""
+    from metroflow.plans import serving
+
+    out = drain_vehicle_feed(spark, d, lambda m, o, c: J.vehicle_job(m, o, c, available_now=True))
+    J.pack_history(spark, out, "9999-01-01")
+    return serving.vehicles_in_box(spark, out, BOX).select("id", "latitude", "longitude")
+
+
+@register("stream_active_vehicles", W("""
+SELECT line_id, count(DISTINCT vehicle_id) AS exact, TRUE AS within_bounds FROM vehicles GROUP BY line_id
+UNION ALL SELECT 'all', count(DISTINCT vehicle_id), TRUE FROM vehicles""", "vehicles"))
+def stream_active_vehicles(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct vehicles per line and over all, merged from the hourly sketches that the batches
+    stored, with their bounds checked against exact counts."""
+    out = drain_vehicle_feed(spark, d, lambda m, o, c: J.vehicle_job(m, o, c, available_now=True, writers=(J.sketch_writer(o),)))
+    got = J.active_vehicles(spark, out, "line_id").unionByName(J.active_vehicles(spark, out).withColumn("line_id", F.lit("all")))
+    v = R.vehicles(spark, d).select("line_id", "vehicle_id")
+    exact = v.groupBy("line_id").agg(F.count_distinct("vehicle_id").alias("exact")) \
+        .unionByName(v.agg(F.count_distinct("vehicle_id").alias("exact")).withColumn("line_id", F.lit("all")))
+    return exact.join(got, "line_id").select("line_id", "exact", F.col("exact").between(F.col("low"), F.col("high")).alias("within_bounds"))
+
+
+def _land(spark: SparkSession, messages: DataFrame, kind: str, out: str) -> None:
+    path = fresh_dir(spark, f"landing-{kind}")
+    FD.publish(messages, path=path)
+    J.await_all(spark, [J.feed_job(FD.landing_stream(spark, path, kind), kind, out, fresh_dir(spark, "checkpoints"), available_now=True)])
+
+
+@register("stream_feed_health", W(f"""
+, comp AS (
+  SELECT 'vehicles_tracking' AS component, count(*) AS n_rows, date_trunc('second', max(ts)) AS last_processed_at,
+         TIMESTAMP '{HEALTH_VEHICLES_AS_OF}' AS as_of, {api.HEALTH_LIMITS['vehicles_tracking']} AS lim FROM vehicles
+  UNION ALL
+  SELECT 'service_alerts', count(*), max(updated), TIMESTAMP '{ALERTS_AS_OF}', {api.HEALTH_LIMITS['service_alerts']} FROM alert_polls
+  UNION ALL
+  SELECT 'elevator_monitoring', (SELECT count(*) FROM outages) + (SELECT count(*) FROM equipment), make_timestamp({R.ALERT_POLL_1}::BIGINT * 1000000),
+         TIMESTAMP '{ALERTS_AS_OF}', {api.HEALTH_LIMITS['elevator_monitoring']}),
+aged AS (SELECT *, (epoch_us(as_of) - epoch_us(last_processed_at)) // 1000000 AS age_seconds FROM comp),
+judged AS (SELECT component, n_rows, last_processed_at, age_seconds,
+                CASE WHEN n_rows = 0 THEN 'DOWN' WHEN age_seconds <= lim THEN 'OPERATIONAL' ELSE 'DEGRADED' END AS status FROM aged)
+SELECT * FROM judged
+UNION ALL
+SELECT 'overall', sum(n_rows)::BIGINT, max(last_processed_at), max(age_seconds),
+       CASE WHEN bool_and(status = 'OPERATIONAL') THEN 'OPERATIONAL' ELSE 'DEGRADED' END FROM judged""",
+                                  "vehicles", "alert_polls", "outages", "equipment").replace("\n, comp AS", ", comp AS", 1))
+def stream_feed_health(spark: SparkSession, d: str) -> DataFrame:
+    """A15/E11 from the figures that the batches took; the vehicles are too old by then, the other feeds are not."""
+    from metroflow.plans import serving
+
+    out = drain_vehicle_feed(spark, d, lambda m, o, c: J.vehicle_job(m, o, c, available_now=True))
+    _land(spark, FD.alert_messages(R.alert_polls(spark, d)), "alerts", out)
+    outages = FD.outage_messages(R.outages(spark, d))
+    for kind in ("outages_current", "outages_upcoming"):
+        _land(spark, outages.filter(F.col("feed") == kind), kind, out)
+    _land(spark, FD.equipment_messages(R.equipment(spark, d)), "equipment", out)
+    return serving.feed_health(spark, out, {"vehicles_tracking": HEALTH_VEHICLES_AS_OF, "service_alerts": ALERTS_AS_OF, "elevator_monitoring": ALERTS_AS_OF})
+
+
+@register("stream_summary_days", W("""
+, l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY date_trunc('second', ts) DESC, id DESC) AS rn
+                       FROM vehicles WHERE vehicle_id IS NOT NULL) WHERE rn = 1
+        UNION ALL SELECT *, 1 FROM vehicles WHERE vehicle_id IS NULL),
+vl AS (SELECT line_id, count(*) AS n FROM l GROUP BY ALL),
+vr AS (SELECT route_id, count(*) AS n FROM l GROUP BY ALL)
+SELECT (SELECT count(*) FROM l) AS total_vehicles, (SELECT count(vehicle_id) FROM l) AS active_vehicles,
+       (SELECT count(DISTINCT line_id) FROM l) AS active_lines,
+       (SELECT string_agg(line_id || ':' || CAST(n AS VARCHAR), ',' ORDER BY line_id || ':' || CAST(n AS VARCHAR)) FROM vl) AS vehicles_by_line,
+       (SELECT string_agg(route_id || ':' || CAST(n AS VARCHAR), ',' ORDER BY route_id || ':' || CAST(n AS VARCHAR)) FROM vr) AS vehicles_by_route""",
+                                   "vehicles").replace("\n, l AS", ", l AS", 1))
+def stream_summary_days(spark: SparkSession, d: str) -> DataFrame:
+    """E1/A1-A3/A9 from one row per vehicle of each closed day, and the history of the open ones."""
+    out = drain_vehicle_feed(spark, d, lambda m, o, c: J.vehicle_job(m, o, c, available_now=True))
+    J.summarize_days(spark, out, EVENTS_AS_OF)
+    return api.vehicle_figures(J.latest_from_days(spark, out))
+
+
+SEARCH_TERMS = ["rep", "Copper ", "bo", "e", "no such text"]
+
+
+@register("stored_outages_search", W(" UNION ALL ".join(
+    f"SELECT '{t}' AS term, outage_id, equipment_id FROM outages WHERE contains(lower(station), '{t.lower()}') "
+    f"OR contains(lower(serving), '{t.lower()}') OR contains(lower(reason), '{t.lower()}')" for t in SEARCH_TERMS), "outages"))
+def stored_outages_search(spark: SparkSession, d: str) -> DataFrame:
+    """F7/F12 by trigram postings of the distinct texts, short terms included."""
+    columns, path = ["station", "serving", "reason"], fresh_dir(spark, "text-index")
+    rows = R.outages(spark, d)
+    TI.build(rows, columns, path)
+    hits = [TI.search(spark, path, t).select(F.lit(t).alias("term"), "text") for t in SEARCH_TERMS]
+    found = functools.reduce(DataFrame.unionByName, hits)
+    return TI.terms_of(rows.select("outage_id", "equipment_id", *columns), columns, found).select("term", "outage_id", "equipment_id")
+
+
+@register("stored_alerts_search", W("SELECT id, header FROM alerts WHERE contains(lower(header), 'suspended') "
+                                    "OR contains(lower(description), 'suspended')", "alerts"))
+def stored_alerts_search(spark: SparkSession, d: str) -> DataFrame:
+    """F11 by trigram postings of headers and whole descriptions."""
+    path, rows = fresh_dir(spark, "text-index"), R.alerts(spark, d).select("id", "header", "description")
+    TI.build(rows, ["header", "description"], path)
+    return TI.rows_with(rows, ["id"], ["header", "description"], TI.search(spark, path, "Suspended")).select("id", "header")
+
+
+_RENAMED = ["equipment_id", "station", "borough", "equipment_type", "serving", "outage_start", "outage_end", "reason", "latest_status", "is_current"]
+
+
+@register("outages_renamed", W(f"SELECT {', '.join(_RENAMED)}, 0 AS n_routes FROM outages", "outages"))
+def outages_renamed(spark: SparkSession, d: str) -> DataFrame:
+    """Outages under three spellings (feed, API, dashboard), decoded as VARIANT and listed by E4."""
+    o = R.outages(spark, d)
+    start, end = FD._iso(F.col("outage_start")), FD._iso(F.col("outage_end"))
+    kind = F.when(F.col("is_current"), F.lit("current")).otherwise(F.lit("upcoming"))
+    same = ["equipment_id", "equipment_type", "serving"]
+    feed = F.struct(*same, F.struct(F.col("station").alias("name"), "borough").alias("station"), start.alias("outage_start_date_time"),
+                    end.alias("estimated_return_date_time"), F.struct(F.col("reason").alias("reason_name")).alias("reason"),
+                    F.struct(F.col("latest_status").alias("status_name")).alias("latest_status"), kind.alias("type"))
+    page = F.struct(*same, F.col("station").alias("station_name"), "borough", start.alias("outage_start"), end.alias("outage_end"), "reason",
+                    F.col("latest_status").alias("status"), kind.alias("type"), F.array().cast("array<string>").alias("trains"))
+    own = F.struct(*same, "station", "borough", start.alias("outage_start"), end.alias("outage_end"), "reason", "latest_status", "is_current")
+    spelt = F.pmod(F.xxhash64("outage_id"), F.lit(3))
+    value = F.when(spelt == 0, F.to_json(F.struct(F.array(feed).alias("data")))).when(spelt == 1, F.to_json(F.array(page))).otherwise(F.to_json(F.array(own)))
+    rows = PA.named_records(o.select(value.alias("value")), "outages")
+    return api.outages_listing(rows, kind=None, limit=None).select(*_RENAMED, F.size("routes").alias("n_routes"))
+
+
+@register("alerts_renamed", W("SELECT id, severity, updated, header, routes_str FROM alerts_latest WHERE route_1 = 'A' OR route_2 = 'A'", "alerts_latest"))
+def alerts_renamed(spark: SparkSession, d: str) -> DataFrame:
+    """Latest alerts with the API's column names go through E3 as they are."""
+    a = api.latest_alerts(R.alert_polls(spark, d)).withColumnsRenamed({"header": "header_text", "description": "description_text",
+                                                                         "updated": "updated_at", "routes": "affected_routes"})
+    return api.alerts_listing(a, route_id="A", limit=None).select("id", "severity", "updated", "header", _routes_str())
+
+
+@register("outages_without_ids", W("SELECT equipment_id || '@' || strftime(outage_start, '%Y-%m-%dT%H:%M:%S') AS outage_id, equipment_id, station, is_current FROM outages", "outages"))
+def outages_without_ids(spark: SparkSession, d: str) -> DataFrame:
+    """The feed's outages carry no id; equipment and start name one."""
+    msgs = FD.outage_messages(R.outages(spark, d), with_id=False)
+    return PA.outages(msgs, kind=F.col("feed")).select("outage_id", "equipment_id", "station", "is_current")
+
+
+@register("normalize_time_zoned", W("""
+SELECT event_id, CASE event_id % 4 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('millisecond', ts)
+                                   WHEN 2 THEN date_trunc('millisecond', ts) ELSE ts END AS event_time FROM vehicles""", "vehicles"))
+def normalize_time_zoned(spark: SparkSession, d: str) -> DataFrame:
+    """P16 on ISO text with Z and with an offset, and on epochs with a fraction."""
+    eid, ts = F.col("event_id"), F.col("ts")
+    there = ts + F.expr("INTERVAL '05:30' HOUR TO MINUTE")
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), ts)
+    raw = (F.when(eid % 4 == 0, F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+           .when(eid % 4 == 1, F.concat(F.date_format(there, "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+05:30")))
+           .when(eid % 4 == 2, F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS"), F.lit("+00:00")))
+           .otherwise((micros.cast("decimal(20,0)") / F.lit(1000000).cast("decimal(7,0)")).cast("decimal(20,6)").cast("string")))
+    return R.vehicles(spark, d).select("event_id", normalize_time(raw).alias("event_time"))

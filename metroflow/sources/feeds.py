@@ -111,12 +111,15 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
 
-def outage_messages(outages: DataFrame, poll: Column | None = None, per_message: int = PER_MESSAGE) -> DataFrame:
-    """Current and upcoming outage feeds (by ``is_current``), up to ``per_message`` per envelope."""
+def outage_messages(outages: DataFrame, poll: Column | None = None, per_message: int = PER_MESSAGE, with_id: bool = True) -> DataFrame:
+    """Current and upcoming outage feeds (by ``is_current``), up to ``per_message`` per envelope.
+
+    ``with_id`` adds the records' ids; feeds carry none (equipment and start then name an outage).
+    """
     # chunk by order number: at most 100 orders (and their few line items) per envelope
     n = F.element_at(F.split(F.substr(F.col("outage_id"), F.lit(4)), "-"), 1).cast("bigint")
     elem = F.struct(
-        F.col("outage_id"), F.col("equipment_id"),
+        *([F.col("outage_id")] if with_id else []), F.col("equipment_id"),
         F.struct(F.col("station").alias("name"), F.col("borough")).alias("station"),
         F.col("equipment_type"), F.col("serving"),
         _iso(F.col("outage_start")).alias("outage_start_date_time"),
@@ -180,6 +183,11 @@ def landing_batch(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return _landed(spark.read.text(path), kind)
 
 
+def landing_lines(spark: SparkSession, path: str, lines: list[str] = SC.LINE_FEEDS) -> DataFrame:
+    """The registered line feeds, each in its folder below ``path``, by one scan; other folders aren't listed."""
+    return _landed(spark.read.option("basePath", path).text(f"{path}/key={{{','.join(lines)}}}"), "vehicles")
+
+
 def _landed(lines: DataFrame, kind: str) -> DataFrame:
     """Message frame of landed lines; the key is there where the folder has one folder per key."""
     key = F.col("key") if "key" in lines.columns else F.lit(None)

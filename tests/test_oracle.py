@@ -11,7 +11,7 @@ from tools.check_oracle import rows
 catalog.load_all()
 QUERIES = dict(catalog.QUERIES)  # the training-data operators have tests of their own
 ORACLES = dict(catalog.ORACLES)
-FAST = [n for n in QUERIES if not n.startswith("stream_")]
+FAST = [n for n in QUERIES if not n.startswith(catalog.STORED)]
 
 
 def test_every_query_has_an_oracle():
