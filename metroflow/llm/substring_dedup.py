@@ -30,8 +30,8 @@ Keys are 64-bit hashes, and windows are compared by two of them (128 bits).
 
 Edge cases: null text has no words (n_words 0, hash of the empty string);
 text shorter than a window is kept; extra columns are ignored; rows that share
-a document id and words are one document, those of other words go by a hash of
-the words; a null id sorts first; an empty table gives an empty result.
+a document id and words are one document, those of other words are documents of
+their own, in the order of a hash of the words; a null id sorts first; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroflow.llm.frames import text_hash, written
+from metroflow.llm.frames import join_counted, text_hash, written
 from metroflow.llm.words import U, Words, chunks, fold, mix, running, sequence_hash, signed, span
 
 ROUNDS = 2
@@ -220,7 +220,7 @@ def _window_rows(rows: DataFrame, window: int, rounds: int) -> DataFrame:
     """Windows with a repeated key: the batch's earliest of each, and (check null) the starts of the others by document."""
     def run(batches):
         for b in batches:
-            wanted, tie, docs = b.column("keys"), b.column("tie").to_numpy(), b.column("id").to_pylist()
+            wanted, tie, docs = b.column("keys"), b.column("seq").to_numpy(), b.column("id").to_pylist()
             flat, offs = wanted.values.to_numpy().view(U), wanted.offsets.to_numpy()
             order = np.array([-2**63 if x is None else x for x in docs], np.int64)
             met, again = set(), np.zeros(len(docs), bool)  # a repeated row is the same document
@@ -248,41 +248,28 @@ def _window_rows(rows: DataFrame, window: int, rounds: int) -> DataFrame:
                 cut = np.flatnonzero(np.concatenate(([True], doc[late][1:] != doc[late][:-1])))
                 d = doc[late][cut]
                 lists = pa.ListArray.from_arrays(pa.array(np.append(cut, len(late)), pa.int32()), pa.array(start[late].astype(np.int32)))
-                yield _windows_batch(mix(order[d].view(U)), None, order[d], tie[d], None, lists)
-    return rows.mapInArrow(run, "hash long, check long, doc long, tie int, start int, late array<int>")
+                yield _windows_batch(mix(order[d].view(U) ^ mix(tie[d].view(U))), None, order[d], tie[d], None, lists)
+    return rows.mapInArrow(run, "hash long, check long, doc long, tie long, start int, late array<int>")
 
 
 def _windows_batch(one, two, doc, tie, start, late):
     n = len(doc)
     return pa.RecordBatch.from_arrays(
-        [pa.array(signed(one)), pa.nulls(n, pa.int64()) if two is None else pa.array(signed(two)), pa.array(doc), pa.array(tie.astype(np.int32)),
+        [pa.array(signed(one)), pa.nulls(n, pa.int64()) if two is None else pa.array(signed(two)), pa.array(doc), pa.array(tie),
          pa.nulls(n, pa.int32()) if start is None else pa.array(start.astype(np.int32)), pa.nulls(n, pa.list_(pa.int32())) if late is None else late],
         ["hash", "check", "doc", "tie", "start", "late"])
 
 
 def _repeats(found: DataFrame) -> DataFrame:
-    """(doc, tie, starts): per document, the starts of windows that occur earlier."""
+    """(seq, starts): per document, the starts of windows that occur earlier."""
     own = Window.partitionBy("hash", "check")
     late = found.withColumn("low", F.min(F.struct("doc", "tie", "start")).over(own)).where("check is null or struct(doc, tie, start) > low")
-    return late.groupBy("doc", "tie").agg(F.flatten(F.collect_list(F.coalesce("late", F.array("start")))).alias("starts"))
+    return late.groupBy(F.col("tie").alias("seq")).agg(F.flatten(F.collect_list(F.coalesce("late", F.array("start")))).alias("starts"))
 
 
 def _own_texts(src: DataFrame, heads: DataFrame) -> DataFrame:
-    """The rows of ``heads`` (id, seq, ties, ...) with their text ``t``; among texts that share an id, the one of those words."""
-    both = src.join(heads, src["doc_id"].eqNullSafe(heads["id"])).drop("doc_id")
-
-    def run(batches):
-        for b in batches:
-            ties = b.column("ties").to_numpy()
-            if (ties == 1).all():
-                yield b
-                continue
-            texts, seq, ok = b.column("t").to_pylist(), b.column("seq").to_numpy(), []
-            for i, t in enumerate(texts):
-                if ties[i] == 1 or signed(np.array([sequence_hash(Words([t]).hashes())], U))[0] == seq[i]:
-                    ok.append(i)
-            yield b.take(pa.array(ok, pa.int64()))
-    return both.mapInArrow(run, both.schema)
+    """The rows of ``heads`` (id, own, ...) with their text ``t``: the document of that id whose text has the hash ``own``."""
+    return src.join(heads, src["doc_id"].eqNullSafe(heads["id"]) & (src["text_hash"] == heads["own"])).drop("doc_id", "text_hash", "own")
 
 
 def _cut(rows: DataFrame, window: int) -> DataFrame:
@@ -313,24 +300,18 @@ def substring_dedup(docs: DataFrame, window: int = 20, rounds: int = ROUNDS, id_
     ``with_text`` adds ``seq`` (the hash of the words), ``text_hash`` (of the text as it is) and
     ``kept_text``, the kept words joined by a space: null where nothing was removed.
     """
-    src = _documents(docs, id_col, text_col)
-    more = ["text_hash"] if with_text else []
-    each = written(_sequences(src.withColumns({c: text_hash("t") for c in more}), more), "substring-sequences")
-    first = each.groupBy("seq").agg(F.min("doc_id").alias("first"))
-    # equal ids of different texts are told apart by tie
-    own = Window.partitionBy("first")
-    first = written(first.withColumn("tie", F.row_number().over(own.orderBy("seq")) - 1).withColumn("ties", F.count(F.lit(1)).over(own)), "substring-first")
+    src = _documents(docs, id_col, text_col).withColumn("text_hash", text_hash("t"))
+    each = written(_sequences(src, ["text_hash"]), "substring-sequences")
+    # a sequence stands for one document: the smallest id (null first) that has it, and the hash of one of its texts
+    first = each.groupBy("seq").agg(F.min(F.struct("doc_id", "text_hash")).alias("low"), F.count(F.lit(1)).alias("n"))
+    first = written(first.select("seq", F.col("low.doc_id").alias("first"), F.col("low.text_hash").alias("own"), "n"), "substring-first")
+    head = first.select("seq", F.col("first").alias("id"), "own")
     wanted = _repeated_keys(_anchor_rows(src, window, rounds))
-    heads = wanted.join(first, "seq").select(F.col("first").alias("id"), "tie", "ties", "seq", "keys")
-    texts = _own_texts(src, heads)
-    found = _window_rows(texts.select("t", "keys", "id", "tie"), window, rounds)
-    starts = written(_repeats(found), "substring-repeats")
-    place = F.coalesce("first", F.lit(-2**63))
-    heads = starts.join(first, (place == starts["doc"]) & (first["tie"] == starts["tie"])).select("seq", F.col("first").alias("id"), "ties", "starts")
-    cut = _own_texts(src, heads).select("t", "seq", "starts")
-    done = _cut(cut, window)
+    texts = _own_texts(src, wanted.join(head, "seq"))
+    starts = written(_repeats(_window_rows(texts.select("t", "keys", "id", "seq"), window, rounds)), "substring-repeats")
+    done = _cut(_own_texts(src, starts.join(head, "seq")).select("t", "seq", "starts"), window)
     done = (done if with_text else done.drop("kept")).dropDuplicates(["seq"])
-    rows = each.join(first, "seq").join(done, "seq", "left")
+    rows = join_counted(each, first.drop("own").join(done, "seq", "left"), ["seq"], how="inner")
     copy = ~F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("n_words") >= window)
     out = rows.select("doc_id", "n_words", F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0).cast("long"))).alias("n_removed"),
                       F.when(copy, F.lit(_sha([]))).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
