@@ -15,9 +15,9 @@ The first leaves give a bound, the k-th score found so far; the others return
 only what reaches it. Scores are inner products in double precision on the
 original vectors, ties go to the smaller id.
 
-Edge cases: vectors that are null, empty, zero, hold null or non-finite components, or
-whose length isn't the table's most common one take no part, neither do null ids. A
-query with no more than ``k`` candidates in a small table gets all of them: up to 127 vectors a
+Edge cases: vectors that are null, empty, zero, or hold null or non-finite components
+take no part, neither do null ids. Vectors of different lengths have no inner product: each
+length has a forest of its own. A query with no more than ``k`` candidates in a small table gets all of them: up to 127 vectors a
 tree is one leaf. Rows that repeat an id count as one candidate, the nearest. An empty table
 gives an empty result; other columns are ignored.
 """
@@ -25,6 +25,7 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metroflow.llm.frames import group_map, written
-from metroflow.llm.vectors import dots, matrix, sample, usable
+from metroflow.llm.vectors import dots, lengths, matrix, sample, usable
 
 TREES, DEPTH, SAMPLE, SEARCH_SHARE, BLOCK = 8, 6, 16_384, 1.5, 4096
 
@@ -143,12 +144,16 @@ def _nearest(found: DataFrame, k: int) -> DataFrame:
 def search(df: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", trees: int = TREES,
            depth: int = DEPTH, sample_size: int = SAMPLE, search_share: float = SEARCH_SHARE, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row where ``queries`` (on column ``id``) holds, its ``k`` nearest other rows found."""
-    spark = df.sparkSession
-    rows = usable(df, id_col, vector_col)
+    rows = usable(df.where(F.col(id_col).isNotNull()), id_col, vector_col)
+    empty = df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    parts = [_search(rows.where(F.col("size") == n).drop("size"), queries, k, trees, depth, sample_size, search_share, block) for n in lengths(rows)]
+    return reduce(DataFrame.union, parts or [empty])
+
+
+def _search(rows: DataFrame, queries: Column, k: int, trees: int, depth: int, sample_size: int, search_share: float, block: int) -> DataFrame:
+    """``search`` among vectors (id, v) of one length."""
+    spark = rows.sparkSession
     total, longest = rows.agg(F.count(F.lit(1)), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x))).first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not total:
-        return empty
     forest = Forest(sample(rows, sample_size, "forest"), trees, depth, longest)
     held = spark.sparkContext.broadcast(forest)
     v = rows.schema["v"].dataType.simpleString()

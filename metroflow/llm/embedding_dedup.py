@@ -18,25 +18,29 @@ A task holds one block of a list, of about ``block`` members dealt by hash, and
 its probes. It returns counts of links per vector and only those links that
 connect its vectors (a spanning forest), never all pairs.
 
-Edge cases: a null label, or a vector that is null, empty, zero, holds null or non-finite
-components or isn't of the most common length: no links, its own component, kept. Rows
-that repeat a vector and label link with each other. An empty table gives an empty
-result; other columns are ignored.
+Edge cases: a null label, or a vector that is null, empty, zero, or holds null or non-finite
+components: no links, its own component, kept. Vectors of different lengths have no
+cosine and don't link; each length has an index of its own. Rows that repeat a vector and
+label link with each other, whatever their ids; rows that share an id are vectors each, and a
+null id names no component: such a component has the least id of its others, or
+null if it has none. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroflow.llm.frames import components, group_map, written
+from metroflow.llm.frames import components, group_map, join_counted, written
 from metroflow.llm.jaccard_join import _Union
-from metroflow.llm.vectors import dots, matrix, sample, usable
+from metroflow.llm.vectors import dots, lengths, matrix, sample, usable, valid
 
+LINKS = "a long, b long, links long"
 LISTS, PARTS, WORDS, SAMPLE, BLOCK = 32, 8, 64, 8192, 4096
 
 
@@ -93,16 +97,16 @@ class Index:
 
 
 def _classes(rows: DataFrame) -> DataFrame:
-    """(id, label, v, key): key is a digest of the vector's components."""
-    v = rows.schema["v"].dataType.simpleString()
-    label = rows.schema["label"].dataType.simpleString()
+    """``rows`` (id, v, label, size) with ``key``, a digest of the vector's components."""
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
     def run(batches):
         for b in batches:
-            x = matrix(b.column("v")) + 0.0  # -0.0 equals 0.0
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([hashlib.blake2b(r.tobytes(), digest_size=16).digest() for r in x], pa.binary())],
-                                             [*b.schema.names, "key"])
-    return rows.mapInArrow(run, f"id long, v {v}, label {label}, key binary")
+            ends = np.cumsum(b.column("size").to_numpy())
+            flat = b.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64) + 0.0  # -0.0 equals 0.0
+            digests = [hashlib.blake2b(flat[i:j].tobytes(), digest_size=16).digest() for i, j in zip(np.concatenate(([0], ends[:-1])), ends)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(digests, pa.binary())], [*b.schema.names, "key"])
+    return rows.mapInArrow(run, ", ".join(f"{n} {t}" for n, t in types.items()) + ", key binary")
 
 
 def _compare(index, r: float, threshold: float):
@@ -176,17 +180,33 @@ def _found(ids, counts, pairs) -> pa.RecordBatch:
 def near_duplicates(df: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
                     lists: int = LISTS, parts: int = PARTS, words: int = WORDS, sample_size: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept`` (see the module's notes)."""
-    spark = df.sparkSession
-    everyone = df.select(F.col(id_col).cast("long").alias("vec_id"))
-    rows = usable(df.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"), F.col(label_col).alias("label")).where("label is not null"), "id", "v", "label")
+    ok = F.col("label").isNotNull() & valid(F.col("v"))
+    every = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), F.col(label_col).alias("label"))
+    rows = usable(every.where("label is not null"), "id", "v", "label")
     keyed = written(_classes(rows), "embedding-classes")
-    classes = keyed.groupBy("label", "key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.min("v").alias("v"))
-    fitted = sample(keyed, sample_size, "codebooks")
-    if not len(fitted):
-        return everyone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    index = spark.sparkContext.broadcast(Index(fitted, lists, parts, words))
+    # a class is equal vectors of a label and length; it goes by a number of its own, whatever its rows' ids are
+    classes = keyed.groupBy("label", "size", "key").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n"), F.min("v").alias("v"))
+    classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "embedding-groups")
+    found = reduce(DataFrame.union, [_links(classes.where(F.col("size") == n), threshold, lists, parts, words, sample_size, block) for n in lengths(keyed)] or
+                   [df.sparkSession.createDataFrame([], LINKS)])
+    found = written(found, "embedding-links")
+    links = found.where("links > 0").groupBy("a").agg(F.sum("links").alias("links"))
+    component = components(found.where("b is not null").select("a", "b")).withColumnRenamed("label", "component")
+    named = classes.select("label", "size", "key", "id", "low", "n").join(links, F.col("id") == F.col("a"), "left").join(component, F.col("id") == F.col("node"), "left") \
+        .withColumn("component", F.coalesce("component", "id"))
+    least = named.groupBy("component").agg(F.min("low").alias("component_id"))
+    named = named.join(least, "component").select("label", "size", "key", "n", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
+    each = join_counted(keyed.select("id", "label", "size", "key"), named, ["label", "size", "key"], how="inner").select(F.col("id").alias("vec_id"), "n_links", "component_id")
+    alone = every.where(~ok).select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    return each.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull()))
+
+
+def _links(classes: DataFrame, threshold: float, lists: int, parts: int, words: int, sample_size: int, block: int) -> DataFrame:
+    """(a, b, links) among classes (id, label, v, n) of vectors of one length."""
+    spark = classes.sparkSession
+    index = spark.sparkContext.broadcast(Index(sample(classes, sample_size, "codebooks"), lists, parts, words))
     r = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
-    v, label = (keyed.schema[c].dataType.simpleString() for c in ("v", "label"))
+    v, label = (classes.schema[c].dataType.simpleString() for c in ("v", "label"))
 
     def assign(batches):
         for b in batches:
@@ -206,12 +226,4 @@ def near_duplicates(df: DataFrame, threshold: float = 0.98, id_col: str = "vec_i
         .withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
         .withColumn("home", F.col("own") == F.col("list")).withColumn("probe", F.lit(True)) \
         .withColumn("code", F.lit(None).cast("binary")).withColumn("error", F.lit(None).cast("double")).select(cols)
-    found = written(group_map(members.union(asked), ["label", "list", "blk"], _compare(index, r, threshold), "a long, b long, links long", ["probe"]), "embedding-links")
-    links = found.where("links > 0").groupBy("a").agg(F.sum("links").alias("links"))
-    label_of = components(found.where("b is not null").select("a", "b"))
-    named = classes.select("label", "key", "id", "n").join(links, F.col("id") == F.col("a"), "left").join(label_of.withColumnRenamed("label", "low"), F.col("id") == F.col("node"), "left") \
-        .select("label", "key", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("low", "id").alias("component_id"))
-    each = keyed.select("id", "label", "key").join(named, ["label", "key"]).select(F.col("id").alias("vec_id"), "n_links", "component_id")
-    rest = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"), F.col(label_col).alias("label"))
-    alone = rest.join(each.select("vec_id").distinct(), "vec_id", "left_anti").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return each.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    return group_map(members.union(asked), ["label", "list", "blk"], _compare(index, r, threshold), LINKS, ["probe"])

@@ -15,10 +15,14 @@ def valid(v: Column) -> Column:
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str, *more: str) -> DataFrame:
-    """(id, v, ...) of the valid vectors that have the table's most common length."""
-    rows = df.where(F.col(id_col).isNotNull() & valid(F.col(vector_col))).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), *more)
-    length = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("v") == (length[0] if length else 0))
+    """(id, v, size, ...) of the valid vectors; ``size`` is their length."""
+    rows = df.where(valid(F.col(vector_col))).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), *more)
+    return rows.withColumn("size", F.size("v"))
+
+
+def lengths(rows: DataFrame) -> list[int]:
+    """The lengths that occur. Vectors of one table mostly have one: each further one is fitted and searched for itself."""
+    return sorted(r[0] for r in rows.select("size").distinct().collect())
 
 
 def matrix(column: pa.Array) -> np.ndarray:
