@@ -182,4 +182,5 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def held_out(id_col: str, of: int, at: int) -> Column:
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % of == at
+    """Whether a row is kept from learning. A row without an id can't be dealt: it is held out."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % of == at, F.lit(True))

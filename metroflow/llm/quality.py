@@ -1,15 +1,17 @@
 """Quality classifier: naive Bayes support vectors.
 
-N-grams (1 to 3) are taken over the forms of words: letters, capitals, digits and
-marks, runs of the first three written once, with a sign where a word equals the one
-before. A feature is an indicator: the n-gram occurs, or takes at least 1/64, 1/16
-or 1/4 of the text's words. Indicators are scaled by their class log-count ratio, and a
-linear hinge-loss model is fitted on them by dual coordinate descent. Its margin becomes
+N-grams are taken over words (1 and 2, A-Z lower-cased) and (1 to 3) over the forms of words:
+letters, capitals, digits and marks, runs of the first three written once, with a sign where a
+word equals the one before. A feature is an indicator: the n-gram occurs, or, for forms,
+takes at least 1/64, 1/16 or 1/4 of the text's words. Indicators are scaled by their class
+log-count ratio, and a linear hinge-loss model is fitted on them by dual coordinate descent. Its margin becomes
 a probability by a logistic fit on rows that the model didn't see, weighted to the
 labelled classes' true sizes.
 
 Fitted on at most ``per_class`` labelled documents of each class, those of least keyed
-hash; the model has ``BINS`` numbers. Scoring is a map over whole texts.
+hash. Spark counts the documents of each indicator per class first; those of fewer than ``MIN_DOCS``
+documents are no features, so what is fitted on the driver is bounded by the sample and by
+the features, of ``BINS`` at most, not by the length of texts. Scoring is a map over whole texts.
 
 Edge cases: null, empty and wordless texts have no feature and get the score of the bias
 alone. Without labels of both classes every score is the share of label 1 (0.5 without any).
@@ -27,8 +29,9 @@ from pyspark.sql import functions as F
 from metroflow.llm.labelled import labelled_sample, logistic
 from metroflow.llm.words import U, Words, chunks, fold, mix
 
-BINS = 1 << 18
-PER_CLASS = 5000
+BITS = 20
+BINS = 1 << BITS
+PER_CLASS, MIN_DOCS = 5000, 3
 LEVELS = (0.0, 1 / 64, 1 / 16, 1 / 4)
 _FORM = np.array([65 if 65 <= i <= 90 else 48 if 48 <= i <= 57 else 97 if i >= 128 or 97 <= i <= 122 else i for i in range(256)], np.uint8)
 
@@ -53,6 +56,7 @@ def features(texts: list[bytes | None]) -> list[np.ndarray]:
         again = np.concatenate(([False], h[1:] == h[:-1])) if len(h) else np.zeros(0, bool)
         form = np.where(again, mix(form ^ U(0x7265706561746564)), form)
         grams = [fold(form ^ U(n), n) for n in (1, 2, 3)]
+        plain = [fold(h ^ U(0x776F726400 + n), n) for n in (1, 2)]
         for lo, hi in zip(w.offsets[:-1].tolist(), w.offsets[1:].tolist()):
             if lo == hi:
                 out.append(np.empty(0, np.int32))
@@ -60,7 +64,8 @@ def features(texts: list[bytes | None]) -> list[np.ndarray]:
             own = np.concatenate([g[lo:max(lo, hi - n)] for n, g in enumerate(grams)])
             kind, count = np.unique(own, return_counts=True)
             each = [kind[count >= level * (hi - lo)] + U(k * 0x9E3779B9) for k, level in enumerate(LEVELS)]
-            out.append(np.unique((mix(np.concatenate(each)) >> U(46)).astype(np.int32)))
+            each += [g[lo:max(lo, hi - n)] for n, g in enumerate(plain)]
+            out.append(np.unique((mix(np.concatenate(each)) >> U(64 - BITS)).astype(np.int32)))
     return out
 
 
@@ -101,13 +106,35 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = PER_CLASS, id_col: str = "doc_id", text_col: str = "text") -> Model:
     rows, n = labelled_sample(docs, labels, label_col, per_class, "quality sample", id_col, text_col)
 
-    def run(batches):
+    def count(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("y"), b.column("k"), pa.array(features(b.column("t").to_pylist()), pa.list_(pa.int32()))], ["y", "k", "x"])
+            y, x = b.column("y").to_numpy(), features(b.column("t").to_pylist())
+            for c in (0, 1):
+                own = [x[i] for i in np.flatnonzero(y == c)]
+                if own:
+                    bins, n = np.unique(np.concatenate(own), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(n.astype(np.int64))], ["bin", "n"])
+
+    rows = rows.persist()  # the bounded sample
+    often = rows.mapInArrow(count, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_DOCS).select("bin").toArrow()
+    known = np.zeros(BINS, bool)  # at most BINS rows came here
+    known[often.column("bin").to_numpy()] = True
+    held_known = docs.sparkSession.sparkContext.broadcast(np.packbits(known))
 
-    got = rows.mapInArrow(run, "y int, k int, x array<int>").toArrow()  # at most 2 * per_class rows of indicators
-    y, k = got.column("y").to_numpy(), got.column("k").to_numpy()
-    x = [np.array(v, np.int64) for v in got.column("x").to_pylist()]
+    def run(batches):
+        is_known = np.unpackbits(held_known.value, count=BINS).astype(bool)
+        for b in batches:
+            x = [v[is_known[v]] for v in features(b.column("t").to_pylist())]
+            at = np.concatenate(([0], np.cumsum([len(v) for v in x]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(x) if x else np.empty(0, np.int32), pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column("y"), b.column("k"), lists], ["y", "k", "x"])
+
+    got = rows.mapInArrow(run, "y int, k int, x array<int>").toArrow()  # at most 2 * per_class rows of known indicators
+    rows.unpersist()
+    y, k, lists = got.column("y").to_numpy(), got.column("k").to_numpy(), got.column("x").combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    flat, ends = lists.flatten().to_numpy().astype(np.int64), lists.offsets.to_numpy()[1:] - lists.offsets.to_numpy()[0] if len(lists) else np.zeros(0, np.int64)
+    x = np.split(flat, ends[:-1]) if len(lists) else []
     order = np.lexsort((k, y))
     y, k, x = y[order], k[order], [x[i] for i in order]
     if len(set(y.tolist())) < 2:
@@ -135,15 +162,18 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_clas
     return Model(w, bias, slope, offset)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(doc_id, score) of every row; ``keep`` names columns to carry along instead of doc_id."""
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None,
+          name: str = "score") -> DataFrame:
+    """(doc_id, score) of every row; ``keep`` names columns to carry along instead of doc_id, ``name`` the score among them."""
+    if keep and name in keep:
+        raise ValueError(f"the score needs a name of its own, not {name!r}")
     held = docs.sparkSession.sparkContext.broadcast(model)
     cols = [F.col(c) for c in keep] if keep else [F.col(id_col).cast("long").alias("doc_id")]
     src = docs.select(*cols, F.col(text_col).cast("string").cast("binary").alias("__t"))
-    schema = src.drop("__t").withColumn("score", F.lit(0.0)).schema
+    schema = src.drop("__t").withColumn(name, F.lit(0.0)).schema
 
     def run(batches):
         for b in batches:
             s = held.value.scores(features(b.column("__t").to_pylist()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s)], [*b.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s)], [*b.schema.names[:-1], name])
     return src.mapInArrow(run, schema)
