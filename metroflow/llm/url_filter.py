@@ -2,8 +2,8 @@
 
 Rules name a host and a path prefix; a rule fits its host and all subdomains
 whose path starts with its prefix, and the longest fitting rule decides. A
-url's candidate keys are its host's suffixes (at dots) joined with its path's
-prefixes of the lengths that rules have. Whether a key is listed is answered by
+url's candidate keys are its host's suffixes (at dots, of at most as many labels as a
+rule's host has) joined with its path's prefixes of the lengths that rules have. Whether a key is listed is answered by
 a cascade built over all candidate keys of the corpus: level 0 is a Bloom
 filter of the listed keys, level 1 one of the unlisted corpus keys that pass
 level 0, level 2 one of the listed keys that pass level 1, and so on until none
@@ -129,11 +129,9 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(lower, F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def candidate_keys(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Every rule that could fit: host suffixes joined with path prefixes."""
-    labels = F.split(host, r"\.", -1)
-    n = F.size(labels)
-    suffixes = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
+def candidate_keys(host: Column, path: Column, lengths: list[int], labels: int) -> Column:
+    """Every rule that could fit: host suffixes of at most ``labels`` labels, joined with path prefixes."""
+    suffixes = F.array_distinct(F.array(*[F.substring_index(host, ".", -k) for k in range(1, max(1, labels) + 1)]))
     prefixes = F.filter(F.array(*[F.when(F.length(path) >= k, F.substr(path, F.lit(1), F.lit(k))) for k in lengths] or [F.lit(None).cast("string")]),
                         lambda p: p.isNotNull())
     return F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
@@ -150,12 +148,12 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     host, path = host_and_path(F.col(url_col).cast("string"))
     src = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect())
-    src = src.withColumn("keys", F.array_distinct(candidate_keys(F.col("host"), F.col("path"), lengths)))
+    labels = rules.agg(F.max(F.size(F.split("host", r"\.", -1)))).first()[0] or 1  # a suffix of more labels can't be listed
+    src = src.withColumn("keys", F.array_distinct(candidate_keys(F.col("host"), F.col("path"), lengths, labels)))
     named = rules.select(F.concat("host", "path").alias("key"), F.col("verdict"))
-    keys = src.select(F.explode("keys").alias("key")).distinct()
-    listed = named.select("key", F.lit(True).alias("listed")).distinct()
+    keys = src.select(F.explode("keys").alias("key"), F.lit(False).alias("listed")).union(named.select("key", F.lit(True)))
     h1, h2 = _hashed(F.col("key"))
-    universe = written(keys.join(listed, "key", "full").select(h1.alias("h1"), h2.alias("h2"), F.coalesce("listed", F.lit(False)).alias("listed")), "url-keys")
+    universe = written(keys.groupBy("key").agg(F.max("listed").alias("listed")).select(h1.alias("h1"), h2.alias("h2"), "listed"), "url-keys")
     member = build(universe, max_bytes)
     blocked = build(named.select(h1.alias("h1"), h2.alias("h2"), (F.col("verdict") == "block").alias("listed")), max_bytes)
     held = spark.sparkContext.broadcast((member, blocked))
