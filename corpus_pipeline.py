@@ -19,8 +19,8 @@ ORACLE_SQL = None
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject (score of 0.3 or more)."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    scored = quality.score(docs, quality.fit(docs, labels, "quality"), keep=docs.columns)
-    return scored.where(F.col("score") >= 0.3).select(docs.columns)
+    scored = quality.score(docs, quality.fit(docs, labels, "quality"), keep=docs.columns, name="__score")
+    return scored.where(F.col("__score") >= 0.3).select(docs.columns)
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -60,9 +60,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Half of the tokens, drawn so that sources, languages and topics near their tempered targets."""
-    counted = docs.withColumn("n_tokens", mixing.n_tokens(F.col("text"))).withColumn("topic", mixing.topic_of(F.col("text"), F.col("n_tokens")))
-    small = written(counted.select("source", "lang", "topic", "n_tokens"), "mix-counts")
-    return mixing.mix(counted, mix_targets(small), share=0.5).where("sampled").select(docs.columns)
+    counted = docs.withColumn("__tokens", mixing.n_tokens(F.col("text")))
+    dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of(F.col("text"), F.col("__tokens"))}
+    small = written(counted.select(*[c.alias(d) for d, c in dims.items()], F.col("__tokens").alias("n_tokens")), "mix-counts")
+    mixed = mixing.drawn(counted, dims, mix_targets(small), 0.5, F.col("__tokens"), [F.col("doc_id"), F.col("text")])
+    return mixed.where("__sampled").select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,8 +7,9 @@ another, none beyond the tokens it has, until the shares stand still. A document
 drawn with its cell's probability, selected tokens over tokens there, by a keyed hash of its
 id and text: every copy of a document is drawn alike, on any cluster.
 
-The cell table has at most the product of the targets' lengths in rows, which the caller
-states, so it is fitted in numpy; documents are only summed and joined by expression.
+Only cells that occur are kept, at most ``most`` of them (200,000; more raise an error, since they
+would grow with the corpus on the driver), so they're fitted in numpy; documents are only summed and
+joined, by Spark's own choice of join.
 
 Edge cases: a null source, language or topic is the value '(null)'. Null and empty texts have 0
 tokens; they're drawn by their cell's probability. Targets that the tokens can't
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OTHER, NULL = "(other)", "(null)"
-ROUNDS, TOLERANCE = 200, 1e-9
+ROUNDS, TOLERANCE, MOST_CELLS = 200, 1e-9, 200_000
 
 
 def n_tokens(text: Column) -> Column:
@@ -39,27 +40,33 @@ def topic_of(text: Column, tokens: Column) -> Column:
 
 
 def rake(tokens: np.ndarray, targets: list[np.ndarray], total: float, rounds: int = ROUNDS) -> np.ndarray:
-    """Tokens to take of each cell (an array with one axis per dimension), at most ``tokens``.
+    """``rake_cells`` on an array with one axis per dimension."""
+    at = np.nonzero(tokens)
+    out = np.zeros(tokens.shape)
+    out[at] = rake_cells(list(at), tokens[at], targets, total, rounds)
+    return out
+
+
+def rake_cells(codes: list[np.ndarray], tokens: np.ndarray, targets: list[np.ndarray], total: float, rounds: int = ROUNDS) -> np.ndarray:
+    """Tokens to take of each cell that occurs, at most ``tokens``.
 
-    ``targets``: per axis, the share of each value; ``total``: tokens wanted in all.
+    ``codes``: per dimension, each cell's value; ``targets``: per dimension, the share of each value; ``total``: tokens wanted in all.
     """
     have = tokens.astype(float)
     total = min(float(total), have.sum())
     if not total:
         return np.zeros_like(have)
     goals = []
-    for axis, share in enumerate(targets):
-        other = tuple(i for i in range(have.ndim) if i != axis)
-        there = have.sum(other)
+    for code, share in zip(codes, targets):
+        there = np.bincount(code, have, len(share))
         share = np.where(there > 0, share, 0.0)
         share = share / share.sum() if share.sum() else there / there.sum()
         goals.append(_within(share * total, there))
     take = have * (total / have.sum())
     for _ in range(rounds):
         before = take.copy()
-        for axis, goal in enumerate(goals):
-            take = _scaled(np.moveaxis(take, axis, 0), np.moveaxis(have, axis, 0), goal)
-            take = np.moveaxis(take, 0, axis)
+        for code, goal in zip(codes, goals):
+            take = _scaled(take, have, code, goal)
         if np.abs(take - before).max() <= TOLERANCE * total:
             break
     return take
@@ -79,22 +86,19 @@ def _within(goal: np.ndarray, limit: np.ndarray) -> np.ndarray:
     return np.minimum(goal, limit)
 
 
-def _scaled(take: np.ndarray, have: np.ndarray, goal: np.ndarray) -> np.ndarray:
-    """Each first-axis slice scaled to its goal, no cell beyond what it has."""
-    out = take.copy()
-    for i, want in enumerate(goal):
-        cell, limit, full = out[i].ravel().copy(), have[i].ravel(), np.zeros(out[i].size, bool)
-        for _ in range(out[i].size + 1):
-            free = cell[~full].sum()
-            if not free:
-                break
-            cell[~full] *= max(0.0, want - limit[full].sum()) / free
-            over = ~full & (cell > limit)
-            if not over.any():
-                break
-            cell[over], full = limit[over], full | over
-        out[i] = cell.reshape(out[i].shape)
-    return out
+def _scaled(take: np.ndarray, have: np.ndarray, code: np.ndarray, goal: np.ndarray) -> np.ndarray:
+    """The cells of each value scaled to its goal, no cell beyond what it has."""
+    take, full = take.copy(), np.zeros(len(take), bool)
+    while True:
+        free = np.bincount(code, np.where(full, 0.0, take), len(goal))
+        left = np.maximum(0.0, goal - np.bincount(code, np.where(full, have, 0.0), len(goal)))
+        factor = np.divide(left, free, out=np.ones(len(goal)), where=free > 0)
+        take = np.where(full, take, take * factor[code])
+        over = ~full & (take > have)
+        if not over.any():
+            return take
+        take[over] = have[over]
+        full |= over
 
 
 def _value(c: Column, names: list[str]) -> Column:
@@ -102,35 +106,51 @@ def _value(c: Column, names: list[str]) -> Column:
     return F.when(text.isin(names), text).otherwise(OTHER)
 
 
-def tempered(docs: DataFrame, tokens: Column, column: Column, power: float) -> dict[str, float]:
-    """Shares in proportion to a power of each value's tokens: below 1, small values gain."""
-    rows = docs.groupBy(F.coalesce(column.cast("string"), F.lit(NULL)).alias("v")).agg(F.sum(tokens).alias("n")).collect()  # a row per value of the dimension
+def _few(rows: list, what: str, most: int) -> list:
+    if len(rows) > most:
+        raise ValueError(f"over {most} {what}: group rare ones before mixing, or raise the bound")
+    return rows
+
+
+def tempered(docs: DataFrame, tokens: Column, column: Column, power: float, most: int = MOST_CELLS) -> dict[str, float]:
+    """Shares in proportion to a power of each value's tokens: below 1, small values gain. At most ``most`` values, else an error."""
+    sums = docs.groupBy(F.coalesce(column.cast("string"), F.lit(NULL)).alias("v")).agg(F.sum(tokens).alias("n"))
+    rows = _few(sums.limit(most + 1).collect(), "values", most)
     raw = {r["v"]: float(r["n"] or 0) ** power for r in rows if r["n"]}
     return {k: x / sum(raw.values()) for k, x in sorted(raw.items())}
 
 
-def mix(docs: DataFrame, targets: dict[str, dict[str, float]], share: float, seed: int = 29, id_col: str = "doc_id", text_col: str = "text",
-        tokens_col: str = "n_tokens") -> DataFrame:
-    """``docs`` (with a column of token counts and one per dimension of ``targets``) and per row
-    ``cell`` (its values), ``weight`` (its cell's share of the mix), ``probability`` and ``sampled``.
+def drawn(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str, float]], share: float, tokens: Column, key: list[Column],
+          seed: int = 29, most: int = MOST_CELLS) -> DataFrame:
+    """``docs`` with ``__cell`` (its values), ``__weight`` (its cell's share of the mix), ``__probability`` and ``__sampled``.
 
-    ``share``: how much of all tokens the mix is to hold.
+    ``dims``: a column per dimension of ``targets``; ``key``: what the draw hashes. Other columns stay as they are.
     """
-    dims = list(targets)
+    spark = docs.sparkSession
     names = [sorted(targets[d]) for d in dims]
-    cols = [_value(F.col(d), n).alias(f"v{i}") for i, (d, n) in enumerate(zip(dims, names))]
-    sums = docs.groupBy(*cols).agg(F.sum(tokens_col).alias("n")).collect()  # at most the product of the targets' lengths (and one each)
-    axes = [[*n, OTHER] for n in names]
-    have = np.zeros([len(a) for a in axes])
-    for r in sums:
-        have[tuple(axes[i].index(r[f"v{i}"]) for i in range(len(dims)))] = r["n"] or 0
+    cell = F.array(*[_value(c, n) for c, n in zip(dims.values(), names)])
+    sums = docs.groupBy(cell.alias("cell")).agg(F.coalesce(F.sum(tokens), F.lit(0)).alias("n"))
+    sums = _few(sums.limit(most + 1).collect(), "cells", most)
+    index = [{v: k for k, v in enumerate([*n, OTHER])} for n in names]
+    codes = [np.array([ix[r["cell"][i]] for r in sums], np.int64) for i, ix in enumerate(index)]
+    have = np.array([r["n"] for r in sums], float)
     shares = [np.array([*(targets[d][n] for n in own), max(0.0, 1 - sum(targets[d].values()))]) for d, own in zip(dims, names)]
-    take = rake(have, shares, share * have.sum())
+    take = rake_cells(codes, have, shares, share * have.sum()) if len(have) else have
     chance = np.divide(take, have, out=np.full_like(have, share), where=have > 0)
-    spark = docs.sparkSession
-    rows = [([axes[i][k] for i, k in enumerate(at)], float(take[at] / max(take.sum(), 1e-300)), float(min(1.0, chance[at])))
-            for at in (tuple(map(int, x)) for x in np.argwhere(np.ones_like(have)))]
-    table = F.broadcast(spark.createDataFrame(rows, "cell array<string>, weight double, probability double"))
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), 11) / F.lit(float(2**53))
-    keyed = docs.withColumn("cell", F.array(*[_value(F.col(d), n) for d, n in zip(dims, names)]))
-    return keyed.join(table, "cell", "left").withColumn("sampled", draw < F.col("probability"))
+    rows = [(r["cell"], float(t / max(take.sum(), 1e-300)), float(min(1.0, c))) for r, t, c in zip(sums, take, chance)]
+    table = spark.createDataFrame(rows, "__cell array<string>, __weight double, __probability double")
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *key), 11) / F.lit(float(2**53))
+    return docs.withColumn("__cell", cell).withColumn("__draw", draw).join(table, "__cell", "left") \
+        .withColumn("__sampled", F.col("__draw") < F.col("__probability")).drop("__draw")
+
+
+def mix(docs: DataFrame, targets: dict[str, dict[str, float]], share: float, seed: int = 29, id_col: str = "doc_id", text_col: str = "text",
+        tokens_col: str = "n_tokens", most: int = MOST_CELLS) -> DataFrame:
+    """``docs`` (with a column of token counts and one per dimension of ``targets``) and per row
+    ``cell`` (its values), ``weight`` (its cell's share of the mix), ``probability`` and ``sampled``.
+
+    ``share``: how much of all tokens the mix is to hold. Columns of ``docs`` with one of these four names are replaced.
+    """
+    got = drawn(docs, {d: F.col(d) for d in targets}, targets, share, F.col(tokens_col), [F.col(id_col), F.col(text_col)], seed, most)
+    new = ["cell", "weight", "probability", "sampled"]
+    return got.select(*[c for c in docs.columns if c not in new], *[F.col(f"__{c}").alias(c) for c in new])

@@ -284,13 +284,14 @@ def _path(spark, path: str) -> str:
 
 def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", dropout: float = DROPOUT, seed: int = SEED,
             keep: list[str] | None = None) -> DataFrame:
-    """(doc_id, n_pieces, pieces, lossless) of every row; ``keep`` names columns to carry along instead of doc_id.
+    """(doc_id, n_pieces, pieces, lossless) of every row; ``keep`` names columns to carry along instead of doc_id,
+    but those of the result's own names.
 
     lossless: decoding the pieces gives the text back, byte for byte (null for null text).
     """
     name = _path(docs.sparkSession, model)
     lane = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col).cast("string"), F.lit("")))
-    cols = [F.col(c) for c in keep] if keep else [F.col(id_col).cast("long").alias("doc_id")]
+    cols = [F.col(c) for c in keep if c not in ("n_pieces", "pieces", "lossless")] if keep else [F.col(id_col).cast("long").alias("doc_id")]
     src = docs.select(*cols, F.col(text_col).cast("string").alias("__t"), lane.alias("__v"))
     schema = StructType([*src.drop("__t", "__v").schema.fields]).add("n_pieces", IntegerType()).add("pieces", ArrayType(IntegerType())).add("lossless", BooleanType())
 
