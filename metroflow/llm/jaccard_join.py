@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from metroflow.llm.frames import components, group_map, text_hash, written
+from metroflow.llm.frames import components, group_map, join_counted, text_hash, written
 from metroflow.llm.words import mix, sequence_hash, shingle_sets, signed
 
 #: A shingle in more than this share of a task's documents, and of half this share of all, is very frequent.
@@ -523,7 +523,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
     each = sized.where("hot is null").select("id", "text_hash", "size", "key")
     # a document of the class: that of the smallest id, else one of those without
     classes = each.where("size > 0").groupBy("key").agg(
-        F.min("id").alias("rep"), F.coalesce(F.min_by("text_hash", "id"), F.min("text_hash")).alias("rep_hash"))
+        F.min("id").alias("rep"), F.coalesce(F.min_by("text_hash", "id"), F.min("text_hash")).alias("rep_hash"), F.count(F.lit(1)).alias("n"))
     entries = _prefix_entries(docs, id_col, text_col, n, percent, _frequent(sized))
     cand = written(_candidates(entries, percent), "jaccard-prefixes")
     sets = sized.where("size > 0").dropDuplicates(["key"]).select("key", "size", "sketch")
@@ -535,7 +535,9 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
     low = written(linked.groupBy("label").agg(F.min("rep").alias("component")), "jaccard-lowest")
     found = linked.join(low, "label").select("key", "label", "component")
     named = classes.join(found, "key", "left").select(
-        "key", F.coalesce("component", "rep").alias("component"), F.coalesce("label", "key").alias("group"))
-    return each.join(named, (each["key"] == named["key"]) & (each["size"] > 0), "left").select(
-        F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"),
-        *(["text_hash", "group"] if with_group else []))
+        "key", F.coalesce("component", "rep").alias("component"), F.coalesce("label", "key").alias("group"), "n")
+    # documents of equal sets are as many as their copies: their classes come back to them by counted keys; empty sets have none
+    cols = [F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"),
+            *(["text_hash", "group"] if with_group else [])]
+    alone = each.where("size = 0").select("*", F.lit(None).cast("long").alias("component"), F.lit(None).cast("long").alias("group"))
+    return join_counted(each.where("size > 0"), named, ["key"]).select(cols).union(alone.select(cols))
