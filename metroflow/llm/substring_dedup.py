@@ -220,7 +220,7 @@ def _window_rows(rows: DataFrame, window: int, rounds: int) -> DataFrame:
     """Windows with a repeated key: the batch's earliest of each, and (check null) the starts of the others by document."""
     def run(batches):
         for b in batches:
-            wanted, tie, docs = b.column("keys"), b.column("seq").to_numpy(), b.column("id").to_pylist()
+            wanted, tie, docs = b.column("keys"), b.column("tie").to_numpy(), b.column("id").to_pylist()
             flat, offs = wanted.values.to_numpy().view(U), wanted.offsets.to_numpy()
             order = np.array([-2**63 if x is None else x for x in docs], np.int64)
             met, again = set(), np.zeros(len(docs), bool)  # a repeated row is the same document
@@ -261,10 +261,10 @@ def _windows_batch(one, two, doc, tie, start, late):
 
 
 def _repeats(found: DataFrame) -> DataFrame:
-    """(seq, starts): per document, the starts of windows that occur earlier."""
+    """(doc, tie, starts): per document, the starts of windows that occur earlier."""
     own = Window.partitionBy("hash", "check")
     late = found.withColumn("low", F.min(F.struct("doc", "tie", "start")).over(own)).where("check is null or struct(doc, tie, start) > low")
-    return late.groupBy(F.col("tie").alias("seq")).agg(F.flatten(F.collect_list(F.coalesce("late", F.array("start")))).alias("starts"))
+    return late.groupBy("doc", "tie").agg(F.flatten(F.collect_list(F.coalesce("late", F.array("start")))).alias("starts"))
 
 
 def _own_texts(src: DataFrame, heads: DataFrame) -> DataFrame:
@@ -305,11 +305,17 @@ def substring_dedup(docs: DataFrame, window: int = 20, rounds: int = ROUNDS, id_
     # a sequence stands for one document: the smallest id (null first) that has it, and the hash of one of its texts
     first = each.groupBy("seq").agg(F.min(F.struct("doc_id", "text_hash")).alias("low"), F.count(F.lit(1)).alias("n"))
     first = written(first.select("seq", F.col("low.doc_id").alias("first"), F.col("low.text_hash").alias("own"), "n"), "substring-first")
-    head = first.select("seq", F.col("first").alias("id"), "own")
+    # documents of one id (or of none) go by their sequence too; for all others it's left out of the rows
+    several = first.where("first is not null").groupBy("first").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    tie = F.when(F.col("first").isNull() | F.col("texts").isNotNull(), F.col("seq")).otherwise(0)
+    head = written(join_counted(first.select("seq", "first", "own"), several, ["first"], "texts").select(
+        "seq", F.col("first").alias("id"), "own", tie.alias("tie")), "substring-heads")
     wanted = _repeated_keys(_anchor_rows(src, window, rounds))
     texts = _own_texts(src, wanted.join(head, "seq"))
-    starts = written(_repeats(_window_rows(texts.select("t", "keys", "id", "seq"), window, rounds)), "substring-repeats")
-    done = _cut(_own_texts(src, starts.join(head, "seq")).select("t", "seq", "starts"), window)
+    starts = written(_repeats(_window_rows(texts.select("t", "keys", "id", "tie"), window, rounds)), "substring-repeats")
+    place = F.coalesce("id", F.lit(-2**63))
+    cut = head.join(starts, (place == starts["doc"]) & (head["tie"] == starts["tie"])).select("seq", "id", "own", "starts")
+    done = _cut(_own_texts(src, cut).select("t", "seq", "starts"), window)
     done = (done if with_text else done.drop("kept")).dropDuplicates(["seq"])
     rows = join_counted(each, first.drop("own").join(done, "seq", "left"), ["seq"], how="inner")
     copy = ~F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("n_words") >= window)
