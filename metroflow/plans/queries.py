@@ -997,3 +997,13 @@ def normalize_time_zoned(spark: SparkSession, d: str) -> DataFrame:
            .when(eid % 4 == 2, F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS"), F.lit("+00:00")))
            .otherwise((micros.cast("decimal(20,0)") / F.lit(1000000).cast("decimal(7,0)")).cast("decimal(20,6)").cast("string")))
     return R.vehicles(spark, d).select("event_id", normalize_time(raw).alias("event_time"))
+
+
+@register("stream_restart", W("SELECT id, vehicle_id, route_id, date_trunc('second', ts) AS event_time FROM vehicles", "vehicles"))
+def stream_restart(spark: SparkSession, d: str) -> DataFrame:
+    """The job ends and starts again from its checkpoint; what landed in between is read once, nothing twice."""
+    path, out, ck = (fresh_dir(spark, n) for n in ("landing-restart", "tables", "checkpoints"))
+    for k in range(2):
+        FD.publish(FD.vehicle_messages(R.vehicles(spark, d).filter(F.col("event_id") % 2 == k)), path=path)
+        J.await_all(spark, [J.vehicle_job(FD.landing_stream(spark, path, "vehicles"), out, ck, available_now=True)])
+    return J.read_history(spark, out).select("id", "vehicle_id", "route_id", "event_time")
