@@ -9,7 +9,7 @@ a probability by a logistic fit on rows that the model didn't see, weighted to t
 labelled classes' true sizes.
 
 Fitted on at most ``per_class`` labelled documents of each class, those of least keyed
-hash. Spark counts the documents of each indicator per class first; those of fewer than ``MIN_DOCS``
+hash. Spark counts the documents of each indicator first; those of fewer than ``MIN_DOCS``
 documents are no features, so what is fitted on the driver is bounded by the sample and by
 the features, of ``BINS`` at most, not by the length of texts. Scoring is a map over whole texts.
 
@@ -108,12 +108,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_clas
 
     def count(batches):
         for b in batches:
-            y, x = b.column("y").to_numpy(), features(b.column("t").to_pylist())
-            for c in (0, 1):
-                own = [x[i] for i in np.flatnonzero(y == c)]
-                if own:
-                    bins, n = np.unique(np.concatenate(own), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(n.astype(np.int64))], ["bin", "n"])
+            if not b.num_rows:
+                continue
+            texts = b.column("t").to_pylist()
+            for i, j in chunks(texts):
+                bins, n = np.unique(np.concatenate(features(texts[i:j])), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(n.astype(np.int64))], ["bin", "n"])
 
     rows = rows.persist()  # the bounded sample
     often = rows.mapInArrow(count, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_DOCS).select("bin").toArrow()
@@ -124,7 +124,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_clas
     def run(batches):
         is_known = np.unpackbits(held_known.value, count=BINS).astype(bool)
         for b in batches:
-            x = [v[is_known[v]] for v in features(b.column("t").to_pylist())]
+            texts = b.column("t").to_pylist()
+            x = [v[is_known[v]] for i, j in chunks(texts) for v in features(texts[i:j])]
             at = np.concatenate(([0], np.cumsum([len(v) for v in x]))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(x) if x else np.empty(0, np.int32), pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column("y"), b.column("k"), lists], ["y", "k", "x"])
@@ -174,6 +175,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         for b in batches:
-            s = held.value.scores(features(b.column("__t").to_pylist()))
+            if not b.num_rows:
+                continue
+            texts = b.column("__t").to_pylist()
+            s = np.concatenate([held.value.scores(features(texts[i:j])) for i, j in chunks(texts)])  # a few megabytes of text at a time
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s)], [*b.schema.names[:-1], name])
     return src.mapInArrow(run, schema)
