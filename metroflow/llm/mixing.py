@@ -8,8 +8,8 @@ drawn with its cell's probability, selected tokens over tokens there, by a keyed
 id and text: every copy of a document is drawn alike, on any cluster.
 
 Only cells that occur are kept, at most ``most`` of them (200,000; more raise an error, since they
-would grow with the corpus on the driver), so they're fitted in numpy; documents are only summed and
-joined, by Spark's own choice of join.
+would grow with the corpus on the driver), so they're fitted in numpy and, within that bound, broadcast;
+documents are only summed and joined, and none is shuffled.
 
 Edge cases: a null source, language or topic is the value '(null)'. Null and empty texts have 0
 tokens; they're drawn by their cell's probability. Targets that the tokens can't
@@ -140,7 +140,7 @@ def drawn(docs: DataFrame, dims: dict[str, Column], targets: dict[str, dict[str,
     rows = [(r["cell"], float(t / max(take.sum(), 1e-300)), float(min(1.0, c))) for r, t, c in zip(sums, take, chance)]
     table = spark.createDataFrame(rows, "__cell array<string>, __weight double, __probability double")
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *key), 11) / F.lit(float(2**53))
-    return docs.withColumn("__cell", cell).withColumn("__draw", draw).join(table, "__cell", "left") \
+    return docs.withColumn("__cell", cell).withColumn("__draw", draw).join(F.broadcast(table), "__cell", "left") \
         .withColumn("__sampled", F.col("__draw") < F.col("__probability")).drop("__draw")
 
 
