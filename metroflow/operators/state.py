@@ -44,6 +44,35 @@ def latest_by_key(df: DataFrame, key: str | list[str], order: str | list[str], k
     )
 
 
+#: Repeated keys that are looked up in every task.
+MOST_REPEATED = 100_000
+
+
+def latest_of_few(df: DataFrame, key: str | list[str], order: str | list[str]) -> DataFrame:
+    """``latest_by_key`` of rows whose keys seldom repeat, such as a poll's records.
+
+    Only hashes of keys are shuffled first; then the rows of repeated ones alone, the others are the
+    newest of their key as they are. Beyond ``MOST_REPEATED`` of these all rows go through the aggregate.
+    ``df`` is read up to three times, so it should be stored rows.
+    """
+    keys = _as_list(key)
+    has_key = F.lit(True)
+    for k in keys:
+        has_key = has_key & present(k)
+    named = df.withColumn("_key", F.when(has_key, F.xxhash64(*keys)))
+    again = (named.where("_key is not null").groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+             .select("_key").limit(MOST_REPEATED + 1))
+    hashes = [r[0] for r in again.collect()]  # at most MOST_REPEATED + 1
+    if not hashes:
+        return df
+    if len(hashes) > MOST_REPEATED:
+        return latest_by_key(df, keys, order)
+    repeated = df.sparkSession.createDataFrame([(h, True) for h in hashes], "_key long, _again boolean")
+    marked = named.join(F.broadcast(repeated), "_key", "left")
+    once, more = (marked.where(c).select(*df.columns) for c in (F.col("_again").isNull(), F.col("_again")))
+    return once.unionByName(latest_by_key(more, keys, order))
+
+
 def dedup(df: DataFrame, key: str | list[str]) -> DataFrame:
     """Drop repeated records: one row per key (map-side combined, one exchange)."""
     return df.dropDuplicates(_as_list(key))

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -284,27 +284,32 @@ def feed_job(messages: DataFrame, kind: str, out_root: str, checkpoint: str, ava
     """Store one non-vehicle feed: append every version (K1), keep the batch's
     newest version per key (A14/K2), rejected messages (P4)
     and the time of the newest poll (an empty poll has no rows to tell it).
-    A message is decoded once, in the stream."""
+
+    A message is decoded once, in the stream, and never kept in memory: the batch's rows
+    are written as they come, and its newest versions are taken from what was written.
+    Only a batch with rejected messages is decoded again, for these."""
     f = SC.feed(kind)
     table = f.tables[0]
 
     def store(batch, bid, qid):
-        rows = K.stamp(PARSERS[kind](batch))
+        spark = batch.sparkSession
+        told = Observation()
+        batch_seen = batch.observe(told, F.max(F.when(F.col("_valid"), F.col("msg.timestamp"))).alias("poll_time"),
+                                   F.count_if(~F.col("_valid")).alias("n_rejected"))
+        rows = K.stamp(PARSERS[kind](batch_seen))
+        written, seen = K.observed(rows, HEALTH_TIME.get(kind, "processed_at"))
+        target = K.append_batch(written, bid, f"{out_root}/{table}", qid=qid)
+        K.append_health(spark, seen, bid, f"{out_root}/health/{kind}", qid)
         if kind in LATEST_ORDER:
-            rows = rows.persist()
-        try:
-            written, seen = K.observed(rows, HEALTH_TIME.get(kind, "processed_at"))
-            K.append_batch(written, bid, f"{out_root}/{table}", qid=qid)
-            K.append_health(messages.sparkSession, seen, bid, f"{out_root}/health/{kind}", qid)
-            if kind in LATEST_ORDER:
-                K.upsert_latest(rows, bid, latest_path(out_root, kind), list(f.key), LATEST_ORDER[kind], qid=qid)
-        finally:
-            rows.unpersist()
-        polled = PA.valid(batch).agg(F.max("msg.timestamp").alias("poll_time"))
-        K.append_batch(polled, bid, f"{out_root}/polls/{kind}", qid=qid)
-
-    writers = [store] + ([_rejects_writer(kind, out_root)] if rejects else [])
-    return _start(PA.decode(messages, f.envelope), K.fan_out(writers), kind, f"{checkpoint}/{kind}",
+            K.upsert_latest(spark.read.schema(rows.schema).parquet(target), bid, latest_path(out_root, kind), list(f.key),
+                            LATEST_ORDER[kind], qid=qid, few=True)
+        got = told.get
+        polled = spark.createDataFrame([(got["poll_time"],)], "poll_time bigint")
+        K.append_batch(polled.coalesce(1), bid, f"{out_root}/polls/{kind}", qid=qid)
+        if rejects and got["n_rejected"]:
+            _rejects_writer(kind, out_root)(batch, bid, qid)
+
+    return _start(PA.decode(messages, f.envelope), K.fan_out([store], persist=False), kind, f"{checkpoint}/{kind}",
                   trigger_options(kind, available_now))
 
 

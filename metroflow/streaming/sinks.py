@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from metroflow.operators.state import latest_by_key, present
+from metroflow.operators.state import latest_by_key, latest_of_few, present
 
 BATCH_COL = "batch"
 DATE_COL = "event_date"
@@ -70,7 +70,7 @@ def append_batch(batch: DataFrame, batch_id: int, table: str, partition_by: list
     """K1: write the batch to its own folder; a retried batch overwrites only itself."""
     qid = qid or query_id(batch)
     target = f"{table}/{BATCH_COL}={qid}-{batch_id}"
-    w = batch.write.mode("overwrite")
+    w = batch.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(target)
@@ -131,12 +131,15 @@ KEYED = "keyed"
 
 
 def upsert_latest(batch: DataFrame, batch_id: int, root: str, key: list[str], order: list[str],
-                  qid: str | None = None) -> None:
-    """K2/K3: append the batch's newest row per key, and its keyless rows, under ``root``."""
+                  qid: str | None = None, few: bool = False) -> None:
+    """K2/K3: append the batch's newest row per key, and its keyless rows, under ``root``.
+
+    ``few``: keys seldom repeat within the batch (see ``latest_of_few``).
+    """
     has_key = F.lit(True)
     for k in key:
         has_key = has_key & present(k)
-    newest = latest_by_key(batch, key, order).withColumn(KEYED, has_key)
+    newest = (latest_of_few if few else latest_by_key)(batch, key, order).withColumn(KEYED, has_key)
     append_batch(newest, batch_id, root, [KEYED], qid=qid)
 
 
@@ -221,17 +224,19 @@ def unseen(batch: DataFrame, batch_id: int, table: str, key: str, date_col: str
 
 # --- K4/K5 --------------------------------------------------------------------------
 
-def fan_out(writers):
-    """K4 + K5: a ``foreachBatch`` function that persists the batch once, skips it
-    when empty, and hands it to every writer ``(batch_df, batch_id, qid)``."""
+def fan_out(writers, persist: bool = True):
+    """K4 + K5: a ``foreachBatch`` function that persists the batch once (unless a single
+    writer reads it once), skips it when empty, and hands it to every writer ``(batch_df, batch_id, qid)``."""
     def run(batch: DataFrame, batch_id: int) -> None:
         qid = query_id(batch)
-        batch.persist()
+        if persist:
+            batch.persist()
         try:
             if batch.isEmpty():
                 return
             for w in writers:
                 w(batch, batch_id, qid)
         finally:
-            batch.unpersist()
+            if persist:
+                batch.unpersist()
     return run

@@ -229,3 +229,15 @@ def test_empty_key_is_no_key(spark):
     rows = [("", 1, "e1", 1), ("", 1, "e2", 2), (None, 1, "e3", 3), ("v1", 1, "e4", 4), ("v1", 2, "e5", 5)]
     K.upsert_latest(frame(spark, rows), 0, root, ["vehicle_id"], ["event_time"], qid="q")
     assert sorted(r["id"] for r in K.read_latest(spark, root, frame(spark, []).schema, ["vehicle_id"], ["event_time"]).collect()) == ["e1", "e2", "e3", "e5"]
+
+
+def test_latest_of_few_equals_latest_by_key(spark, monkeypatch):
+    """Repeated keys, keyless rows and none at all; also with more repeated keys than are looked up."""
+    from metroflow.operators import state
+    rows = [(f"v{i}", 0, f"e{i}", i) for i in range(50)] + [("v1", 5, "later", 1), ("v1", 3, "mid", 1), ("v2", 0, "e2", 2), ("", 1, "x", 1), ("", 1, "x", 1), (None, 2, "y", 2)]
+    for some in (rows, rows[:50], rows[-3:], []):
+        df = frame(spark, some) if some else frame(spark, rows).where("1 = 0")
+        want = sorted(map(str, state.latest_by_key(df, KEY, ORDER).collect()))
+        for most in (100_000, 1):
+            monkeypatch.setattr(state, "MOST_REPEATED", most)
+            assert sorted(map(str, state.latest_of_few(df, KEY, ORDER).collect())) == want
