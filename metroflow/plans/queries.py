@@ -695,16 +695,17 @@ def feed_union_kinds(spark: SparkSession, d: str) -> DataFrame:
 
 from metroflow.session import fresh_dir  # noqa: E402
 from metroflow.streaming import jobs as J  # noqa: E402
+from metroflow.streaming import sinks as K  # noqa: E402
 
 STREAM_WATERMARK = "400 days"  # longer than the disorder of the landed files, so no row is late
 
 
 def land_vehicle_feed(spark: SparkSession, d: str, files: int | None = None, messages=FD.vehicle_messages) -> tuple[str, int]:
-    """Write the vehicle feed as JSON-lines files, hash-split by report id (event time jumps between files)."""
+    """Write the vehicle feed as JSON-lines files, hash-split by report id (event time jumps between files); (folder, number of files)."""
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = fresh_dir(spark, "landing-vehicles")
     FD.publish(messages(R.vehicles(spark, d).repartition(n, "id")), path=path)
-    return path, n
+    return path, max(n, len(K.list_names(spark, path)))
 
 
 def drain_vehicle_feed(spark: SparkSession, d: str, job, messages=FD.vehicle_messages) -> str:
@@ -770,7 +771,7 @@ def stream_outages_current(spark: SparkSession, d: str) -> DataFrame:
     now = R.outages(spark, d).filter(P.is_current())
     polls = [(now, R.ALERT_POLL_1), (now.filter(P.is_value("ELEVATOR", "equipment_type")), R.ALERT_POLL_1 + 120)]
     for rows, at in polls:
-        FD.publish(FD.outage_messages(rows, poll=F.lit(at).cast("bigint")), path=path)
+        FD.publish(FD.outage_messages(rows, poll=F.lit(at).cast("bigint")), path=path, per_file=FD.ENVELOPES_PER_FILE)
     q = J.feed_job(FD.landing_stream(spark, path, "outages_current"), "outages_current", out, ck, available_now=True)
     J.await_all(spark, [q])
     return api.equipment_availability(R.equipment(spark, d), serving.outages_latest(spark, out))
@@ -870,7 +871,7 @@ def stream_active_vehicles(spark: SparkSession, d: str) -> DataFrame:
 
 def _land(spark: SparkSession, messages: DataFrame, kind: str, out: str) -> None:
     path = fresh_dir(spark, f"landing-{kind}")
-    FD.publish(messages, path=path)
+    FD.publish(messages, path=path, per_file=FD.ENVELOPES_PER_FILE)
     J.await_all(spark, [J.feed_job(FD.landing_stream(spark, path, kind), kind, out, fresh_dir(spark, "checkpoints"), available_now=True)])
 
 

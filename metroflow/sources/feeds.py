@@ -17,6 +17,8 @@ from metroflow.functions.time import epoch_seconds
 from metroflow.sources import records as R
 
 PER_MESSAGE = 100
+#: Messages a landed file holds at most: reports, and envelopes of up to PER_MESSAGE records.
+REPORTS_PER_FILE, ENVELOPES_PER_FILE = 100_000, 500
 
 
 def _message(feed: str | Column, key: Column, envelope: Column) -> list[Column]:
@@ -118,17 +120,24 @@ def outage_messages(outages: DataFrame, poll: Column | None = None, per_message:
     """
     # chunk by order number: at most 100 orders (and their few line items) per envelope
     n = F.element_at(F.split(F.substr(F.col("outage_id"), F.lit(4)), "-"), 1).cast("bigint")
-    elem = F.struct(
-        *([F.col("outage_id")] if with_id else []), F.col("equipment_id"),
-        F.struct(F.col("station").alias("name"), F.col("borough")).alias("station"),
-        F.col("equipment_type"), F.col("serving"),
-        _iso(F.col("outage_start")).alias("outage_start_date_time"),
-        _iso(F.col("outage_end")).alias("estimated_return_date_time"),
-        F.struct(F.col("reason").alias("reason_name")).alias("reason"),
-        F.struct(F.col("latest_status").alias("status_name")).alias("latest_status"))
+    flat = [*(["outage_id"] if with_id else []), "equipment_id", "station", "borough", "equipment_type", "serving",
+            "outage_start", "outage_end", "reason", "latest_status"]
     poll = poll if poll is not None else F.lit(R.ALERT_POLL_1).cast("bigint")
-    g = (outages.select(F.col("is_current"), F.floor(n / per_message).alias("_chunk"), elem.alias("o"))
-         .groupBy("is_current", "_chunk").agg(F.collect_list("o").alias("outages")))
+    # the records are shuffled flat, with times as numbers, and spelt as the feed does in their envelope
+    g = (outages.select(F.col("is_current"), F.floor(n / per_message).alias("_chunk"), F.struct(*flat).alias("o"))
+         .groupBy("is_current", "_chunk").agg(F.collect_list("o").alias("_flat")))
+
+    def elem(o: Column) -> Column:
+        return F.struct(
+            *([o["outage_id"].alias("outage_id")] if with_id else []), o["equipment_id"].alias("equipment_id"),
+            F.struct(o["station"].alias("name"), o["borough"].alias("borough")).alias("station"),
+            o["equipment_type"].alias("equipment_type"), o["serving"].alias("serving"),
+            _iso(o["outage_start"]).alias("outage_start_date_time"),
+            _iso(o["outage_end"]).alias("estimated_return_date_time"),
+            F.struct(o["reason"].alias("reason_name")).alias("reason"),
+            F.struct(o["latest_status"].alias("status_name")).alias("latest_status"))
+
+    g = g.select("is_current", "_chunk", F.transform("_flat", elem).alias("outages"))
     feed = F.when(F.col("is_current"), F.lit("outages_current")).otherwise(F.lit("outages_upcoming"))
     env = F.struct(poll.alias("timestamp"),
                    F.struct(F.struct(F.col("outages")).alias("nyct_ene")).alias("data"))
@@ -194,20 +203,24 @@ def _landed(lines: DataFrame, kind: str) -> DataFrame:
     return lines.select(F.lit(kind).alias("feed"), key.cast("string").alias("key"), "value")
 
 
-def publish(messages: DataFrame, bootstrap: str | None = None, path: str | None = None, by_key: bool = False) -> None:
+def publish(messages: DataFrame, bootstrap: str | None = None, path: str | None = None, by_key: bool = False,
+            per_file: int = REPORTS_PER_FILE) -> None:
     """K6: write keyed messages to each feed's topic (``bootstrap``) or to a landing folder (``path``).
 
     ``by_key`` makes one folder per key under ``path``, for feeds of few keys
     such as the line feeds; readers of the root then give the key back (U1).
+    Landed files are gzipped, since JSON repeats its names in every record. Such a file is
+    read by one task, so it holds at most ``per_file`` messages.
     """
     if bootstrap:
         topics = F.create_map(*[x for k, f in SC.FEEDS.items() for x in (F.lit(k), F.lit(f.topic))])
         (messages.select(F.try_element_at(topics, F.col("feed")).alias("topic"), "key", "value")
          .write.format("kafka").option("kafka.bootstrap.servers", bootstrap).save())
     elif path:
+        landed = {"compression": "gzip", "maxRecordsPerFile": per_file}
         if by_key:
-            messages.select("key", "value").write.mode("append").partitionBy("key").text(path)
+            messages.select("key", "value").write.mode("append").options(**landed).partitionBy("key").text(path)
         else:
-            messages.select("value").write.mode("append").text(path)
+            messages.select("value").write.mode("append").options(**landed).text(path)
     else:
         raise ValueError("publish needs bootstrap or path")

@@ -10,6 +10,7 @@ from metroflow.session import fresh_dir
 from metroflow.sources import feeds as FD
 from metroflow.sources import records as R
 from metroflow.streaming import jobs as J
+from metroflow.streaming import sinks as K
 
 
 def _same(a, b):
@@ -118,3 +119,29 @@ def test_line_feeds_are_read_by_one_scan(spark):
     lines = {f.split("/key=")[1].split("/")[0] for f in plan.inputFiles()}
     assert lines == set(SC.LINE_FEEDS) < {r["line_id"] for r in R.vehicles(spark, SF_SMALL).select("line_id").distinct().collect()}
     assert {r["source"] for r in plan.select("source").distinct().collect()} == lines
+
+
+def test_a_feeds_batch_is_never_kept_in_memory(spark, monkeypatch):
+    """A poll may be larger than the executors' memory: its rows are written as they are decoded, rejects and poll time too."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def kept(*a, **k):
+        raise AssertionError("kept in memory")
+    monkeypatch.setattr(DataFrame, "persist", kept)
+    root, ck, path = fresh_dir(spark, "kept"), fresh_dir(spark, "kept-ck"), fresh_dir(spark, "kept-in")
+    FD.publish(FD.outage_messages(R.outages(spark, SF_SMALL)).where("feed = 'outages_current'"), path=path, per_file=2)
+    spark.createDataFrame([("not json",)], "value string").write.mode("append").text(path)
+    J.await_all(spark, [J.feed_job(FD.landing_stream(spark, path, "outages_current"), "outages_current", root, ck, available_now=True)])
+    cols = ["outage_id", "equipment_id", "station", "outage_start", "outage_end"]
+    want = latest_by_key(R.outages(spark, SF_SMALL).where("is_current"), "outage_id", ["outage_start"])
+    assert _same(serving.outages_latest(spark, root).select("outage_id"), want.select("outage_id"))
+    assert J.read_rejects(spark, root, "outages_current").count() == 1
+    assert spark.read.parquet(f"{root}/outages").select(*cols).exceptAll(R.outages(spark, SF_SMALL).where("is_current").select(*cols)).count() == 0
+
+
+def test_landed_files_are_small(spark):
+    path = fresh_dir(spark, "gz")
+    FD.publish(FD.vehicle_messages(R.vehicles(spark, SF_SMALL).limit(25).coalesce(1)), path=path, per_file=10)
+    names = [n for n in K.list_names(spark, path)]
+    assert len(names) == 3 and all(n.endswith(".gz") for n in names)
+    assert FD.landing_batch(spark, path, "vehicles").count() == 25
