@@ -106,3 +106,16 @@ def test_sketches_merge_to_any_span(spark):
     assert r["low"] <= exact <= r["high"] and r["high"] - r["low"] < 0.12 * exact
     for r in A.merged_distinct(sketches, "line").join(rows.groupBy("line").agg(F.count_distinct("v").alias("n")), "line").collect():
         assert r["low"] <= r["n"] <= r["high"]
+
+
+def test_postings_are_lists_of_blocks(spark, monkeypatch):
+    """No row per text and trigram, however many texts share it; two builds of small and large blocks find the same."""
+    rows = spark.createDataFrame([(k, f"Service {k} suspended {chr(0x10000 + k)}") for k in range(300)], "id int, one string").repartition(2)
+    path = fresh_dir(spark, "t-blocks")
+    TI.build(rows, ["one"], path, files=2)
+    kept = spark.read.parquet(f"{path}/postings")
+    sizes = kept.where("trigram = 'sus'").selectExpr("size(text_ids) AS n").collect()
+    assert sum(r["n"] for r in sizes) == 300 and len(sizes) < 30
+    assert TI.search(spark, path, "Suspended").count() == 300 and TI.search(spark, path, chr(0x10007)).count() == 1
+    plan = TI.rows_with(rows, ["id"], ["one"], TI.search(spark, path, "Suspended"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi, ((_id" in plan  # rows meet the texts by hashes, not by the texts
