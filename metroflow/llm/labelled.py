@@ -33,16 +33,16 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 50)
 
     def loss(a: float, b: float) -> float:
         z = a * x + b
-        return float((weight * (np.logaddexp(0, z) - target * z)).sum()) + 5e-7 * a * a
+        return float((weight * (np.logaddexp(0, z) - target * z)).sum())
 
     at = loss(a, b)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -35, 35)))
         g, h = weight * (target - p), weight * np.maximum(p * (1 - p), 1e-9)
         m = np.array([[(h * x * x).sum() + 1e-6, (h * x).sum()], [(h * x).sum(), h.sum() + 1e-6]])
-        step = np.linalg.solve(m, [(g * x).sum() - 1e-6 * a, g.sum()])
+        step = np.linalg.solve(m, [(g * x).sum(), g.sum()])
         # a whole step may pass the optimum, the next one back by more: halved until the loss falls
-        while np.abs(step).max() >= 1e-9 and not loss(a + step[0], b + step[1]) < at:
+        while np.abs(step).max() >= 1e-9 and loss(a + step[0], b + step[1]) > at + 1e-13 * abs(at):
             step = step / 2
         if np.abs(step).max() < 1e-9:
             break
